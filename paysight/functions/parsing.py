@@ -59,7 +59,7 @@ def _dedup_entries(entries: Column) -> Column:
                                                      lambda p: p["key"] == e["key"]))
     return F.transform(first, lambda e: F.struct(
         e["key"].alias("key"),
-        F.element_at(F.filter(entries, lambda p: p["key"] == e["key"]), -1)["value"]
+        F.try_element_at(F.filter(entries, lambda p: p["key"] == e["key"]), F.lit(-1))["value"]
         .alias("value")))
 
 
@@ -75,31 +75,24 @@ def skill_category_counts(col: str | Column,
     raw = F.from_json(_tuple_to_list(_c(col)), "map<string,string>")
     entries = _dedup_entries(F.coalesce(F.map_entries(raw),
                                         F.array().cast("array<struct<key:string,value:string>>")))
-    sized = F.transform(entries, lambda e, i: F.struct(
-        e["key"].alias("key"),
-        F.coalesce(F.size(F.from_json(e["value"], "array<string>"), ), F.lit(0)).alias("n"),
-        i.alias("pos")))
-    sized = F.transform(sized, lambda e: F.struct(
-        e["key"].alias("key"),
-        F.when(e["n"] < 0, 0).otherwise(e["n"]).alias("n"),
-        e["pos"].alias("pos")))
     known = F.array(*[F.lit(c) for c in categories])
-
-    def count_of(cat: str) -> Column:
-        return F.coalesce(F.element_at(F.filter(sized, lambda e: e["key"] == cat), 1)["n"],
-                          F.lit(0))
-
-    other_pos = F.coalesce(F.element_at(F.filter(sized, lambda e: e["key"] == "other"), 1)["pos"],
-                           F.lit(-1))
-    unknown_after = F.aggregate(
-        F.filter(sized, lambda e: ~F.array_contains(known, e["key"]) & (e["pos"] > other_pos)),
-        F.lit(0), lambda acc, e: acc + e["n"])
-    fields = []
-    for cat in categories:
-        v = count_of(cat)
-        if cat == "other":
-            v = v + unknown_after
-        fields.append(v.cast("int").alias(f"cat_{cat}"))
-    n_cats = F.size(F.filter(sized, lambda e: e["n"] > 0))
-    fields.append(n_cats.cast("int").alias("n_skill_categories"))
-    return F.struct(*fields)
+    zero = F.struct(*[F.lit(0).alias(c) for c in categories], F.lit(0).alias("_n"))
+
+    def step(acc: Column, e: Column) -> Column:
+        n = F.coalesce(F.size(F.from_json(e["value"], "array<string>")), F.lit(0))
+        n = F.when(n < 0, 0).otherwise(n)
+        out = []
+        for c in categories:
+            if c == "other":
+                v = (F.when(e["key"] == c, n)
+                     .when(~F.array_contains(known, e["key"]), acc[c] + n)
+                     .otherwise(acc[c]))
+            else:
+                v = F.when(e["key"] == c, n).otherwise(acc[c])
+            out.append(v.alias(c))
+        out.append((acc["_n"] + F.when(n > 0, 1).otherwise(0)).alias("_n"))
+        return F.struct(*out)
+
+    folded = F.aggregate(entries, zero, step)
+    return F.struct(*[folded[c].cast("int").alias(f"cat_{c}") for c in categories],
+                    folded["_n"].cast("int").alias("n_skill_categories"))

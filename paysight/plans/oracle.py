@@ -2,22 +2,196 @@
 
 from __future__ import annotations
 
-from paysight.plans.oracle_base import POSTINGS, SALARIED, with_ctes
+from paysight.plans.oracle_base import FEATURES, POSTINGS, RAW7, SALARIED, with_ctes
 
 P = with_ctes(POSTINGS)
 S = with_ctes(POSTINGS, SALARIED)
+FT = with_ctes(POSTINGS, SALARIED, FEATURES)
+
+RAW7_COLUMNS = ["salary_year_avg", "job_skills", "job_title_short", "job_country",
+                "job_schedule_type", "job_work_from_home", "salary_rate"]
+
+# F10 select list over a parsed map column ``tmap`` (mirrors the FEATURES block).
+F10_SELECT = """
+    CAST(coalesce(len(tmap['programming']), 0) AS BIGINT) AS cat_programming,
+    CAST(coalesce(len(tmap['databases']), 0) AS BIGINT) AS cat_databases,
+    CAST(coalesce(len(tmap['cloud']), 0) AS BIGINT) AS cat_cloud,
+    CAST(coalesce(len(tmap['libraries']), 0) AS BIGINT) AS cat_libraries,
+    CAST(coalesce(len(tmap['analyst_tools']), 0) AS BIGINT) AS cat_analyst_tools,
+    CAST(coalesce(len(tmap['webframeworks']), 0) AS BIGINT) AS cat_webframeworks,
+    CAST(coalesce(len(tmap['other']), 0) + coalesce(list_sum(list_transform(list_filter(
+      map_entries(tmap), lambda e, i: i > coalesce(list_position(map_keys(tmap), 'other'), 0)
+        AND e.key NOT IN ('programming', 'databases', 'cloud', 'libraries', 'analyst_tools',
+                          'webframeworks', 'other')), lambda e: len(e.value))), 0) AS BIGINT) AS cat_other,
+    CAST(coalesce(len(list_filter(map_values(tmap), lambda v: len(v) > 0)), 0) AS BIGINT)
+      AS n_skill_categories"""
+
+
+def _missing_sql() -> str:
+    parts = [f"SELECT '{c}' AS column_name, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100 "
+             f"AS missing_pct FROM raw7" for c in RAW7_COLUMNS]
+    return (with_ctes(POSTINGS, RAW7) + "SELECT column_name, round(missing_pct, 6) AS missing_pct FROM ("
+            + " UNION ALL ".join(parts) + ") WHERE missing_pct > 0")
+
+
+def _hist_sql(expr: str, series: str, bins: int = 60) -> str:
+    return f"""(WITH vals AS (SELECT CAST({expr} AS DOUBLE) AS v FROM salaried_eda),
+  st AS (SELECT min(v) AS lo, max(v) AS hi FROM vals),
+  binned AS (SELECT CASE WHEN hi = lo THEN 0 ELSE
+      least(CAST(floor((v - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) END AS bin,
+      count(*) AS n FROM vals, st GROUP BY 1)
+  SELECT '{series}' AS series, g.range AS bin,
+    round(lo + g.range * ((hi - lo) / {bins}), 6) AS bin_lo,
+    round(lo + (g.range + 1) * ((hi - lo) / {bins}), 6) AS bin_hi,
+    coalesce(n, 0) AS n
+  FROM range({bins}) g, st LEFT JOIN binned b ON b.bin = g.range)"""
+
+
+def _kde_sql(expr: str, series: str, fine: int = 1024, grid: int = 200, cut: float = 3.0) -> str:
+    return f"""(WITH vals AS (SELECT CAST({expr} AS DOUBLE) AS v FROM salaried_eda),
+  st AS (SELECT min(v) AS lo, max(v) AS hi, count(v) AS n,
+         stddev_samp(v) * pow(CAST(count(v) AS DOUBLE), -0.2) AS h FROM vals),
+  centres AS (SELECT b, count(*) AS w FROM (SELECT CASE WHEN hi = lo THEN 0 ELSE
+      least(CAST(floor((v - lo) / (hi - lo) * {fine}) AS BIGINT), {fine - 1}) END AS b
+      FROM vals, st) GROUP BY b),
+  c2 AS (SELECT b, w, lo + (b + 0.5) * ((hi - lo) / {fine}) AS c, lo, hi, n, h
+         FROM centres, st),
+  contrib AS (SELECT g.range AS point, lo - {cut} * h AS g0,
+      (hi - lo + 2 * {cut} * h) / {grid - 1} AS step, n, h,
+      w * exp(-0.5 * pow(((lo - {cut} * h + g.range * ((hi - lo + 2 * {cut} * h) / {grid - 1}))
+          - c) / h, 2)) AS k
+      FROM c2, range({grid}) g)
+  SELECT '{series}' AS series, point, round(g0 + point * step, 4) AS x,
+    round(sum(k) / (n * h * sqrt(2 * pi())) * 1e6, 6) AS density_e6
+  FROM contrib GROUP BY point, g0, step, n, h)"""
+
+
+def _top_sql(col: str) -> str:
+    return f"""(SELECT '{col}' AS dimension, {col} AS category,
+  quantile_cont(salary_year_avg, 0.5) AS median_target, count(*) AS n
+  FROM salaried_eda WHERE {col} IS NOT NULL GROUP BY {col}
+  ORDER BY median_target DESC, category LIMIT 12)"""
+
 
 ORACLE = {
     "postings_view": P + "SELECT * FROM postings",
+    "s2_pruned_scan": P + f"SELECT {', '.join(RAW7_COLUMNS)} FROM postings",
+    "c1_usable_target": P + """
+SELECT posting_id, 'year' AS rate, salary_year_avg AS target FROM postings
+WHERE salary_year_avg IS NOT NULL AND salary_year_avg > 0
+UNION ALL
+SELECT posting_id, 'hour' AS rate, salary_hour_avg AS target FROM postings
+WHERE salary_hour_avg IS NOT NULL AND salary_hour_avg > 0""",
+    "c2_cap_target": S + """
+SELECT posting_id, salary_year_avg FROM salaried
+WHERE salary_year_avg BETWEEN 15000 AND 400000""",
+    "c3_floor_target": S + "SELECT posting_id, salary_year_avg FROM salaried_eda",
+    "c6_feature_frame": FT + "SELECT * FROM features",
+    "c7_member_filter": S + """
+SELECT posting_id, job_country FROM salaried_eda
+WHERE job_country IN (SELECT job_country FROM salaried_eda WHERE job_country IS NOT NULL
+  GROUP BY job_country ORDER BY quantile_cont(salary_year_avg, 0.5) DESC, job_country LIMIT 12)""",
+    "c8_category_codes": P + """
+SELECT posting_id,
+  CAST(CASE WHEN lower(job_work_from_home) IN ('true', 't', '1') THEN 1
+       WHEN lower(job_work_from_home) IN ('false', 'f', '0') THEN 0 ELSE -1 END AS BIGINT)
+    AS remote_code,
+  CAST(CASE WHEN job_schedule_type IS NULL THEN -1
+       ELSE dense_rank() OVER (ORDER BY job_schedule_type) - 1 END AS BIGINT) AS schedule_code
+FROM postings""",
+    "c9_min_support": P + """
+SELECT company_name, count(*) AS n_postings FROM postings GROUP BY company_name
+HAVING count(*) >= 10""",
     "f1_parse_skills": P + """
 SELECT posting_id,
   array_to_string(sl, ' ') AS skills_text, CAST(len(sl) AS BIGINT) AS n_skills
 FROM (SELECT posting_id, coalesce(list_transform(
         CAST(json(replace(job_skills, '''', '"')) AS VARCHAR[]), lambda x: lower(trim(x))),
         []::VARCHAR[]) AS sl FROM postings)""",
+    "f4_parse_date": P + """
+SELECT posting_id, strftime(try_strptime(job_posted_date, '%Y-%m-%d'), '%Y-%m-%d %H:%M:%S')
+  AS posted_ts FROM postings""",
+    "f10_skill_categories": P + "SELECT posting_id," + F10_SELECT + """
+FROM (SELECT posting_id,
+  CAST(json(replace(job_type_skills, '''', '"')) AS MAP(VARCHAR, VARCHAR[])) AS tmap
+  FROM postings)""",
+    "f11_log_target": S + """
+SELECT posting_id, round(ln(1 + salary_year_avg), 9) AS y_log,
+  round(exp(ln(1 + salary_year_avg)) - 1, 4) AS y_back
+FROM salaried WHERE salary_year_avg BETWEEN 15000 AND 400000""",
+    "f18_item_sets": S + "SELECT DISTINCT posting_id, unnest(skills_list) AS item FROM salaried",
+    "a1_describe": S + """
+SELECT count(salary_year_avg) AS count, round(avg(salary_year_avg), 0) AS mean,
+  round(stddev_samp(salary_year_avg), 0) AS std, round(min(salary_year_avg), 0) AS min,
+  round(quantile_cont(salary_year_avg, 0.05), 0) AS p5,
+  round(quantile_cont(salary_year_avg, 0.25), 0) AS p25,
+  round(quantile_cont(salary_year_avg, 0.5), 0) AS p50,
+  round(quantile_cont(salary_year_avg, 0.75), 0) AS p75,
+  round(quantile_cont(salary_year_avg, 0.95), 0) AS p95,
+  round(max(salary_year_avg), 0) AS max
+FROM salaried_eda""",
+    "a2_row_counts": P + """
+SELECT (SELECT count(*) FROM postings) AS n_raw,
+  (SELECT count(*) FROM postings WHERE salary_year_avg IS NOT NULL AND salary_year_avg > 0)
+    AS n_usable""",
+    "a3_missing_pct": _missing_sql(),
+    "a4_target_coverage": S + """
+SELECT round((SELECT avg(CASE WHEN salary_year_avg IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100
+              FROM postings), 6) AS pct_with_target,
+  round(avg(len(skills_list)), 6) AS mean_items,
+  round(avg(CASE WHEN len(skills_list) > 0 THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_with_items
+FROM salaried_eda""",
+    "a5_skew": S + """
+SELECT round(skewness(salary_year_avg), 6) AS skew_raw,
+  round(skewness(ln(1 + salary_year_avg)), 6) AS skew_log FROM salaried_eda""",
+    "a6_histograms": S + _hist_sql("salary_year_avg", "target") + " UNION ALL "
+    + _hist_sql("ln(1 + salary_year_avg)", "log_target"),
+    "a7_kde": S + _kde_sql("salary_year_avg", "target") + " UNION ALL "
+    + _kde_sql("ln(1 + salary_year_avg)", "log_target"),
+    "a8_top_categories": S + " UNION ALL ".join(
+        _top_sql(c) for c in ["job_title_short", "job_country", "job_schedule_type"]),
+    "a9_box_stats": S + """,
+tops AS (SELECT job_country AS category FROM salaried_eda WHERE job_country IS NOT NULL
+  GROUP BY 1 ORDER BY quantile_cont(salary_year_avg, 0.5) DESC, 1 LIMIT 12),
+rws AS (SELECT job_country AS category, salary_year_avg AS y FROM salaried_eda
+  WHERE job_country IN (SELECT category FROM tops)),
+q AS (SELECT category, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.5) AS median,
+  quantile_cont(y, 0.75) AS q3 FROM rws GROUP BY category)
+SELECT q.category, q1, median, q3,
+  min(CASE WHEN y BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN y END) AS whisker_lo,
+  max(CASE WHEN y BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) THEN y END) AS whisker_hi,
+  count(*) AS n
+FROM rws JOIN q ON rws.category = q.category GROUP BY q.category, q1, median, q3""",
+    "a10_remote_gap": S + """
+SELECT n_groups, median_yes, median_no,
+  CASE WHEN n_groups = 2 THEN median_yes - median_no END AS median_gap
+FROM (SELECT count(DISTINCT job_work_from_home) AS n_groups,
+  quantile_cont(CASE WHEN job_work_from_home = 'True' THEN salary_year_avg END, 0.5) AS median_yes,
+  quantile_cont(CASE WHEN job_work_from_home = 'False' THEN salary_year_avg END, 0.5) AS median_no
+  FROM salaried_eda)""",
+    "a11_item_frequency": S + """
+SELECT item, count(*) AS n_postings
+FROM (SELECT DISTINCT posting_id, unnest(skills_list) AS item FROM salaried_eda)
+GROUP BY item ORDER BY n_postings DESC, item LIMIT 25""",
     "a12_highest_paying_items": S + """
 SELECT item, count(*) AS n_postings, quantile_cont(salary_year_avg, 0.5) AS median_target
 FROM (SELECT DISTINCT posting_id, unnest(skills_list) AS item, salary_year_avg FROM salaried_eda)
 GROUP BY item HAVING count(*) >= 800
 ORDER BY median_target DESC, item LIMIT 20""",
+    "a13_correlation": S + """,
+v AS (SELECT salary_year_avg AS a1, CAST(len(skills_list) AS DOUBLE) AS a2,
+  CAST(CASE WHEN lower(job_work_from_home) IN ('true', 't', '1') THEN 1
+       WHEN lower(job_work_from_home) IN ('false', 'f', '0') THEN 0 ELSE -1 END AS DOUBLE) AS a3
+  FROM salaried_eda),
+c AS (SELECT corr(a1, a2) AS c12, corr(a1, a3) AS c13, corr(a2, a3) AS c23 FROM v)
+SELECT col_a, col_b, round(r, 9) AS r FROM (
+  SELECT 'salary_year_avg' AS col_a, 'salary_year_avg' AS col_b, 1.0 AS r
+  UNION ALL SELECT 'salary_year_avg', 'n_skills', c12 FROM c
+  UNION ALL SELECT 'salary_year_avg', 'remote', c13 FROM c
+  UNION ALL SELECT 'n_skills', 'salary_year_avg', c12 FROM c
+  UNION ALL SELECT 'n_skills', 'n_skills', 1.0
+  UNION ALL SELECT 'n_skills', 'remote', c23 FROM c
+  UNION ALL SELECT 'remote', 'salary_year_avg', c13 FROM c
+  UNION ALL SELECT 'remote', 'n_skills', c23 FROM c
+  UNION ALL SELECT 'remote', 'remote', 1.0)""",
 }

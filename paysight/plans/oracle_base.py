@@ -74,3 +74,55 @@ salaried_eda AS (
 
 def with_ctes(*blocks: str) -> str:
     return "WITH " + ",\n".join(b.strip() for b in blocks) + "\n"
+
+# Engineered feature frame on the capped salaried rows.
+FEATURES = r"""
+prepared AS (
+  SELECT * FROM salaried WHERE salary_year_avg BETWEEN 15000 AND 400000
+),
+parsed AS (
+  SELECT *, CAST(json(replace(job_type_skills, '''', '"')) AS MAP(VARCHAR, VARCHAR[])) AS tmap
+  FROM prepared
+),
+features AS (
+  SELECT posting_id, salary_year_avg,
+    CAST(len(skills_list) AS BIGINT) AS n_skills,
+    CAST(length(coalesce(job_title, '')) AS BIGINT) AS title_len,
+    CAST(len(list_filter(regexp_split_to_array(coalesce(job_title, ''), '\s+'),
+      lambda x: x <> '')) AS BIGINT) AS title_word_count,
+    CAST(CASE WHEN lower(job_work_from_home) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS remote_flag,
+    CAST(CASE WHEN lower(job_no_degree_mention) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS no_degree_flag,
+    CAST(CASE WHEN lower(job_health_insurance) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS health_flag,
+    CAST(CASE
+      WHEN regexp_matches(lower(coalesce(job_title, 'none')), '\b(intern|internship|junior|jr|entry|graduate|trainee)\b') THEN -1
+      WHEN regexp_matches(lower(coalesce(job_title, 'none')), '\b(senior|sr|lead|principal|staff|head|manager|director|chief|vp)\b') THEN 2
+      ELSE 0 END AS BIGINT) AS seniority_score,
+    CAST(coalesce(month(try_strptime(job_posted_date, '%Y-%m-%d')), 0) AS BIGINT) AS posted_month,
+    CAST(coalesce(len(tmap['programming']), 0) AS BIGINT) AS cat_programming,
+    CAST(coalesce(len(tmap['databases']), 0) AS BIGINT) AS cat_databases,
+    CAST(coalesce(len(tmap['cloud']), 0) AS BIGINT) AS cat_cloud,
+    CAST(coalesce(len(tmap['libraries']), 0) AS BIGINT) AS cat_libraries,
+    CAST(coalesce(len(tmap['analyst_tools']), 0) AS BIGINT) AS cat_analyst_tools,
+    CAST(coalesce(len(tmap['webframeworks']), 0) AS BIGINT) AS cat_webframeworks,
+    CAST(coalesce(len(tmap['other']), 0) + coalesce(list_sum(list_transform(list_filter(
+      map_entries(tmap), lambda e, i: i > coalesce(list_position(map_keys(tmap), 'other'), 0)
+        AND e.key NOT IN ('programming', 'databases', 'cloud', 'libraries', 'analyst_tools',
+                          'webframeworks', 'other')), lambda e: len(e.value))), 0) AS BIGINT) AS cat_other,
+    CAST(coalesce(len(list_filter(map_values(tmap), lambda v: len(v) > 0)), 0) AS BIGINT) AS n_skill_categories,
+    coalesce(CAST(job_title_short AS VARCHAR), 'unknown') AS job_title_short,
+    coalesce(CAST(job_schedule_type AS VARCHAR), 'unknown') AS job_schedule_type,
+    coalesce(CAST(salary_rate AS VARCHAR), 'unknown') AS salary_rate,
+    coalesce(CAST(job_country AS VARCHAR), 'unknown') AS job_country,
+    coalesce(CAST(company_name AS VARCHAR), 'unknown') AS company_name,
+    coalesce(CAST(job_location AS VARCHAR), 'unknown') AS job_location,
+    coalesce(array_to_string(skills_list, ' '), '') AS skills_text,
+    coalesce(job_title, '') AS job_title
+  FROM parsed
+)"""
+
+# 7-column raw frame (column-pruned scan).
+RAW7 = """
+raw7 AS (
+  SELECT salary_year_avg, job_skills, job_title_short, job_country, job_schedule_type,
+         job_work_from_home, salary_rate FROM postings
+)"""

@@ -10,35 +10,214 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysight.config import COLS
+from paysight.config import COLS, FEATURE_COLUMNS, NUMERIC_FEATURES
 from paysight.functions import parsing as P
+from paysight.functions import text as X
 from paysight.operators import eda
 from paysight.operators import features as FE
 from paysight.sources.postings import postings
 
+RAW7_COLUMNS = [COLS.target, COLS.skills, COLS.title_short, COLS.country, COLS.schedule,
+                COLS.remote, COLS.rate]
+
+
+def _salaried(spark: SparkSession, sf: str) -> DataFrame:
+    return FE.salaried(postings(spark, sf))
+
 
 def _salaried_eda(spark: SparkSession, sf: str) -> DataFrame:
     """EDA frame: salaried rows (C1, F1-F4) above the floor."""
-    return FE.floor_target(FE.salaried(postings(spark, sf)), COLS.target)
+    return FE.floor_target(_salaried(spark, sf), COLS.target)
+
+
+def _features(spark: SparkSession, sf: str) -> DataFrame:
+    df = FE.feature_projection(FE.prepared(postings(spark, sf)))
+    return df.withColumns({c: F.col(c).cast("long") for c in NUMERIC_FEATURES})
+
+
+def _r(c, d: int = 6):
+    return F.round(F.col(c) if isinstance(c, str) else c, d)
 
 
-def q_postings_view(spark: SparkSession, sf: str) -> DataFrame:
+# ---------------------------------------------------------------- sources / view
+def q_postings_view(spark, sf):
     return postings(spark, sf)
 
 
-def q_f1_parse_skills(spark: SparkSession, sf: str) -> DataFrame:
+def q_s2_pruned_scan(spark, sf):
+    return postings(spark, sf).select(*RAW7_COLUMNS)
+
+
+# ---------------------------------------------------------------- filters
+def q_c1_usable_target(spark, sf):
+    p = postings(spark, sf)
+    y = FE.usable_target(p, COLS.target).select(COLS.id, F.lit("year").alias("rate"),
+                                                F.col(COLS.target).alias("target"))
+    h = FE.usable_target(p, COLS.target_hour).select(COLS.id, F.lit("hour").alias("rate"),
+                                                     F.col(COLS.target_hour).alias("target"))
+    return y.unionByName(h)
+
+
+def q_c2_cap_target(spark, sf):
+    return FE.cap_target(_salaried(spark, sf), COLS.target).select(COLS.id, COLS.target)
+
+
+def q_c3_floor_target(spark, sf):
+    return _salaried_eda(spark, sf).select(COLS.id, COLS.target)
+
+
+def q_c6_feature_frame(spark, sf):
+    return _features(spark, sf)
+
+
+def q_c7_member_filter(spark, sf):
+    df = _salaried_eda(spark, sf)
+    tops = eda.top_categories(df, COLS.country, COLS.target).select(
+        F.col("category").alias(COLS.country))
+    return FE.keep_members(df, tops, COLS.country).select(COLS.id, COLS.country)
+
+
+def q_c8_category_codes(spark, sf):
+    df = postings(spark, sf)
+    coded = FE.code_column(df, COLS.schedule, "schedule_code")
+    return coded.select(COLS.id, X.bool_code(COLS.remote).cast("long").alias("remote_code"),
+                        F.col("schedule_code").cast("long").alias("schedule_code"))
+
+
+def q_c9_min_support(spark, sf):
+    g = postings(spark, sf).groupBy(COLS.company).agg(F.count("*").alias("n_postings"))
+    return FE.min_support(g, "n_postings", 10)
+
+
+# ---------------------------------------------------------------- scalar functions
+def q_f1_parse_skills(spark, sf):
     df = postings(spark, sf).select(COLS.id, P.parse_skill_list(COLS.skills).alias("sl"))
     return df.select(COLS.id, P.skills_text("sl").alias("skills_text"),
                      P.n_items("sl").cast("long").alias("n_skills"))
 
 
-def q_a12_highest_paying_items(spark: SparkSession, sf: str) -> DataFrame:
+def q_f4_parse_date(spark, sf):
+    return postings(spark, sf).select(
+        COLS.id, F.date_format(P.parse_timestamp(COLS.posted), "yyyy-MM-dd HH:mm:ss")
+        .alias("posted_ts"))
+
+
+def q_f10_skill_categories(spark, sf):
+    df = postings(spark, sf).select(COLS.id, P.skill_category_counts(COLS.type_skills).alias("c"))
+    return df.select(COLS.id, *[F.col("c")[n].cast("long").alias(n)
+                                for n in df.schema["c"].dataType.names])
+
+
+def q_f11_log_target(spark, sf):
+    df = FE.cap_target(_salaried(spark, sf), COLS.target)
+    return df.select(COLS.id, _r(X.log_target(COLS.target), 9).alias("y_log"),
+                     _r(X.inverse_log_target(X.log_target(COLS.target)), 4).alias("y_back"))
+
+
+def q_f18_item_sets(spark, sf):
+    df = _salaried(spark, sf)
+    return df.select(COLS.id, F.explode(F.array_distinct("skills_list")).alias("item"))
+
+
+# ---------------------------------------------------------------- EDA
+def q_a1_describe(spark, sf):
+    return eda.describe(_salaried_eda(spark, sf), COLS.target)
+
+
+def q_a2_row_counts(spark, sf):
+    p = postings(spark, sf)
+    return eda.row_counts(p, FE.usable_target(p, COLS.target))
+
+
+def q_a3_missing_pct(spark, sf):
+    m = eda.missing_pct(postings(spark, sf).select(*RAW7_COLUMNS))
+    return m.select(F.col("column").alias("column_name"), _r("missing_pct").alias("missing_pct"))
+
+
+def q_a4_target_coverage(spark, sf):
+    p = postings(spark, sf)
+    df = eda.target_coverage(p.select(*RAW7_COLUMNS), _salaried_eda(spark, sf), COLS.target)
+    return df.select(*[_r(c).alias(c) for c in df.columns])
+
+
+def q_a5_skew(spark, sf):
+    df = eda.skew_report(_salaried_eda(spark, sf), COLS.target)
+    return df.select(*[_r(c).alias(c) for c in df.columns])
+
+
+def q_a6_histograms(spark, sf):
+    df = _salaried_eda(spark, sf)
+    h = eda.union_all([eda.histogram(df, COLS.target, series="target"),
+                       eda.histogram(df, F.log1p(COLS.target), series="log_target")])
+    return h.select("series", "bin", _r("bin_lo").alias("bin_lo"), _r("bin_hi").alias("bin_hi"), "n")
+
+
+def q_a7_kde(spark, sf):
+    df = _salaried_eda(spark, sf)
+    k = eda.union_all([eda.kde_curve(df, COLS.target, series="target"),
+                       eda.kde_curve(df, F.log1p(COLS.target), series="log_target")])
+    return k.select("series", "point", _r("x", 4).alias("x"),
+                    F.round(F.col("density") * F.lit(1e6), 6).alias("density_e6"))
+
+
+def q_a8_top_categories(spark, sf):
+    df = _salaried_eda(spark, sf)
+    return eda.union_all([
+        eda.top_categories(df, c, COLS.target).select(F.lit(c).alias("dimension"), "*")
+        for c in [COLS.title_short, COLS.country, COLS.schedule]])
+
+
+def q_a9_box_stats(spark, sf):
+    return eda.box_stats(_salaried_eda(spark, sf), COLS.country, COLS.target)
+
+
+def q_a10_remote_gap(spark, sf):
+    return eda.group_median_gap(_salaried_eda(spark, sf), COLS.remote, COLS.target)
+
+
+def q_a11_item_frequency(spark, sf):
+    return eda.item_frequency(_salaried_eda(spark, sf), "skills_list", top=25)
+
+
+def q_a12_highest_paying_items(spark, sf):
     return eda.highest_paying_items(_salaried_eda(spark, sf), "skills_list", COLS.target,
                                     min_support=800, top=20)
 
 
+def q_a13_correlation(spark, sf):
+    df = _salaried_eda(spark, sf).select(
+        COLS.target, F.col("n_skills").cast("double").alias("n_skills"),
+        X.bool_code(COLS.remote).cast("double").alias("remote"))
+    c = eda.correlation_matrix(df, [COLS.target, "n_skills", "remote"])
+    return c.select("col_a", "col_b", _r("r", 9).alias("r"))
+
+
 QUERIES = {
     "postings_view": q_postings_view,
+    "s2_pruned_scan": q_s2_pruned_scan,
+    "c1_usable_target": q_c1_usable_target,
+    "c2_cap_target": q_c2_cap_target,
+    "c3_floor_target": q_c3_floor_target,
+    "c6_feature_frame": q_c6_feature_frame,
+    "c7_member_filter": q_c7_member_filter,
+    "c8_category_codes": q_c8_category_codes,
+    "c9_min_support": q_c9_min_support,
     "f1_parse_skills": q_f1_parse_skills,
+    "f4_parse_date": q_f4_parse_date,
+    "f10_skill_categories": q_f10_skill_categories,
+    "f11_log_target": q_f11_log_target,
+    "f18_item_sets": q_f18_item_sets,
+    "a1_describe": q_a1_describe,
+    "a2_row_counts": q_a2_row_counts,
+    "a3_missing_pct": q_a3_missing_pct,
+    "a4_target_coverage": q_a4_target_coverage,
+    "a5_skew": q_a5_skew,
+    "a6_histograms": q_a6_histograms,
+    "a7_kde": q_a7_kde,
+    "a8_top_categories": q_a8_top_categories,
+    "a9_box_stats": q_a9_box_stats,
+    "a10_remote_gap": q_a10_remote_gap,
+    "a11_item_frequency": q_a11_item_frequency,
     "a12_highest_paying_items": q_a12_highest_paying_items,
+    "a13_correlation": q_a13_correlation,
 }
