@@ -195,3 +195,213 @@ SELECT col_a, col_b, round(r, 9) AS r FROM (
   UNION ALL SELECT 'remote', 'n_skills', c23 FROM c
   UNION ALL SELECT 'remote', 'remote', 1.0)""",
 }
+
+
+# ---------------------------------------------------------------- warehouse
+from paysight.functions.stopwords import ENGLISH_STOP_WORDS  # noqa: E402
+from paysight.plans.oracle_base import SPLIT, STAR, STAR_COLUMNS  # noqa: E402
+
+W = with_ctes(STAR)
+SP = with_ctes(POSTINGS, SALARIED, FEATURES, SPLIT)
+NUMERIC = ["n_skills", "title_len", "title_word_count", "remote_flag", "no_degree_flag",
+           "health_flag", "seniority_score", "posted_month", "cat_programming",
+           "cat_databases", "cat_cloud", "cat_libraries", "cat_analyst_tools",
+           "cat_webframeworks", "cat_other", "n_skill_categories"]
+FK_PAIRS = [("orders", "o_custkey", "customer", "c_custkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"),
+            ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"),
+            ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("lineitem", "l_partkey", "supplier", "s_suppkey")]
+
+
+def _catalogue_sql() -> str:
+    parts = []
+    for t, cols in STAR_COLUMNS.items():
+        for i, (c, ty) in enumerate(cols, 1):
+            num = ty in ("bigint", "int", "double")
+            mn = f"round(CAST(min({c}) AS DOUBLE), 4)" if num else "CAST(NULL AS DOUBLE)"
+            mx = f"round(CAST(max({c}) AS DOUBLE), 4)" if num else "CAST(NULL AS DOUBLE)"
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{ty}' AS data_type, "
+                f"true AS nullable, CAST({i} AS BIGINT) AS ordinal, "
+                f"round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100, 6) AS null_pct, "
+                f"count(DISTINCT {c}) AS n_distinct, {mn} AS min_value, {mx} AS max_value "
+                f"FROM {t}")
+    return W + " UNION ALL ".join(parts)
+
+
+def _inclusion_sql() -> str:
+    parts = []
+    for c, cc, p, pc in FK_PAIRS:
+        parts.append(
+            f"SELECT '{c}.{cc}' AS child, '{p}.{pc}' AS parent, "
+            f"count(*) AS n_child_values, "
+            f"count(*) FILTER (WHERE v NOT IN (SELECT {pc} FROM {p} WHERE {pc} IS NOT NULL)) "
+            f"AS n_orphans FROM (SELECT DISTINCT {cc} AS v FROM {c} WHERE {cc} IS NOT NULL)")
+    return ("SELECT child, parent, n_child_values, n_orphans, "
+            "round(CASE WHEN n_child_values > 0 THEN 100.0 * (n_child_values - n_orphans) "
+            "/ n_child_values END, 6) AS coverage_pct FROM ("
+            + " UNION ALL ".join(parts) + ")")
+
+
+def _te_sql(cols: list[str]) -> str:
+    """Brute-force cross-fitted encoding: statistics of the other folds by a join
+    on fold <> own fold (independent of the subtraction the Spark side uses)."""
+    ctes = ["""tr AS (SELECT *, ln(1 + salary_year_avg) AS y,
+    CAST('0x' || substr(md5(CAST(posting_id AS VARCHAR) || '-42'), 1, 15) AS BIGINT) % 5 AS fold
+    FROM split_rows WHERE split = 'train')""",
+            "folds AS (SELECT DISTINCT fold FROM tr)",
+            """g AS (SELECT f.fold, avg(t.y) AS gmean, var_pop(t.y) AS gvar
+    FROM folds f JOIN tr t ON t.fold <> f.fold GROUP BY f.fold)""",
+            "ga AS (SELECT avg(y) AS gmean, var_pop(y) AS gvar FROM tr)"]
+    sel_tr, sel_rest, joins_tr, joins_rest = [], [], [], []
+    for i, c in enumerate(cols):
+        ctes.append(f"""c{i} AS (SELECT f.fold, t.{c} AS cat, count(*) AS n, avg(t.y) AS m,
+    var_pop(t.y) AS v FROM folds f JOIN tr t ON t.fold <> f.fold GROUP BY f.fold, t.{c})""")
+        ctes.append(f"""a{i} AS (SELECT {c} AS cat, count(*) AS n, avg(y) AS m, var_pop(y) AS v
+    FROM tr GROUP BY {c})""")
+        enc = ("CASE WHEN {a}.n IS NULL THEN {g}.gmean ELSE "
+               "({a}.n * {g}.gvar) / ({a}.n * {g}.gvar + {a}.v) * {a}.m + "
+               "(1 - ({a}.n * {g}.gvar) / ({a}.n * {g}.gvar + {a}.v)) * {g}.gmean END")
+        sel_tr.append(f"round({enc.format(a=f'c{i}', g='g')}, 6) AS te_{c}")
+        sel_rest.append(f"round({enc.format(a=f'a{i}', g='ga')}, 6) AS te_{c}")
+        joins_tr.append(f"LEFT JOIN c{i} ON c{i}.fold = tr.fold AND c{i}.cat = tr.{c}")
+        joins_rest.append(f"LEFT JOIN a{i} ON a{i}.cat = s.{c}")
+    q_tr = (f"SELECT tr.posting_id, tr.split, {', '.join(sel_tr)} FROM tr "
+            f"JOIN g ON g.fold = tr.fold {' '.join(joins_tr)}")
+    q_rest = (f"SELECT s.posting_id, s.split, {', '.join(sel_rest)} FROM split_rows s, ga "
+              f"{' '.join(joins_rest)} WHERE s.split <> 'train'")
+    return SP.rstrip() + ",\n" + ",\n".join(ctes) + "\n" + q_tr + " UNION ALL " + q_rest
+
+
+def _tfidf_sql(terms_cte: str, id_col: str, fit_ids: str, vocab: int, min_df: int) -> str:
+    return f""",
+{terms_cte},
+tf AS (SELECT {id_col}, term, count(*) AS tf FROM terms GROUP BY {id_col}, term),
+nd AS (SELECT count(*) AS n_docs FROM ({fit_ids})),
+st AS (SELECT term, count(*) AS df, sum(tf) AS cf FROM tf
+  WHERE {id_col} IN ({fit_ids}) GROUP BY term),
+vocab AS (SELECT term, ln((1 + n_docs) / (1 + df)) + 1 AS idf FROM st, nd
+  WHERE df >= {min_df} ORDER BY cf DESC, term LIMIT {vocab}),
+w AS (SELECT {id_col}, tf.term, tf * idf AS w FROM tf JOIN vocab ON tf.term = vocab.term),
+nrm AS (SELECT {id_col}, sqrt(sum(w * w)) AS norm FROM w GROUP BY {id_col})
+SELECT w.{id_col}, term, round(w / norm, 9) AS weight FROM w JOIN nrm ON w.{id_col} = nrm.{id_col}"""
+
+
+_SW = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH_STOP_WORDS) + "]"
+
+
+def _word_terms_cte(src: str, id_col: str, text: str) -> str:
+    return f"""words AS (SELECT {id_col}, list_filter(
+    regexp_extract_all(lower(coalesce({text}, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
+    lambda x: NOT list_contains({_SW}, x)) AS wl FROM {src}),
+terms AS (
+  SELECT {id_col}, unnest(wl) AS term FROM words
+  UNION ALL
+  SELECT {id_col}, unnest(list_transform(range(1, len(wl)), lambda i: wl[i] || ' ' || wl[i + 1]))
+    AS term FROM words WHERE len(wl) >= 2)"""
+
+
+ORACLE.update({
+    "w1_w3_counts": W + """
+SELECT 'salaried_year_count' AS metric, count(*) AS n FROM fact_jobs
+  WHERE salary_average_year IS NOT NULL
+UNION ALL SELECT 'salaried_year_positive_count', count(*) FROM fact_jobs
+  WHERE salary_average_year > 0
+UNION ALL SELECT 'salaried_hour_count', count(*) FROM fact_jobs
+  WHERE salary_average_hour IS NOT NULL
+UNION ALL SELECT 'fact_total', count(*) FROM fact_jobs
+UNION ALL SELECT 'facts_with_any_skill', count(DISTINCT job_fact_id) FROM bridge_job_skills""",
+    "w4_salaried_with_skill": W + """
+SELECT 'not_null' AS variant, count(DISTINCT f.job_fact_id) AS n
+FROM fact_jobs f JOIN bridge_job_skills b ON f.job_fact_id = b.job_fact_id
+WHERE f.salary_average_year IS NOT NULL
+UNION ALL
+SELECT 'positive', count(DISTINCT f.job_fact_id)
+FROM fact_jobs f JOIN bridge_job_skills b ON f.job_fact_id = b.job_fact_id
+WHERE f.salary_average_year > 0""",
+    "w5_mean_skills": W + """
+SELECT 'not_null' AS variant, round(avg(CAST(cnt AS DOUBLE)), 9) AS avg_skills FROM (
+  SELECT f.job_fact_id, count(b.skill_id) AS cnt FROM fact_jobs f
+  JOIN bridge_job_skills b ON f.job_fact_id = b.job_fact_id
+  WHERE f.salary_average_year IS NOT NULL GROUP BY f.job_fact_id) t
+UNION ALL
+SELECT 'positive', round(avg(CAST(cnt AS DOUBLE)), 9) FROM (
+  SELECT f.job_fact_id, count(b.skill_id) AS cnt FROM fact_jobs f
+  JOIN bridge_job_skills b ON f.job_fact_id = b.job_fact_id
+  WHERE f.salary_average_year > 0 GROUP BY f.job_fact_id) t""",
+    "w6_titles": W + """
+SELECT j.job_title_short, count(*) AS n, round(avg(f.salary_average_year), 4) AS avg_salary
+FROM fact_jobs f JOIN dim_job j ON f.job_id = j.job_id
+WHERE f.salary_average_year IS NOT NULL
+GROUP BY j.job_title_short ORDER BY n DESC, j.job_title_short LIMIT 15""",
+    "w7_table_counts": W + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in STAR_COLUMNS),
+    "w8_column_catalogue": _catalogue_sql(),
+    "w9_inclusion": _inclusion_sql(),
+    "w10_audit": W + """,
+a AS (SELECT count(*) AS n_facts,
+  count(*) FILTER (WHERE salary_average_year = 0) AS n_zero_salary,
+  count(*) FILTER (WHERE salary_average_year IS NULL) AS n_null_salary,
+  count(*) FILTER (WHERE job_fact_id IN (SELECT job_fact_id FROM bridge_job_skills))
+    AS n_facts_with_bridge,
+  count(DISTINCT job_id) AS n_job_keys_used,
+  (SELECT count(*) FROM dim_job) AS n_job_keys FROM fact_jobs)
+SELECT n_facts, n_zero_salary, n_null_salary, n_facts_with_bridge,
+  round(100.0 * n_facts_with_bridge / n_facts, 6) AS pct_facts_with_bridge,
+  n_job_keys_used, n_job_keys, round(100.0 * n_job_keys_used / n_job_keys, 6) AS pct_job_keys_used
+FROM a""",
+    "p1_split": SP + "SELECT posting_id, split FROM split_rows",
+    "p2_hash_folds": S + """
+SELECT posting_id,
+  CAST('0x' || substr(md5(CAST(posting_id AS VARCHAR) || '-42'), 1, 15) AS BIGINT) % 5 AS fold
+FROM salaried WHERE salary_year_avg BETWEEN 15000 AND 400000""",
+    "p3_ordered_folds": S + """,
+r AS (SELECT posting_id, row_number() OVER (ORDER BY posting_id) - 1 AS pos,
+  count(*) OVER () AS n FROM salaried WHERE salary_year_avg BETWEEN 15000 AND 400000),
+k AS (SELECT *, n // 5 + 1 AS big, n // 5 AS small, n % 5 AS n_big FROM r)
+SELECT posting_id, CAST(CASE WHEN pos < big * n_big THEN pos // big
+  ELSE n_big + (pos - big * n_big) // small END AS BIGINT) AS fold FROM k""",
+    "p4_sample": S + """
+SELECT posting_id FROM salaried WHERE salary_year_avg BETWEEN 15000 AND 400000
+ORDER BY CAST('0x' || substr(md5(CAST(posting_id AS VARCHAR) || '-42'), 1, 15) AS BIGINT),
+  posting_id LIMIT 1000""",
+    "v1_baseline_metrics": SP + """,
+means AS (SELECT job_title_short, avg(salary_year_avg) AS pred FROM split_rows
+  WHERE split = 'train' GROUP BY job_title_short),
+gm AS (SELECT avg(salary_year_avg) AS g FROM split_rows WHERE split = 'train'),
+scored AS (SELECT s.salary_year_avg AS y, coalesce(m.pred, gm.g) AS pred
+  FROM split_rows s LEFT JOIN means m ON s.job_title_short = m.job_title_short, gm
+  WHERE s.split = 'val')
+SELECT count(*) AS n, round(avg(abs(y - pred)), 6) AS MAE,
+  round(sqrt(avg((y - pred) * (y - pred))), 6) AS RMSE,
+  round(1 - sum((y - pred) * (y - pred)) / (count(*) * var_pop(y)), 6) AS R2,
+  round(avg(abs((y - pred) / y)) * 100, 6) AS MAPE
+FROM scored""",
+    "t1_standardize": SP + ",\nst AS (SELECT " + ", ".join(
+        f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in NUMERIC)
+    + " FROM split_rows WHERE split = 'train')\nSELECT posting_id, " + ", ".join(
+        f"round(({c} - m_{c}) / CASE WHEN s_{c} = 0 THEN 1.0 ELSE s_{c} END, 9) AS {c}"
+        for c in NUMERIC) + " FROM split_rows, st",
+    "t2_rare_bucket": SP + """,
+cnt AS (SELECT company_name, count(*) AS n FROM split_rows WHERE split = 'train'
+  GROUP BY company_name)
+SELECT s.posting_id, s.split,
+  CASE WHEN c.n IS NULL THEN NULL WHEN c.n >= 10 THEN s.company_name ELSE '__infrequent__' END
+    AS company_slot
+FROM split_rows s LEFT JOIN cnt c ON s.company_name = c.company_name""",
+    "t3_target_encoding": _te_sql(["job_country", "company_name", "job_location"]),
+    "t4_skills_tfidf": SP + _tfidf_sql(
+        "terms AS (SELECT posting_id, unnest(regexp_extract_all(lower(skills_text), '[^\\s]+')) "
+        "AS term FROM split_rows)",
+        "posting_id", "SELECT posting_id FROM split_rows WHERE split = 'train'", 3000, 1),
+    "t5_title_tfidf": SP + _tfidf_sql(
+        _word_terms_cte("split_rows", "posting_id", "job_title"),
+        "posting_id", "SELECT posting_id FROM split_rows WHERE split = 'train'", 1500, 5),
+    "t5_document_tfidf": "WITH docs AS (SELECT doc_id, text FROM documents)" + _tfidf_sql(
+        _word_terms_cte("docs", "doc_id", "text"), "doc_id", "SELECT doc_id FROM docs",
+        1500, 5),
+})

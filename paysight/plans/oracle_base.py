@@ -126,3 +126,49 @@ raw7 AS (
   SELECT salary_year_avg, job_skills, job_title_short, job_country, job_schedule_type,
          job_work_from_home, salary_rate FROM postings
 )"""
+
+STAR = """
+fact_jobs AS (
+  SELECT o_orderkey AS job_fact_id, o_custkey AS job_id,
+    CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id,
+    CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN 0.0
+      ELSE o_totalprice END::DOUBLE AS salary_average_year,
+    CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice / 2080.0 END AS salary_average_hour
+  FROM orders),
+bridge_job_skills AS (SELECT l_orderkey AS job_fact_id, l_partkey AS skill_id FROM lineitem),
+dim_job AS (SELECT c_custkey AS job_id, c_mktsegment AS job_title_short FROM customer),
+dim_job_skills AS (SELECT p_partkey AS skill_id, p_name AS skills, p_type AS type FROM part),
+dim_company AS (SELECT s_suppkey AS company_id, s_name AS company_name FROM supplier),
+dim_location AS (SELECT n_nationkey AS location_id, n_name AS job_country,
+  n_regionkey AS region_id FROM nation),
+dim_date AS (SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS date_id
+  FROM orders)"""
+
+# Column layout of the star views as Spark reports it (name, simple type string).
+STAR_COLUMNS = {
+    "fact_jobs": [("job_fact_id", "bigint"), ("job_id", "bigint"), ("date_id", "int"),
+                  ("salary_average_year", "double"), ("salary_average_hour", "double")],
+    "bridge_job_skills": [("job_fact_id", "bigint"), ("skill_id", "bigint")],
+    "dim_job": [("job_id", "bigint"), ("job_title_short", "string")],
+    "dim_job_skills": [("skill_id", "bigint"), ("skills", "string"), ("type", "string")],
+    "dim_company": [("company_id", "bigint"), ("company_name", "string")],
+    "dim_location": [("location_id", "int"), ("job_country", "string"), ("region_id", "int")],
+    "dim_date": [("date_id", "int")],
+}
+
+# Portable split over the capped, engineered rows (P1): hash order, exact sizes.
+SPLIT = """
+hashed AS (
+  SELECT *, CAST('0x' || substr(md5(CAST(posting_id AS VARCHAR) || '-42'), 1, 15) AS BIGINT) AS h
+  FROM features),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY h, posting_id) - 1 AS pos, count(*) OVER () AS n_all
+  FROM hashed),
+sized AS (
+  SELECT *, CAST(ceil(CAST(0.15 AS DOUBLE) * n_all) AS BIGINT) AS n_test FROM ranked),
+split_rows AS (
+  SELECT *, CASE WHEN pos < n_test THEN 'test'
+    WHEN pos < n_test + CAST(ceil((CAST(0.15 AS DOUBLE) / (1 - CAST(0.15 AS DOUBLE)))
+                                  * (n_all - n_test)) AS BIGINT) THEN 'val'
+    ELSE 'train' END AS split
+  FROM sized)"""

@@ -221,3 +221,191 @@ QUERIES = {
     "a12_highest_paying_items": q_a12_highest_paying_items,
     "a13_correlation": q_a13_correlation,
 }
+
+
+# ---------------------------------------------------------------- warehouse
+from paysight.operators import warehouse as W  # noqa: E402
+from paysight.sources.warehouse import register_star_schema, star_schema  # noqa: E402
+
+FK_PAIRS = [("orders", "o_custkey", "customer", "c_custkey"),
+            ("customer", "c_nationkey", "nation", "n_nationkey"),
+            ("nation", "n_regionkey", "region", "r_regionkey"),
+            ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ("lineitem", "l_partkey", "part", "p_partkey"),
+            ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+            ("supplier", "s_nationkey", "nation", "n_nationkey"),
+            ("lineitem", "l_partkey", "supplier", "s_suppkey")]
+
+
+def q_w1_w3_counts(spark, sf):
+    register_star_schema(spark, sf)
+    return W.count_diagnostics(spark)
+
+
+def q_w4_salaried_with_skill(spark, sf):
+    v = star_schema(spark, sf)
+    a = W.facts_with_skill(v["fact_jobs"], v["bridge_job_skills"]).select(
+        F.lit("not_null").alias("variant"), "n")
+    b = W.facts_with_skill(v["fact_jobs"], v["bridge_job_skills"], positive=True).select(
+        F.lit("positive").alias("variant"), "n")
+    return a.unionByName(b)
+
+
+def q_w5_mean_skills(spark, sf):
+    v = star_schema(spark, sf)
+    a = W.mean_skills_per_fact(v["fact_jobs"], v["bridge_job_skills"]).select(
+        F.lit("not_null").alias("variant"), _r("avg_skills", 9).alias("avg_skills"))
+    b = W.mean_skills_per_fact(v["fact_jobs"], v["bridge_job_skills"], positive=True).select(
+        F.lit("positive").alias("variant"), _r("avg_skills", 9).alias("avg_skills"))
+    return a.unionByName(b)
+
+
+def q_w6_titles(spark, sf):
+    v = star_schema(spark, sf)
+    t = W.titles_by_count(v["fact_jobs"], v["dim_job"], 15)
+    return t.select("job_title_short", "n", _r("avg_salary", 4).alias("avg_salary"))
+
+
+def q_w7_table_counts(spark, sf):
+    return W.table_row_counts(star_schema(spark, sf))
+
+
+def q_w8_column_catalogue(spark, sf):
+    c = W.column_catalogue(star_schema(spark, sf))
+    return c.select("table_name", "column_name", "data_type", "nullable",
+                    F.col("ordinal").cast("long").alias("ordinal"),
+                    _r("null_pct").alias("null_pct"), "n_distinct",
+                    _r("min_value", 4).alias("min_value"), _r("max_value", 4).alias("max_value"))
+
+
+def q_w9_inclusion(spark, sf):
+    from paysight.sources.tables import load_table
+    pairs = [(c, load_table(spark, sf, c), cc, p, load_table(spark, sf, p), pc)
+             for c, cc, p, pc in FK_PAIRS]
+    r = W.inclusion_profile(pairs)
+    return r.select("child", "parent", "n_child_values", "n_orphans",
+                    _r("coverage_pct").alias("coverage_pct"))
+
+
+def q_w10_audit(spark, sf):
+    v = star_schema(spark, sf)
+    a = W.warehouse_audit(v["fact_jobs"], v["bridge_job_skills"], v["dim_job"])
+    return a.select(*[(_r(c).alias(c) if c.startswith("pct") else F.col(c).cast("long"))
+                      for c in a.columns])
+
+
+# ---------------------------------------------------------------- splits / encoders
+from paysight.config import NUMERIC_FEATURES as _NUM  # noqa: E402
+from paysight.functions.stopwords import ENGLISH_STOP_WORDS  # noqa: E402
+from paysight.operators import encoders as T  # noqa: E402
+from paysight.operators import split as SP  # noqa: E402
+from paysight.operators.evaluate import regression_metrics  # noqa: E402
+
+
+def _split_features(spark, sf):
+    return SP.train_val_test(_features(spark, sf), COLS.id)
+
+
+def q_p1_split(spark, sf):
+    return _split_features(spark, sf).select(COLS.id, "split")
+
+
+def q_p2_hash_folds(spark, sf):
+    df = FE.cap_target(_salaried(spark, sf), COLS.target)
+    return SP.hash_folds(df, COLS.id).select(COLS.id, F.col("fold").cast("long").alias("fold"))
+
+
+def q_p3_ordered_folds(spark, sf):
+    df = FE.cap_target(_salaried(spark, sf), COLS.target)
+    return SP.ordered_folds(df, COLS.id).select(COLS.id, F.col("fold").cast("long").alias("fold"))
+
+
+def q_p4_sample(spark, sf):
+    df = FE.cap_target(_salaried(spark, sf), COLS.target)
+    return SP.hash_sample(df, COLS.id, 1000).select(COLS.id)
+
+
+def q_v1_baseline_metrics(spark, sf):
+    df = _split_features(spark, sf)
+    train = df.filter(F.col("split") == "train")
+    means = train.groupBy(COLS.title_short).agg(F.avg(COLS.target).alias("pred"))
+    gm = train.agg(F.avg(COLS.target)).scalar()
+    scored = (df.filter(F.col("split") == "val").join(means, COLS.title_short, "left")
+              .withColumn("pred", F.coalesce("pred", gm)))
+    m = regression_metrics(scored, COLS.target, "pred")
+    return m.select("n", *[_r(c, 6).alias(c) for c in ["MAE", "RMSE", "R2", "MAPE"]])
+
+
+def q_t1_standardize(spark, sf):
+    df = _split_features(spark, sf)
+    z = T.standardize(df.filter(F.col("split") == "train"), df, _NUM)
+    return z.select(COLS.id, *[_r(c, 9).alias(c) for c in _NUM])
+
+
+def q_t2_rare_bucket(spark, sf):
+    df = _split_features(spark, sf)
+    fitted = T.frequent_categories(df.filter(F.col("split") == "train"), COLS.company)
+    return T.one_hot_slot(df, fitted, COLS.company, "company_slot").select(
+        COLS.id, "split", "company_slot")
+
+
+def q_t3_target_encoding(spark, sf):
+    df = _split_features(spark, sf).withColumn("y_log", F.log1p(COLS.target))
+    train = SP.hash_folds(df.filter(F.col("split") == "train"), COLS.id)
+    rest = df.filter(F.col("split") != "train")
+    out_tr, out_rest = train, rest
+    for c in [COLS.country, COLS.company, COLS.location]:
+        table = T.target_encode_crossfit(train, c, "y_log", "fold")
+        out_tr = T.apply_crossfit_encoding(out_tr, table, c, "fold", f"te_{c}")
+        enc, gm = T.fit_target_encoding(train, c, "y_log")
+        out_rest = T.apply_target_encoding(out_rest, enc, gm, c, f"te_{c}")
+    cols = [COLS.id, "split"] + [_r(f"te_{c}", 6).alias(f"te_{c}")
+                                 for c in [COLS.country, COLS.company, COLS.location]]
+    return out_tr.select(*cols).unionByName(out_rest.select(*cols))
+
+
+def q_t4_skills_tfidf(spark, sf):
+    df = _split_features(spark, sf)
+    terms = T.skill_terms(df, COLS.id, "skills_text")
+    fit_ids = df.filter(F.col("split") == "train").select(COLS.id)
+    t = T.tfidf_long(terms, COLS.id, fit_ids, vocab_size=3000)
+    return t.select(COLS.id, "term", _r("weight", 9).alias("weight"))
+
+
+def q_t5_title_tfidf(spark, sf):
+    df = _split_features(spark, sf)
+    terms = T.word_terms(df, COLS.id, "job_title", ENGLISH_STOP_WORDS)
+    fit_ids = df.filter(F.col("split") == "train").select(COLS.id)
+    t = T.tfidf_long(terms, COLS.id, fit_ids, vocab_size=1500, min_df=5)
+    return t.select(COLS.id, "term", _r("weight", 9).alias("weight"))
+
+
+def q_t5_document_tfidf(spark, sf):
+    from paysight.sources.tables import load_table
+    docs = load_table(spark, sf, "documents").select("doc_id", "text")
+    terms = T.word_terms(docs, "doc_id", "text", ENGLISH_STOP_WORDS)
+    t = T.tfidf_long(terms, "doc_id", docs.select("doc_id"), vocab_size=1500, min_df=5)
+    return t.select("doc_id", "term", _r("weight", 9).alias("weight"))
+
+
+QUERIES.update({
+    "w1_w3_counts": q_w1_w3_counts,
+    "w4_salaried_with_skill": q_w4_salaried_with_skill,
+    "w5_mean_skills": q_w5_mean_skills,
+    "w6_titles": q_w6_titles,
+    "w7_table_counts": q_w7_table_counts,
+    "w8_column_catalogue": q_w8_column_catalogue,
+    "w9_inclusion": q_w9_inclusion,
+    "w10_audit": q_w10_audit,
+    "p1_split": q_p1_split,
+    "p2_hash_folds": q_p2_hash_folds,
+    "p3_ordered_folds": q_p3_ordered_folds,
+    "p4_sample": q_p4_sample,
+    "v1_baseline_metrics": q_v1_baseline_metrics,
+    "t1_standardize": q_t1_standardize,
+    "t2_rare_bucket": q_t2_rare_bucket,
+    "t3_target_encoding": q_t3_target_encoding,
+    "t4_skills_tfidf": q_t4_skills_tfidf,
+    "t5_title_tfidf": q_t5_title_tfidf,
+    "t5_document_tfidf": q_t5_document_tfidf,
+})
