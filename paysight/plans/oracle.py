@@ -405,3 +405,167 @@ FROM split_rows s LEFT JOIN cnt c ON s.company_name = c.company_name""",
         _word_terms_cte("docs", "doc_id", "text"), "doc_id", "SELECT doc_id FROM docs",
         1500, 5),
 })
+
+
+# ---------------------------------------------------------------- files, requests, evaluation
+from paysight.plans.oracle_base import REQUESTS  # noqa: E402
+
+RQ = with_ctes(POSTINGS, REQUESTS)
+
+_VAL_BASE = """,
+tr_rows AS (SELECT * FROM split_rows WHERE split = 'train'),
+val_rows AS (SELECT * FROM split_rows WHERE split = 'val'),
+gmean AS (SELECT avg(salary_year_avg) AS g FROM tr_rows),
+title_means AS (SELECT job_title_short, avg(salary_year_avg) AS m FROM tr_rows
+  GROUP BY job_title_short),
+country_means AS (SELECT job_country, avg(salary_year_avg) AS m FROM tr_rows
+  GROUP BY job_country),
+scored AS (
+  SELECT 'global_mean' AS model, v.posting_id, v.salary_year_avg AS y, gmean.g AS pred
+    FROM val_rows v, gmean
+  UNION ALL
+  SELECT 'title_mean', v.posting_id, v.salary_year_avg, coalesce(t.m, gmean.g)
+    FROM val_rows v LEFT JOIN title_means t ON v.job_title_short = t.job_title_short, gmean
+  UNION ALL
+  SELECT 'country_mean', v.posting_id, v.salary_year_avg, coalesce(c.m, gmean.g)
+    FROM val_rows v LEFT JOIN country_means c ON v.job_country = c.job_country, gmean),
+metrics AS (
+  SELECT model, count(*) AS n, avg(abs(y - pred)) AS MAE, sqrt(avg((y - pred) * (y - pred))) AS RMSE,
+    1 - sum((y - pred) * (y - pred)) / (count(*) * var_pop(y)) AS R2,
+    avg(abs((y - pred) / y)) * 100 AS MAPE
+  FROM scored GROUP BY model)"""
+
+_INTERVAL = """,
+tr_rows AS (SELECT * FROM split_rows WHERE split = 'train'),
+gq AS (SELECT quantile_cont(salary_year_avg, 0.05) AS lo, quantile_cont(salary_year_avg, 0.95) AS hi
+  FROM tr_rows),
+tq AS (SELECT job_title_short, quantile_cont(salary_year_avg, 0.05) AS lo,
+  quantile_cont(salary_year_avg, 0.95) AS hi FROM tr_rows GROUP BY job_title_short),
+iv AS (SELECT s.posting_id, s.salary_year_avg, coalesce(tq.lo, gq.lo) AS lower_raw,
+  coalesce(tq.hi, gq.hi) AS upper_raw
+  FROM split_rows s LEFT JOIN tq ON s.job_title_short = tq.job_title_short, gq
+  WHERE s.split = 'test')"""
+
+
+def _cv_sql() -> str:
+    base = with_ctes(POSTINGS, SALARIED, FEATURES) + """,
+fr AS (SELECT *, CAST('0x' || substr(md5(CAST(posting_id AS VARCHAR) || '-42'), 1, 15) AS BIGINT)
+  % 5 AS fold FROM features),
+folds AS (SELECT DISTINCT fold FROM fr),
+og AS (SELECT f.fold, avg(t.salary_year_avg) AS g FROM folds f JOIN fr t ON t.fold <> f.fold
+  GROUP BY f.fold),
+ot AS (SELECT f.fold, t.job_title_short AS k, avg(t.salary_year_avg) AS m FROM folds f
+  JOIN fr t ON t.fold <> f.fold GROUP BY f.fold, t.job_title_short),
+oc AS (SELECT f.fold, t.job_country AS k, avg(t.salary_year_avg) AS m FROM folds f
+  JOIN fr t ON t.fold <> f.fold GROUP BY f.fold, t.job_country),
+scored AS (
+  SELECT 'global_mean' AS model, r.fold, r.salary_year_avg AS y, og.g AS pred
+    FROM fr r JOIN og ON og.fold = r.fold
+  UNION ALL
+  SELECT 'title_mean', r.fold, r.salary_year_avg, coalesce(ot.m, og.g)
+    FROM fr r JOIN og ON og.fold = r.fold
+    LEFT JOIN ot ON ot.fold = r.fold AND ot.k = r.job_title_short
+  UNION ALL
+  SELECT 'country_mean', r.fold, r.salary_year_avg, coalesce(oc.m, og.g)
+    FROM fr r JOIN og ON og.fold = r.fold
+    LEFT JOIN oc ON oc.fold = r.fold AND oc.k = r.job_country),
+fm AS (SELECT model, fold, avg(abs(y - pred)) AS MAE, sqrt(avg((y - pred) * (y - pred))) AS RMSE,
+  1 - sum((y - pred) * (y - pred)) / (count(*) * var_pop(y)) AS R2 FROM scored GROUP BY model, fold)
+SELECT model, round(avg(R2), 6) AS R2_mean, round(stddev_pop(R2), 6) AS R2_std,
+  round(avg(MAE), 6) AS MAE_mean, round(avg(RMSE), 6) AS RMSE_mean
+FROM fm GROUP BY model"""
+    return base
+
+
+ORACLE.update({
+    "s1_csv_roundtrip": ORACLE["postings_view"],
+    "s4_ranked_csv": ORACLE["a11_item_frequency"],
+    "s5_metrics_json": ORACLE["a1_describe"],
+    "s6_report": S + """,
+d AS (SELECT count(salary_year_avg) AS count, round(avg(salary_year_avg), 0) AS mean,
+  round(stddev_samp(salary_year_avg), 0) AS std, round(min(salary_year_avg), 0) AS min,
+  round(quantile_cont(salary_year_avg, 0.05), 0) AS p5,
+  round(quantile_cont(salary_year_avg, 0.25), 0) AS p25,
+  round(quantile_cont(salary_year_avg, 0.5), 0) AS p50,
+  round(quantile_cont(salary_year_avg, 0.75), 0) AS p75,
+  round(quantile_cont(salary_year_avg, 0.95), 0) AS p95,
+  round(max(salary_year_avg), 0) AS max,
+  skewness(salary_year_avg) AS skew_raw, skewness(ln(1 + salary_year_avg)) AS skew_log,
+  avg(len(skills_list)) AS mean_items,
+  avg(CASE WHEN len(skills_list) > 0 THEN 1.0 ELSE 0.0 END) * 100 AS pct_with_items
+  FROM salaried_eda),
+c AS (SELECT avg(CASE WHEN salary_year_avg IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100 AS pct
+  FROM postings)
+SELECT section, metric, round(CAST(value AS DOUBLE), 6) AS value FROM (
+  SELECT 'summary' AS section, 'count' AS metric, CAST(count AS DOUBLE) AS value FROM d
+  UNION ALL SELECT 'summary', 'mean', mean FROM d UNION ALL SELECT 'summary', 'std', std FROM d
+  UNION ALL SELECT 'summary', 'min', min FROM d UNION ALL SELECT 'summary', 'p5', p5 FROM d
+  UNION ALL SELECT 'summary', 'p25', p25 FROM d UNION ALL SELECT 'summary', 'p50', p50 FROM d
+  UNION ALL SELECT 'summary', 'p75', p75 FROM d UNION ALL SELECT 'summary', 'p95', p95 FROM d
+  UNION ALL SELECT 'summary', 'max', max FROM d
+  UNION ALL SELECT 'skew', 'skew_raw', skew_raw FROM d
+  UNION ALL SELECT 'skew', 'skew_log', skew_log FROM d
+  UNION ALL SELECT 'coverage', 'pct_with_target', pct FROM c
+  UNION ALL SELECT 'coverage', 'mean_items', mean_items FROM d
+  UNION ALL SELECT 'coverage', 'pct_with_items', pct_with_items FROM d)""",
+    "r1_request_features": RQ + "SELECT * FROM req_features",
+    "f16_f17_post_process": S + """,
+b AS (SELECT posting_id, salary_year_avg AS y, posting_id % 4 <> 0 AS has_iv,
+  least(greatest(salary_year_avg, 15000.0), 400000.0) AS p,
+  salary_year_avg * (CAST(0.7 AS DOUBLE) + (posting_id % 5) * CAST(0.2 AS DOUBLE)) AS lo_raw,
+  salary_year_avg * (CAST(1.2 AS DOUBLE) - (posting_id % 3) * CAST(0.2 AS DOUBLE)) AS hi_raw
+  FROM salaried),
+ab AS (SELECT *, CASE WHEN has_iv THEN least(lo_raw, hi_raw) ELSE p * CAST(0.85 AS DOUBLE) END AS a0,
+  CASE WHEN has_iv THEN greatest(lo_raw, hi_raw) ELSE p * CAST(1.15 AS DOUBLE) END AS b0 FROM b),
+cl AS (SELECT *, least(greatest(a0, 15000.0), 400000.0) AS a1,
+  least(greatest(b0, 15000.0), 400000.0) AS b1 FROM ab)
+SELECT posting_id, y AS raw_point, a1 AS lower,
+  least(greatest(p, a1), b1) AS point, b1 AS upper FROM cl""",
+    "f19_v2_residuals": SP + _VAL_BASE + """
+SELECT posting_id, y AS salary_year_avg, round(pred, 4) AS pred, round(y - pred, 4) AS residual
+FROM scored WHERE model = 'title_mean'""",
+    "v2_identity_limits": SP + _VAL_BASE + """
+SELECT round(least(min(y), min(pred)), 4) AS lo, round(greatest(max(y), max(pred)), 4) AS hi
+FROM scored WHERE model = 'title_mean'""",
+    "v3_residual_histogram": SP + _VAL_BASE + """,
+vals AS (SELECT y - pred AS v FROM scored WHERE model = 'title_mean'),
+st AS (SELECT min(v) AS lo, max(v) AS hi FROM vals),
+binned AS (SELECT CASE WHEN hi = lo THEN 0 ELSE
+    least(CAST(floor((v - lo) / (hi - lo) * 60) AS BIGINT), 59) END AS bin, count(*) AS n
+  FROM vals, st GROUP BY 1)
+SELECT 'residual' AS series, g.range AS bin, round(lo + g.range * ((hi - lo) / 60), 4) AS bin_lo,
+  round(lo + (g.range + 1) * ((hi - lo) / 60), 4) AS bin_hi, coalesce(n, 0) AS n
+FROM range(60) g, st LEFT JOIN binned b ON b.bin = g.range""",
+    "m11_ranking": SP + _VAL_BASE + """
+SELECT model, n, round(MAE, 6) AS MAE, round(RMSE, 6) AS RMSE, round(R2, 6) AS R2,
+  round(MAPE, 6) AS MAPE FROM metrics""",
+    "m11_best": SP + _VAL_BASE + """
+SELECT arg_min(model, RMSE) AS best_model, round(min(RMSE), 6) AS best_RMSE FROM metrics""",
+    "m15_promotion": SP + _VAL_BASE + """
+SELECT model, round(RMSE, 6) AS challenger_metric,
+  round((SELECT RMSE FROM metrics WHERE model = 'title_mean'), 6) AS champion_metric,
+  RMSE < (SELECT RMSE FROM metrics WHERE model = 'title_mean') AS promoted
+FROM metrics WHERE model <> 'title_mean'
+UNION ALL
+SELECT 'title_mean_vs_none', round(RMSE, 6), CAST(NULL AS DOUBLE), true
+FROM metrics WHERE model = 'title_mean'""",
+    "v12_comparison_table": SP + _VAL_BASE + """
+SELECT model, round(MAE, 0) AS MAE, round(RMSE, 0) AS RMSE, round(R2, 4) AS R2,
+  round(MAPE, 2) AS MAPE FROM metrics ORDER BY RMSE, model LIMIT 6""",
+    "v4_cv_baseline": _cv_sql(),
+    "m17_group_quantiles": SP + _INTERVAL + """
+SELECT posting_id, round(lower_raw, 4) AS lower_raw, round(upper_raw, 4) AS upper_raw FROM iv""",
+    "v5_interval_coverage": SP + _INTERVAL + """
+SELECT count(*) AS n, round(avg(CASE WHEN salary_year_avg >= least(lower_raw, upper_raw)
+    AND salary_year_avg <= greatest(lower_raw, upper_raw) THEN 1.0 ELSE 0.0 END) * 100, 6)
+    AS coverage_pct,
+  round(avg(greatest(lower_raw, upper_raw) - least(lower_raw, upper_raw)), 4) AS mean_width,
+  CAST(90.0 AS DOUBLE) AS nominal_pct FROM iv""",
+    "v6_band_table": SP + _INTERVAL + """
+SELECT posting_id, row_number() OVER (ORDER BY salary_year_avg, posting_id) - 1 AS position,
+  salary_year_avg, round(least(lower_raw, upper_raw), 4) AS lower,
+  round(greatest(lower_raw, upper_raw), 4) AS upper,
+  salary_year_avg >= least(lower_raw, upper_raw) AND salary_year_avg <= greatest(lower_raw, upper_raw)
+    AS inside
+FROM iv""",
+})

@@ -172,3 +172,62 @@ split_rows AS (
                                   * (n_all - n_test)) AS BIGINT) THEN 'val'
     ELSE 'train' END AS split
   FROM sized)"""
+
+REQUESTS = """
+requests AS (
+  SELECT posting_id AS request_id,
+    coalesce(job_title, job_title_short || ' Analyst') AS title,
+    ' , ' || upper(array_to_string(sl, ' , ')) || ',,' AS skills,
+    CASE WHEN posting_id % 11 = 0 THEN NULL ELSE job_location END AS location,
+    CASE WHEN posting_id % 7 = 0 THEN '' ELSE job_country END AS country,
+    CASE WHEN posting_id % 13 = 0 THEN '' ELSE company_name END AS company,
+    (['senior', 'Lead', '', 'Principal'])[posting_id % 4 + 1] AS level,
+    (['Full-time', 'CDI', 'CDD', 'contractor', 'Part-Time', 'internship', 'FREELANCE',
+      'temporary', 'permanent', 'contract', '', 'Stage'])[posting_id % 12 + 1] AS contract_type,
+    job_work_from_home = 'True' AS remote
+  FROM (SELECT *, coalesce(list_transform(
+      CAST(json(replace(job_skills, '''', '"')) AS VARCHAR[]), lambda x: lower(trim(x))),
+      []::VARCHAR[]) AS sl FROM postings)
+),
+req_mapped AS (
+  SELECT request_id,
+    CASE WHEN trim(coalesce(level, '')) = ''
+           OR instr(lower(coalesce(title, '')), lower(trim(coalesce(level, '')))) > 0
+         THEN coalesce(title, '')
+         ELSE trim(trim(level) || ' ' || coalesce(title, '')) END AS job_title,
+    coalesce(title, '') AS job_title_short,
+    CASE lower(coalesce(contract_type, '')) WHEN 'cdi' THEN 'Full-time' WHEN 'cdd' THEN 'Contractor'
+      WHEN 'permanent' THEN 'Full-time' WHEN 'full-time' THEN 'Full-time'
+      WHEN 'part-time' THEN 'Part-time' WHEN 'contract' THEN 'Contractor'
+      WHEN 'internship' THEN 'Internship' WHEN 'freelance' THEN 'Contractor'
+      WHEN 'temporary' THEN 'Temp work' ELSE 'Full-time' END AS job_schedule_type,
+    CASE WHEN country IS NULL THEN coalesce(nullif(location, ''), 'unknown') ELSE country END
+      AS job_country,
+    coalesce(nullif(location, ''), 'unknown') AS job_location,
+    coalesce(nullif(company, ''), 'unknown') AS company_name,
+    CASE WHEN coalesce(remote, false) THEN 1 ELSE 0 END AS remote_flag,
+    list_filter(list_transform(string_split(coalesce(skills, ''), ','),
+      lambda x: lower(trim(x))), lambda x: x <> '') AS skills_list
+  FROM requests
+),
+req_features AS (
+  SELECT request_id,
+    CAST(len(skills_list) AS BIGINT) AS n_skills,
+    CAST(length(job_title) AS BIGINT) AS title_len,
+    CAST(len(list_filter(regexp_split_to_array(job_title, '\\s+'), lambda x: x <> ''))
+      AS BIGINT) AS title_word_count,
+    CAST(remote_flag AS BIGINT) AS remote_flag,
+    CAST(0 AS BIGINT) AS no_degree_flag, CAST(0 AS BIGINT) AS health_flag,
+    CAST(CASE
+      WHEN regexp_matches(lower(job_title), '\\b(intern|internship|junior|jr|entry|graduate|trainee)\\b') THEN -1
+      WHEN regexp_matches(lower(job_title), '\\b(senior|sr|lead|principal|staff|head|manager|director|chief|vp)\\b') THEN 2
+      ELSE 0 END AS BIGINT) AS seniority_score,
+    CAST(1 AS BIGINT) AS posted_month,
+    CAST(0 AS BIGINT) AS cat_programming, CAST(0 AS BIGINT) AS cat_databases,
+    CAST(0 AS BIGINT) AS cat_cloud, CAST(0 AS BIGINT) AS cat_libraries,
+    CAST(0 AS BIGINT) AS cat_analyst_tools, CAST(0 AS BIGINT) AS cat_webframeworks,
+    CAST(0 AS BIGINT) AS cat_other, CAST(0 AS BIGINT) AS n_skill_categories,
+    job_title_short, job_schedule_type, 'year' AS salary_rate, job_country, company_name,
+    job_location, array_to_string(skills_list, ' ') AS skills_text, job_title
+  FROM req_mapped
+)"""
