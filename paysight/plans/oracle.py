@@ -569,3 +569,8 @@ SELECT posting_id, row_number() OVER (ORDER BY salary_year_avg, posting_id) - 1
     AS inside
 FROM iv""",
 })
+
+ORACLE["m1_one_feature_ols"] = SP + """
+SELECT round(regr_slope(salary_year_avg, CAST(n_skills AS DOUBLE)), 4) AS slope,
+  round(regr_intercept(salary_year_avg, CAST(n_skills AS DOUBLE)), 4) AS intercept
+FROM split_rows WHERE split = 'train'"""
