@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from paysight.config import (CAT_COUNT_FEATURES, COLS, FEATURE_COLUMNS, OHE_FEATURES,
                              SALARY_MAX, SALARY_MIN, SKILLS_TEXT, TARGET_ENC_FEATURES,
@@ -95,12 +94,13 @@ def feature_projection(df: DataFrame, cols: Columns = COLS,
 def code_column(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     """C8 (general form): category -> integer code by sorted distinct value, NULL -> -1.
 
-    The code table is one row per distinct value: a small aggregate joined back.
+    Codes are positions of the sorted distinct values (a distributed zipWithIndex,
+    so a high-cardinality column never lands in one task), joined back.
     """
+    from paysight.operators.split import global_position
     out = out or f"{col}_code"
-    codes = (df.select(col).where(F.col(col).isNotNull()).distinct()
-             .select(col, (F.dense_rank().over(Window.orderBy(col)) - 1)
-                 .alias(out)))
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    codes = global_position(values, [col], out)
     return (df.join(codes, on=col, how="left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(-1))))
 

@@ -195,31 +195,37 @@ def score_usd(model, df: DataFrame, out: str = "prediction_usd") -> DataFrame:
 
 
 def train_all(data: PreparedData, mc: ModelConfig, scale: dict | None = None,
-              only: list[str] | None = None) -> tuple[DataFrame, dict]:
+              only: list[str] | None = None, parallelism: int = 1) -> tuple[DataFrame, dict]:
     """Fit every learner, score val, time it, skip failures, rank by RMSE.
 
-    Returns (metrics DataFrame, fitted models). Metrics rows are tiny; the fits
-    run on the executors against the written feature frames.
+    Returns (metrics DataFrame, fitted models). ``parallelism`` fits several
+    learners at once from driver threads (each fit is itself a distributed job).
+    Metrics rows are tiny; the fits run against the written feature frames.
     """
+    from concurrent.futures import ThreadPoolExecutor
     spark = data.train.sparkSession
-    zoo = model_zoo(data.train, mc, scale)
-    rows, fitted = [], {}
-    for name, est in zoo.items():
-        if only and name not in only:
-            continue
+    zoo = {k: v for k, v in model_zoo(data.train, mc, scale).items()
+           if not only or k in only}
+
+    def run(item):
+        name, est = item
         t0 = time.time()
         try:
             m = est.fit(data.train)
-            s = score_usd(m, data.val)
-            met = regression_metrics(s, COLS.target, "prediction_usd").first()
+            met = regression_metrics(score_usd(m, data.val), COLS.target,
+                                     "prediction_usd").first()
         except Exception as e:  # noqa: BLE001 - a failing learner is skipped
             print(f"[train_all] {name} failed: {e}")
-            continue
-        fitted[name] = m
-        rows.append((name, float(met["MAE"]), float(met["RMSE"]), float(met["R2"]),
-                     float(met["MAPE"]), round(time.time() - t0, 1)))
-    res = spark.createDataFrame(rows, "model string, MAE double, RMSE double, R2 double, "
-                                      "MAPE double, seconds double")
+            return None
+        return name, m, (name, float(met["MAE"]), float(met["RMSE"]), float(met["R2"]),
+                         float(met["MAPE"]), round(time.time() - t0, 1))
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        results = [r for r in ex.map(run, zoo.items()) if r is not None]
+    fitted = {name: m for name, m, _ in results}
+    res = spark.createDataFrame([row for _, _, row in results],
+                                "model string, MAE double, RMSE double, R2 double, "
+                                "MAPE double, seconds double")
     return res.orderBy("RMSE", "model"), fitted
 
 

@@ -72,14 +72,14 @@ def q_m1_one_feature_ols(spark, sf):
 # ---------------------------------------------------------------- zoo / ranking
 def q_m1_m4_linear_zoo(spark, sf):
     res, _ = M.train_all(_data(spark, sf), LOCAL, only=["LinearRegression", "Ridge", "Lasso",
-                                                        "ElasticNet"])
+                                                        "ElasticNet"], parallelism=4)
     return res.drop("seconds")
 
 
 def q_m5_m9_tree_zoo(spark, sf):
     res, _ = M.train_all(_data(spark, sf), LOCAL, SMALL_TREES,
                          only=["RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost",
-                               "LightGBM"])
+                               "LightGBM"], parallelism=3)
     return res.drop("seconds")
 
 
