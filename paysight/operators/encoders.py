@@ -176,10 +176,12 @@ def word_terms(df: DataFrame, id_col: str, text: str, stop_words: list[str],
     """T5 tokens: word runs of >= 2 characters, lower-cased, stop words removed,
     then 1..n-grams over the remaining sequence. Per-row array work on the whole
     text, no shuffle; one explode at the end."""
+    from paysight.session import spread
+    df = spread(df)
     t = F.coalesce(F.lower(F.col(text)), F.lit(""))
-    sw = F.array(*[F.lit(w) for w in stop_words])
+    # a literal IN list is turned into a hash-set lookup by the optimizer
     words = F.filter(F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0),
-                     lambda x: ~F.array_contains(sw, x))
+                     lambda x: ~x.isin(*stop_words))
     base = df.select(id_col, words.alias("_w"))
     grams = F.col("_w")
     for k in range(2, ngram_max + 1):

@@ -57,3 +57,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder for a written intermediate table."""
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def spread(df):
+    """Round-robin a frame over all cores when its scan produced fewer partitions
+    than the cluster has task slots (e.g. one large text file): CPU-heavy per-row
+    work (tokenising whole texts) then runs in parallel. No-op otherwise."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
