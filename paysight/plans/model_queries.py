@@ -140,7 +140,7 @@ def q_m17_quantile_forest(spark, sf):
         COLS.id, COLS.target, F.expm1(F.col(IV.qcol(LOWER_QUANTILE))).alias("lower"),
         F.expm1(F.col(IV.qcol(UPPER_QUANTILE))).alias("upper"))
     return interval_metrics(s, COLS.target, "lower", "upper",
-                            (UPPER_QUANTILE - LOWER_QUANTILE) * 100)
+                            round((UPPER_QUANTILE - LOWER_QUANTILE) * 100, 6))
 
 
 # ---------------------------------------------------------------- explanations
