@@ -128,7 +128,7 @@ def _qrf(spark, sf):
     key = ("qrf", id(spark), sf)
     if key not in _CACHE:
         _CACHE[key] = IV.fit_quantile_forest(_data(spark, sf).train, M.LABEL, n_trees=20,
-                                             bins=256, max_depth=8)
+                                             bins=256, max_depth=12, min_leaf=5)
     return _CACHE[key]
 
 
@@ -261,6 +261,16 @@ def q_r3_stream_scoring(spark, sf):
     return spark.read.parquet(out_dir)
 
 
+def q_v4_cv_models(spark, sf):
+    from paysight.operators.evaluate import cv_summary
+    c = {"featuresCol": "features", "labelCol": M.LABEL}
+    est = {"GBT": GBTRegressor(**c, maxIter=10, maxDepth=4, seed=42),
+           "Ridge": LinearRegression(**c, regParam=1e-4, elasticNetParam=0.0,
+                                     standardization=False, solver="l-bfgs", maxIter=50)}
+    frame = _split_raw(spark, sf).drop("split")
+    return cv_summary(M.cross_validate(frame, est, LOCAL, n_folds=5))
+
+
 MODEL_QUERIES = {
     "m1_one_feature_ols": q_m1_one_feature_ols,
     "m1_m4_linear_zoo": q_m1_m4_linear_zoo,
@@ -269,6 +279,7 @@ MODEL_QUERIES = {
     "m12_tune_lightgbm": q_m12_tune_lightgbm,
     "m13_tune_xgboost": q_m13_tune_xgboost,
     "m14_stacking": q_m14_stacking,
+    "v4_cv_models": q_v4_cv_models,
     "m16_deploy": q_m16_deploy,
     "m17_quantile_forest": q_m17_quantile_forest,
     "v7_permutation_importance": q_v7_permutation_importance,

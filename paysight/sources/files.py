@@ -91,3 +91,14 @@ def load_model(path: str, optional: bool = False):
         if optional:
             return None
         raise
+
+
+def load_reports(spark: SparkSession, paths: dict[str, str], schema: T.StructType) -> DataFrame:
+    """Read every metrics table (JSON) that exists, tag it with its name and
+    union them; a missing report contributes nothing instead of failing."""
+    frames = [read_json(spark, p, schema).withColumn("report", F.lit(name))
+              for name, p in paths.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
