@@ -54,17 +54,27 @@ def split_comma_list(col: str | Column) -> Column:
 
 
 def _dedup_entries(entries: Column) -> Column:
-    """Keys in first-seen order, each holding the value of its last occurrence."""
+    """Keys in first-seen order, each holding the value of its last occurrence.
+
+    The quadratic pass runs only for rows that do have a repeated key."""
+    keys = F.transform(entries, lambda e: e["key"])
     first = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i),
                                                      lambda p: p["key"] == e["key"]))
-    return F.transform(first, lambda e: F.struct(
+    deduped = F.transform(first, lambda e: F.struct(
         e["key"].alias("key"),
         F.try_element_at(F.filter(entries, lambda p: p["key"] == e["key"]), F.lit(-1))["value"]
         .alias("value")))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(deduped)
+
+
+def parse_skill_map(col: str | Column) -> Column:
+    """F10 first step: the typed parse (NULL when a value is not a list)."""
+    return F.from_json(_tuple_to_list(_c(col)), "map<string,array<string>>")
 
 
 def skill_category_counts(col: str | Column,
-                          categories: list[str] = SKILL_CATEGORIES) -> Column:
+                          categories: list[str] = SKILL_CATEGORIES,
+                          parsed: Column | None = None) -> Column:
     """structured skill map text -> struct of per-category counts.
 
     A known category assigns its count; an unknown one adds to ``other``, so an
@@ -72,15 +82,28 @@ def skill_category_counts(col: str | Column,
     is added. ``n_skill_categories`` counts keys (unknown included) with items.
     Non-list values count 0; unparsable input gives all zeros.
     """
-    raw = F.from_json(_tuple_to_list(_c(col)), "map<string,string>")
-    entries = _dedup_entries(F.coalesce(F.map_entries(raw),
-                                        F.array().cast("array<struct<key:string,value:string>>")))
+    text = _tuple_to_list(_c(col))
+    empty = F.array().cast("array<struct<key:string,n:int>>")
+    # fast path: every value is a list -> sizes straight from one parse (pass the
+    # parse as its own column via ``parsed`` so it is evaluated once per row)
+    fast = parsed if parsed is not None else F.from_json(text, "map<string,array<string>>")
+    fast_entries = F.transform(_dedup_entries(F.map_entries(fast)), lambda e: F.struct(
+        e["key"].alias("key"), F.size(e["value"]).alias("n")))
+    # slow path (some value is not a list, which nulls the typed parse): values as
+    # raw text, each re-parsed; a non-list value counts 0
+    raw = F.from_json(text, "map<string,string>")
+    slow_entries = F.transform(
+        _dedup_entries(F.coalesce(F.map_entries(raw),
+                                  F.array().cast("array<struct<key:string,value:string>>"))),
+        lambda e: F.struct(e["key"].alias("key"), F.coalesce(
+            F.size(F.from_json(e["value"], "array<string>")), F.lit(0)).alias("n")))
+    entries = F.when(fast.isNotNull(), fast_entries).otherwise(
+        F.coalesce(slow_entries, empty))
     known = F.array(*[F.lit(c) for c in categories])
     zero = F.struct(*[F.lit(0).alias(c) for c in categories], F.lit(0).alias("_n"))
 
     def step(acc: Column, e: Column) -> Column:
-        n = F.coalesce(F.size(F.from_json(e["value"], "array<string>")), F.lit(0))
-        n = F.when(n < 0, 0).otherwise(n)
+        n = F.when(e["n"].isNull() | (e["n"] < 0), 0).otherwise(e["n"])
         out = []
         for c in categories:
             if c == "other":

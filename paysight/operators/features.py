@@ -56,6 +56,9 @@ def salaried(postings: DataFrame, rate: str = "year", cols: Columns = COLS) -> D
 def engineered(df: DataFrame, cols: Columns = COLS) -> DataFrame:
     """Add the numeric, categorical and text feature columns."""
     title = F.col(cols.title)
+    has_map = cols.type_skills in df.columns
+    if has_map:
+        df = df.withColumn("_tmap", P.parse_skill_map(cols.type_skills))
     out = df.select(
         "*",
         X.text_length(title).alias("title_len"),
@@ -66,10 +69,11 @@ def engineered(df: DataFrame, cols: Columns = COLS) -> DataFrame:
         X.seniority_score(title).alias("seniority_score"),
         (X.posted_month(cols.posted) if cols.posted in df.columns else F.lit(0))
         .alias("posted_month"),
-        (P.skill_category_counts(cols.type_skills) if cols.type_skills in df.columns
+        (P.skill_category_counts(cols.type_skills, parsed=F.col("_tmap")) if has_map
          else F.struct(*[F.lit(0).alias(c) for c in CAT_COUNT_FEATURES])).alias("_cats"),
     )
-    out = out.select("*", *[F.col("_cats")[c].alias(c) for c in CAT_COUNT_FEATURES]).drop("_cats")
+    out = (out.select("*", *[F.col("_cats")[c].alias(c) for c in CAT_COUNT_FEATURES])
+           .drop("_cats", "_tmap"))
     fills = {c: X.fill_category(c) for c in OHE_FEATURES + TARGET_ENC_FEATURES
              if c in out.columns}
     fills[TITLE_TEXT] = X.fill_text(TITLE_TEXT)

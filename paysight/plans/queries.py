@@ -103,7 +103,9 @@ def q_f4_parse_date(spark, sf):
 
 
 def q_f10_skill_categories(spark, sf):
-    df = postings(spark, sf).select(COLS.id, P.skill_category_counts(COLS.type_skills).alias("c"))
+    df = (postings(spark, sf).withColumn("_tmap", P.parse_skill_map(COLS.type_skills))
+          .select(COLS.id, P.skill_category_counts(COLS.type_skills, parsed=F.col("_tmap"))
+                  .alias("c")))
     return df.select(COLS.id, *[F.col("c")[n].cast("long").alias(n)
                                 for n in df.schema["c"].dataType.names])
 
