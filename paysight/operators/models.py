@@ -28,7 +28,7 @@ from paysight.functions.stopwords import ENGLISH_STOP_WORDS
 from paysight.operators import encoders as T
 from paysight.operators.evaluate import regression_metrics
 from paysight.operators.split import hash_folds, ordered_folds
-from paysight.session import scratch_path
+from paysight.session import materialize, scratch_path  # noqa: F401
 
 LABEL = "label_log"
 TE_COLS = [f"te_{c}" for c in TARGET_ENC_FEATURES]
@@ -114,13 +114,6 @@ class PreparedData:
     prep_model: PipelineModel
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage cut, survives executor loss."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def prepare(split_frame: DataFrame, mc: ModelConfig, id_col: str = COLS.id,
             target: str = COLS.target) -> PreparedData:
     """Fit encoders and the preprocessing pipeline on train; transform all splits once."""

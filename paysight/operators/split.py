@@ -2,8 +2,9 @@
 
 The order of rows is a portable hash of (id, seed): the same in every engine and
 independent of partitioning, so a split is reproducible after executor loss or a
-re-read. No global single-partition window is used: positions come from a range
-partitioning plus per-partition counts (a distributed zipWithIndex).
+re-read. No global single-partition window over the rows is used: positions come
+from hash buckets plus per-bucket counts, or from a range partitioning plus
+per-partition counts (a distributed zipWithIndex) for any other order.
 """
 
 from __future__ import annotations
@@ -29,19 +30,18 @@ def global_position(df: DataFrame, order_cols: list[str], name: str = "pos",
     """0-based position of each row in the total order of ``order_cols``.
 
     Range-partition on the order, sort inside partitions, tag rows with their
-    partition and local index, and checkpoint that (so the tags are fixed and the
-    lineage is cut). Offsets come from per-partition counts - one small row per
+    partition and local index, and write that to the shared folder (so the tags are
+    fixed and the lineage is cut). Offsets come from per-partition counts - one small row per
     partition, broadcast back (size bounded by the partition count).
     """
     spark = df.sparkSession
-    from paysight.session import shared_dir
-    shared_dir(spark)
+    from paysight.session import materialize
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     r = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_local", F.monotonically_increasing_id()
                      - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    r = r.checkpoint(eager=True)
+    r = materialize(r, "positions")
     counts = r.groupBy("_pid").agg(F.count("*").alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n"))
                             .alias("_off"))
@@ -50,6 +50,31 @@ def global_position(df: DataFrame, order_cols: list[str], name: str = "pos",
             .drop("_pid", "_local", "_off"))
 
 
+def hash_position(df: DataFrame, h_col: str, id_col: str, name: str = "pos",
+                  buckets: int | None = None) -> DataFrame:
+    """0-based position in (hash, id) order for a uniform 60-bit hash column.
+
+    The top bits of the hash give equal-sized value-range buckets without any
+    sampling; a bucket's offset is the count of all lower buckets (one small
+    aggregate, one row per bucket) and the rank inside a bucket is a window
+    partitioned by bucket. Deterministic, no checkpoint, no single-partition
+    pass over the rows. ``buckets`` defaults to 8 per shuffle partition, so the
+    rows per bucket stay bounded as the cluster is sized to the data.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(0, min(20, math.ceil(math.log2(max(buckets, 1)))))
+    b = F.shiftright(F.col(h_col), 60 - bits) if bits else F.lit(0).cast("long")
+    tagged = df.withColumn("_bucket", b)
+    counts = tagged.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    offsets = counts.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket"))
+                                        - F.col("_n")).alias("_off"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(h_col, id_col)) - 1
+    return (tagged.join(offsets, "_bucket").withColumn(name, F.col("_off") + rank)
+            .drop("_bucket", "_off"))
+
+
 def split_sizes(n: int, test_size: float = TEST_SIZE, val_size: float = VAL_SIZE) -> tuple:
     """Exact sizes of test and validation (ceil of the fraction, then of the rest)."""
     n_test = math.ceil(test_size * n)
@@ -72,7 +97,12 @@ def train_val_test(df: DataFrame, id_col: str, seed: int = SEED,
         vfrac = val_size / (1 - test_size) * (1 - test_size)
         return df.withColumn("split", F.when(u < test_size, "test")
                              .when(u < test_size + vfrac, "val").otherwise("train"))
-    p = global_position(df.withColumn("_h", h), ["_h", id_col], "_pos")
+    from paysight.session import materialize
+    # every later step reads the split many times: the positioned rows are written
+    # once to the shared checkpoint folder (lineage cut; a lost executor re-reads
+    # them instead of recomputing the features)
+    p = materialize(hash_position(df.withColumn("_h", h), "_h", id_col, "_pos"),
+                    "split-positions")
     n = p.agg(F.count("*").cast("double")).scalar()
     n_test = F.ceil(F.lit(float(test_size)) * n)
     n_val = F.ceil(F.lit(val_size / (1 - test_size)) * (n - n_test))

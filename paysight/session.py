@@ -67,3 +67,13 @@ def spread(df):
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
+
+
+def materialize(df, name: str):
+    """Write a frame to the shared folder (parquet) and read it back.
+
+    One computation (a reliable ``checkpoint()`` of an unpersisted frame computes
+    it twice), and the lineage is cut: a lost executor re-reads the files."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -79,3 +79,13 @@ def test_p3_ordered_folds_sizes(spark):
     assert [r["count"] for r in sizes] == [5, 5, 5, 4, 4]
     firsts = [r["pid"] for r in f.filter(F.col("fold") == 0).orderBy("pid").collect()]
     assert firsts == [0, 1, 2, 3, 4]
+
+
+def test_hash_position_matches_sort(spark):
+    df = spark.range(3000).withColumnRenamed("id", "pid").withColumn(
+        "h", SP.portable_hash("pid"))
+    p = SP.hash_position(df, "h", "pid", "pos", buckets=16)
+    got = [r["pid"] for r in p.orderBy("pos").collect()]
+    exp = [r["pid"] for r in df.orderBy("h", "pid").collect()]
+    assert got == exp
+    assert sorted(r["pos"] for r in p.collect()) == list(range(3000))
