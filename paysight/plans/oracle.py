@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from paysight.plans.oracle_base import FEATURES, POSTINGS, RAW7, SALARIED, with_ctes
+from paysight.functions.stopwords import ENGLISH_STOP_WORDS
+from paysight.plans.oracle_base import (FEATURES, POSTINGS, RAW7, REQUESTS, SALARIED, SPLIT,
+                                        STAR, STAR_COLUMNS, with_ctes)
 
 P = with_ctes(POSTINGS)
 S = with_ctes(POSTINGS, SALARIED)
@@ -198,8 +200,6 @@ SELECT col_a, col_b, round(r, 9) AS r FROM (
 
 
 # ---------------------------------------------------------------- warehouse
-from paysight.functions.stopwords import ENGLISH_STOP_WORDS  # noqa: E402
-from paysight.plans.oracle_base import SPLIT, STAR, STAR_COLUMNS  # noqa: E402
 
 W = with_ctes(STAR)
 SP = with_ctes(POSTINGS, SALARIED, FEATURES, SPLIT)
@@ -408,7 +408,6 @@ FROM split_rows s LEFT JOIN cnt c ON s.company_name = c.company_name""",
 
 
 # ---------------------------------------------------------------- files, requests, evaluation
-from paysight.plans.oracle_base import REQUESTS  # noqa: E402
 
 RQ = with_ctes(POSTINGS, REQUESTS)
 

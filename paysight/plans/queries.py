@@ -9,13 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as TT
 
 from paysight.config import COLS, FEATURE_COLUMNS, NUMERIC_FEATURES
+from paysight.config import NUMERIC_FEATURES as _NUM
 from paysight.functions import parsing as P
 from paysight.functions import text as X
+from paysight.functions.stopwords import ENGLISH_STOP_WORDS
+from paysight.operators import baselines as B
 from paysight.operators import eda
+from paysight.operators import encoders as T
+from paysight.operators import evaluate as EV
 from paysight.operators import features as FE
-from paysight.sources.postings import postings
+from paysight.operators import split as SP
+from paysight.operators import warehouse as W
+from paysight.operators.evaluate import regression_metrics
+from paysight.operators.scoring import post_process_mixed, request_features
+from paysight.session import scratch_path
+from paysight.sources import files as FS
+from paysight.sources.postings import POSTINGS_SCHEMA, postings
+from paysight.sources.requests import requests
+from paysight.sources.warehouse import register_star_schema, star_schema
 
 RAW7_COLUMNS = [COLS.target, COLS.skills, COLS.title_short, COLS.country, COLS.schedule,
                 COLS.remote, COLS.rate]
@@ -226,8 +240,6 @@ QUERIES = {
 
 
 # ---------------------------------------------------------------- warehouse
-from paysight.operators import warehouse as W  # noqa: E402
-from paysight.sources.warehouse import register_star_schema, star_schema  # noqa: E402
 
 FK_PAIRS = [("orders", "o_custkey", "customer", "c_custkey"),
             ("customer", "c_nationkey", "nation", "n_nationkey"),
@@ -297,11 +309,6 @@ def q_w10_audit(spark, sf):
 
 
 # ---------------------------------------------------------------- splits / encoders
-from paysight.config import NUMERIC_FEATURES as _NUM  # noqa: E402
-from paysight.functions.stopwords import ENGLISH_STOP_WORDS  # noqa: E402
-from paysight.operators import encoders as T  # noqa: E402
-from paysight.operators import split as SP  # noqa: E402
-from paysight.operators.evaluate import regression_metrics  # noqa: E402
 
 
 def _split_features(spark, sf):
@@ -414,14 +421,6 @@ QUERIES.update({
 
 
 # ---------------------------------------------------------------- files, requests, evaluation
-from paysight.operators import baselines as B  # noqa: E402
-from paysight.operators import evaluate as EV  # noqa: E402
-from paysight.operators.scoring import post_process_mixed, request_features  # noqa: E402
-from paysight.session import scratch_path  # noqa: E402
-from paysight.sources import files as FS  # noqa: E402
-from paysight.sources.postings import POSTINGS_SCHEMA  # noqa: E402
-from paysight.sources.requests import requests  # noqa: E402
-from pyspark.sql import types as TT  # noqa: E402
 
 
 def q_s1_csv_roundtrip(spark, sf):
