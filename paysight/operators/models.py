@@ -232,19 +232,29 @@ def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, iters: int = 60
 
 # ----------------------------------------------------------------------------- stacking
 def stack(data: PreparedData, bases: dict, mc: ModelConfig, n_folds: int = 5,
-          meta_alpha: float = 1.0) -> tuple:
+          meta_alpha: float = 1.0, parallelism: int = 1) -> tuple:
     """Out-of-fold base predictions in USD (unshuffled folds), Ridge meta
     learner on them, bases refitted on all training rows.
 
     Returns (meta model, refitted bases) and scores with ``stack_predict``."""
-    tr = ordered_folds(data.train, COLS.id, n_folds, "_fold")
+    from concurrent.futures import ThreadPoolExecutor
+    tr = materialize(ordered_folds(data.train, COLS.id, n_folds, "_fold"), "stack-folds")
+    jobs = [(k, name, est) for k in range(n_folds) for name, est in bases.items()]
+
+    def fit_one(job):
+        k, name, est = job
+        return k, name, est.fit(tr.filter(F.col("_fold") != k))
+
+    # the k x bases fits are independent: run them from driver threads
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        fitted = {(k, name): m for k, name, m in ex.map(fit_one, jobs)}
     oof = None
     for k in range(n_folds):
-        fit_rows, held = tr.filter(F.col("_fold") != k), tr.filter(F.col("_fold") == k)
+        held = tr.filter(F.col("_fold") == k)
         preds = held.select(COLS.id, COLS.target)
-        for name, est in bases.items():
-            m = est.fit(fit_rows)
-            p = score_usd(m, held.select(COLS.id, "features"), f"p_{name}").drop("features")
+        for name in bases:
+            p = score_usd(fitted[(k, name)], held.select(COLS.id, "features"),
+                          f"p_{name}").drop("features")
             preds = preds.join(p, COLS.id)
         oof = preds if oof is None else oof.unionByName(preds)
     oof = materialize(oof, "stack-oof")
@@ -254,7 +264,8 @@ def stack(data: PreparedData, bases: dict, mc: ModelConfig, n_folds: int = 5,
     meta = LinearRegression(featuresCol="meta_features", labelCol=COLS.target,
                             regParam=meta_alpha / n, elasticNetParam=0.0,
                             standardization=False).fit(meta_in)
-    refit = {name: est.fit(data.train) for name, est in bases.items()}
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        refit = dict(zip(bases, ex.map(lambda e: e.fit(data.train), bases.values())))
     return meta, refit
 
 

@@ -111,7 +111,7 @@ def _bases():
 
 def q_m14_stacking(spark, sf):
     data = _data(spark, sf)
-    meta, refit = M.stack(data, _bases(), LOCAL, n_folds=5)
+    meta, refit = M.stack(data, _bases(), LOCAL, n_folds=5, parallelism=4)
     out = []
     for split, df in [("val", data.val), ("test", data.test)]:
         out.append(_metrics(M.stack_predict(meta, refit, df), "Stack", split))
