@@ -39,3 +39,23 @@ def test_split_frame_train_has_oof_encodings(spark):
     d = MQ._data(spark, SF_SMALL)
     n = d.train.count() + d.val.count() + d.test.count()
     assert n == MQ._split_raw(spark, SF_SMALL).count()
+
+
+def test_v9_linear_shap_matches_numpy(spark):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from paysight.operators.explain import linear_shap
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(200, 3))
+    y = x @ np.array([1.5, -2.0, 0.5]) + rng.normal(scale=0.1, size=200)
+    df = spark.createDataFrame([tuple(map(float, r)) + (float(t),) for r, t in zip(x, y)],
+                               "a double, b double, c double, y double")
+    v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    m = LinearRegression(labelCol="y").fit(v)
+    got = {r["feature"]: r["mean_abs_shap"] for r in linear_shap(m, v, v, []).collect()}
+    coef = m.coefficients.toArray()
+    exp = np.abs((x - x.mean(axis=0)) * coef).mean(axis=0)
+    for name, e in zip(["a", "b", "c"], exp):
+        assert abs(got[name] - e) < 1e-9
