@@ -18,10 +18,9 @@ from paysight.operators import intervals as IV
 from paysight.operators import models as M
 from paysight.operators import tuning as TU
 from paysight.operators.evaluate import interval_metrics, regression_metrics
-from paysight.operators.features import prepared
-from paysight.operators.split import hash_sample, train_val_test
+from paysight.operators.split import hash_sample
+from paysight.plans.shared import split_frame
 from paysight.session import scratch_path
-from paysight.sources.postings import postings
 from paysight.sources.requests import requests
 
 LOCAL = ModelConfig(skills_vocab=200, title_vocab=100)
@@ -31,11 +30,7 @@ _CACHE: dict = {}
 
 
 def _split_raw(spark, sf) -> DataFrame:
-    key = ("split", id(spark), sf)
-    if key not in _CACHE:
-        df = train_val_test(prepared(postings(spark, sf)), COLS.id)
-        _CACHE[key] = M.materialize(df, "split-frame")
-    return _CACHE[key]
+    return split_frame(spark, sf)
 
 
 def _data(spark, sf) -> M.PreparedData:

@@ -25,6 +25,7 @@ from paysight.operators import split as SP
 from paysight.operators import warehouse as W
 from paysight.operators.evaluate import regression_metrics
 from paysight.operators.scoring import post_process_mixed, request_features
+from paysight.plans.shared import split_frame
 from paysight.session import scratch_path
 from paysight.sources import files as FS
 from paysight.sources.postings import POSTINGS_SCHEMA, postings
@@ -312,7 +313,9 @@ def q_w10_audit(spark, sf):
 
 
 def _split_features(spark, sf):
-    return SP.train_val_test(_features(spark, sf), COLS.id)
+    """Split feature frame: the session's shared split table, projected."""
+    df = FE.feature_projection(split_frame(spark, sf), keep=[COLS.id, COLS.target, "split"])
+    return df.withColumns({c: F.col(c).cast("long") for c in NUMERIC_FEATURES})
 
 
 def q_p1_split(spark, sf):
