@@ -553,7 +553,7 @@ def q_v12_comparison_table(spark, sf):
 
 
 def q_v4_cv_baseline(spark, sf):
-    df = SP.hash_folds(_features(spark, sf), COLS.id)
+    df = SP.hash_folds(_split_features(spark, sf).drop("split"), COLS.id)
     frames = []
     for name, key in BASELINE_KEYS.items():
         s = B.crossfit_group_mean(df, key, COLS.target, "fold", "pred")
