@@ -7,8 +7,6 @@ of those (small, per-category) statistics back to the rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
                                 OneHotEncoder,
