@@ -231,18 +231,11 @@ def _serving(spark, sf):
 
 
 def q_r1_r2_score_range(spark, sf):
-    from paysight.operators.scoring import post_process, request_features
+    from paysight.operators.scoring import request_features, score_range
     data, gbt = _serving(spark, sf)
     feats = data.prep_model.transform(M.encode(request_features(requests(spark, sf)),
-                                               data.encoders)).withColumnRenamed(
-        "request_id", COLS.id)
-    point = M.score_usd(gbt, feats.select(COLS.id, "features"), "_point")
-    q = IV.predict_quantiles(_qrf(spark, sf), feats, COLS.id, [LOWER_QUANTILE, UPPER_QUANTILE])
-    j = point.join(q, COLS.id, "left")
-    r = post_process(F.col("_point"), F.expm1(IV.qcol(LOWER_QUANTILE)),
-                     F.expm1(IV.qcol(UPPER_QUANTILE)))
-    return j.select(F.col(COLS.id).alias("request_id"), r["point"].alias("predicted_salary"),
-                    r["lower"].alias("lower"), r["upper"].alias("upper"))
+                                               data.encoders))
+    return score_range(feats, gbt, _qrf(spark, sf), "request_id")
 
 
 def q_r3_stream_scoring(spark, sf):
@@ -251,9 +244,10 @@ def q_r3_stream_scoring(spark, sf):
     in_dir = scratch_path(spark, "requests-in")
     requests(spark, sf).write.mode("overwrite").json(in_dir)
     out_dir, ckpt = scratch_path(spark, "scores-out"), scratch_path(spark, "scores-ckpt")
-    q = start_stream(spark, in_dir, out_dir, ckpt, data.encoders, data.prep_model, gbt)
+    q = start_stream(spark, in_dir, out_dir, ckpt, data.encoders, data.prep_model, gbt,
+                     _qrf(spark, sf))
     q.awaitTermination(600)
-    return spark.read.parquet(out_dir)
+    return spark.read.parquet(out_dir).drop("batch")
 
 
 def q_v4_cv_models(spark, sf):

@@ -20,7 +20,8 @@ def test_stream_equals_batch(spark):
     from paysight.sources.requests import requests
     from paysight.streaming.scoring import score_requests
     data, gbt = MQ._serving(spark, SF_SMALL)
-    batch = score_requests(requests(spark, SF_SMALL), data.encoders, data.prep_model, gbt)
+    batch = score_requests(requests(spark, SF_SMALL), data.encoders, data.prep_model, gbt,
+                           MQ._qrf(spark, SF_SMALL))
     stream = MQ.q_r3_stream_scoring(spark, SF_SMALL)
     cols = ["request_id", "predicted_salary", "lower", "upper"]
     assert sorted(batch.select(*cols).collect()) == sorted(stream.select(*cols).collect())
