@@ -57,12 +57,29 @@ def one_hot_slot(df: DataFrame, fitted: DataFrame, col: str, out: str) -> DataFr
 
 
 # ----------------------------------------------------------------------------- T3
-def target_encode_crossfit(train: DataFrame, col: str, y: str, fold: str) -> DataFrame:
+def fold_statistics(train: DataFrame, y: str, fold: str) -> DataFrame:
+    """Global mean / population variance of ``y`` over the *other* folds, one row per
+    fold (k rows): fold sums subtracted from the totals. Shared by every encoded
+    column of one training frame."""
+    ft = train.groupBy(fold).agg(F.count("*").alias("fn"), F.sum(y).alias("fs"),
+                                 F.sum(F.col(y) * F.col(y)).alias("fq"))
+    tot = train.agg(F.struct(F.count("*").alias("n"), F.sum(y).alias("s"),
+                             F.sum(F.col(y) * F.col(y)).alias("q"))).scalar()
+    g = ft.select(fold, (tot["n"] - F.col("fn")).alias("gn"), (tot["s"] - F.col("fs")).alias("gs"),
+                  (tot["q"] - F.col("fq")).alias("gq"))
+    return g.select(fold, (F.col("gs") / F.col("gn")).alias("gmean"),
+                    (F.col("gq") / F.col("gn") - F.pow(F.col("gs") / F.col("gn"), 2))
+                    .alias("gvar"))
+
+
+def target_encode_crossfit(train: DataFrame, col: str, y: str, fold: str,
+                           gstats: DataFrame | None = None) -> DataFrame:
     """T3 (training rows): out-of-fold empirical-Bayes target encoding.
 
     One grouped aggregate of (n, sum y, sum y^2) per (category, fold); the
     out-of-fold statistics are category totals minus the own fold, and the
-    global mean / variance likewise per fold. Encoding:
+    global mean / variance likewise per fold (``fold_statistics``, pass it in to
+    share it between columns). Encoding:
     lambda = n*var_y / (n*var_y + var_cat) (population variances);
     enc = lambda*mean_cat + (1-lambda)*mean_y; unseen -> mean_y.
     """
@@ -70,22 +87,13 @@ def target_encode_crossfit(train: DataFrame, col: str, y: str, fold: str) -> Dat
                                       F.sum(F.col(y) * F.col(y)).alias("q"))
     cat_tot = g.groupBy(col).agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"),
                                  F.sum("q").alias("tq"))
-    fold_tot = g.groupBy(fold).agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"),
-                                   F.sum("q").alias("fq"))
-    all_tot = g.agg(F.struct(F.sum("n").alias("n"), F.sum("s").alias("s"),
-                             F.sum("q").alias("q"))).scalar()
-    # global statistics of the other folds, one row per fold (k rows)
-    gstats = fold_tot.select(
-        fold, (all_tot["n"] - F.col("fn")).alias("gn"), (all_tot["s"] - F.col("fs")).alias("gs"),
-        (all_tot["q"] - F.col("fq")).alias("gq"))
-    gstats = gstats.select(fold, (F.col("gs") / F.col("gn")).alias("gmean"),
-                           (F.col("gq") / F.col("gn") - F.pow(F.col("gs") / F.col("gn"), 2))
-                           .alias("gvar"))
+    if gstats is None:
+        gstats = fold_statistics(train, y, fold)
     # category statistics of the other folds, one row per (category, fold)
     oof = (g.join(cat_tot, col)
            .select(col, fold, (F.col("tn") - F.col("n")).alias("on"),
                    (F.col("ts") - F.col("s")).alias("os"), (F.col("tq") - F.col("q")).alias("oq")))
-    oof = oof.join(F.broadcast(gstats), fold).withColumn(
+    oof = oof.join(F.broadcast(gstats), fold).withColumn(  # k rows
         "enc", _eb_encoding(F.col("on"), F.col("os"), F.col("oq"), F.col("gmean"),
                             F.col("gvar")))
     return oof.select(col, fold, "enc", "gmean")

@@ -69,8 +69,9 @@ def encode_train(train: DataFrame, fe: FittedEncoders, id_col: str, n_folds: int
         out = T.one_hot_slot(out, fitted, c, f"{c}__slot")
     folded = hash_folds(train, id_col, n_folds, seed, "_te_fold")
     out = hash_folds(out, id_col, n_folds, seed, "_te_fold")
+    gstats = T.fold_statistics(folded, y, "_te_fold")
     for c in TARGET_ENC_FEATURES:
-        table = T.target_encode_crossfit(folded, c, y, "_te_fold")
+        table = T.target_encode_crossfit(folded, c, y, "_te_fold", gstats)
         out = T.apply_crossfit_encoding(out, table, c, "_te_fold", f"te_{c}")
     return out.drop("_te_fold")
 

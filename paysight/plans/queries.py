@@ -366,8 +366,9 @@ def q_t3_target_encoding(spark, sf):
     train = SP.hash_folds(df.filter(F.col("split") == "train"), COLS.id)
     rest = df.filter(F.col("split") != "train")
     out_tr, out_rest = train, rest
+    gstats = T.fold_statistics(train, "y_log", "fold")
     for c in [COLS.country, COLS.company, COLS.location]:
-        table = T.target_encode_crossfit(train, c, "y_log", "fold")
+        table = T.target_encode_crossfit(train, c, "y_log", "fold", gstats)
         out_tr = T.apply_crossfit_encoding(out_tr, table, c, "fold", f"te_{c}")
         enc, gm = T.fit_target_encoding(train, c, "y_log")
         out_rest = T.apply_target_encoding(out_rest, enc, gm, c, f"te_{c}")
