@@ -89,3 +89,30 @@ def test_hash_position_matches_sort(spark):
     exp = [r["pid"] for r in df.orderBy("h", "pid").collect()]
     assert got == exp
     assert sorted(r["pos"] for r in p.collect()) == list(range(3000))
+
+
+def test_hot_key_third_of_rows_results_whole(spark):
+    """One category holds a third of all rows: encodings and item statistics stay
+    exact (partial aggregation, no row dropped or capped)."""
+    from paysight.operators import eda
+    n = 3000
+    rows = [(i, "hot" if i % 3 == 0 else f"k{i % 17}", float((i * 31) % 97), i % 5)
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "id int, c string, y double, fold int")
+    table = T.target_encode_crossfit(df, "c", "y", "fold")
+    got = T.apply_crossfit_encoding(df, table, "c", "fold", "te")
+    assert got.count() == n
+    pdf = pd.DataFrame(rows, columns=["id", "c", "y", "fold"])
+    hot_rows = {r["id"]: r["te"] for r in got.filter(F.col("c") == "hot").collect()}
+    for fold in range(5):
+        other = pdf[pdf.fold != fold]
+        cat = other[other.c == "hot"].y
+        gv = other.y.var(ddof=0)
+        lam = len(cat) * gv / (len(cat) * gv + cat.var(ddof=0))
+        exp = lam * cat.mean() + (1 - lam) * other.y.mean()
+        some = pdf[(pdf.c == "hot") & (pdf.fold == fold)].id.iloc[0]
+        assert abs(hot_rows[some] - exp) < 1e-9
+    items = spark.createDataFrame([(i, ["hot"] if i % 3 == 0 else [f"s{i % 7}"], float(i))
+                                   for i in range(n)], "id int, items array<string>, y double")
+    top = {r["item"]: r["n_postings"] for r in eda.item_frequency(items, "items", 10).collect()}
+    assert top["hot"] == n // 3
