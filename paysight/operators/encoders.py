@@ -189,13 +189,16 @@ def word_terms(df: DataFrame, id_col: str, text: str, stop_words: list[str],
     words = F.filter(F.regexp_extract_all(t, F.lit(WORD_PATTERN), 0),
                      lambda x: ~x.isin(*stop_words))
     base = df.select(id_col, words.alias("_w"))
-    grams = F.col("_w")
+    w = F.col("_w")
+    grams = w
     for k in range(2, ngram_max + 1):
-        w = F.col("_w")
-        kgrams = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(-1))),
-                             lambda i: F.array_join(F.slice(w, i + 1, k), " "))
-        kgrams = F.when(F.size(w) >= k, kgrams).otherwise(F.array().cast("array<string>"))
-        grams = F.concat(grams, kgrams)
+        # k-grams by zipping the sequence with its shifted copies: one linear pass
+        kg = w
+        for j in range(1, k):
+            shifted = F.slice(w, j + 1, F.greatest(F.size(w) - j, F.lit(0)))
+            kg = F.zip_with(kg, shifted, lambda a, b: F.when(
+                a.isNotNull() & b.isNotNull(), F.concat(a, F.lit(" "), b)))
+        grams = F.concat(grams, F.filter(kg, lambda x: x.isNotNull()))
     return base.select(id_col, F.explode(grams).alias("term"))
 
 
