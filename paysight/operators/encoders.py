@@ -157,16 +157,19 @@ def tfidf_long(terms: DataFrame, id_col: str, fit_ids: DataFrame, vocab_size: in
     raw counts, L2-normalised per document. Vocabulary: terms of the fitting
     documents with df >= min_df, the ``vocab_size`` most frequent by corpus count
     (ties by term)."""
-    tf = terms.groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+    from pyspark.sql.window import Window
+    from paysight.session import materialize
+    # term counts are read by the vocabulary fit and by the weighting: written once
+    tf = materialize(terms.groupBy(id_col, "term").agg(F.count("*").alias("tf")), "term-counts")
     fit_tf = tf.join(fit_ids, id_col, "left_semi")
     n_docs = fit_ids.agg(F.count("*")).scalar()
     stats = fit_tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
     vocab = (stats.filter(F.col("df") >= min_df).orderBy(F.desc("cf"), "term").limit(vocab_size)
              .select("term", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")))
+    # the vocabulary is capped at ``vocab_size`` rows: a bounded broadcast
     w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return (w.join(norm, id_col).select(id_col, "term", (F.col("w") / F.col("norm"))
-                                        .alias("weight")))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
 def skill_terms(df: DataFrame, id_col: str, text: str) -> DataFrame:
