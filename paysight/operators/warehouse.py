@@ -27,9 +27,16 @@ COUNT_SQL = {
 }
 
 
-def count_diagnostics(spark: SparkSession) -> DataFrame:
-    """One row per named count, each a text SQL query over the views."""
-    frames = [spark.sql(q).select(F.lit(name).alias("metric"), F.col("n").cast("long").alias("n"))
+def count_diagnostics(spark: SparkSession, approx: bool = False) -> DataFrame:
+    """One row per named count, each a text SQL query over the views.
+
+    ``approx`` swaps the exact distinct count for a HyperLogLog estimate (one
+    small sketch per task instead of a shuffle of the distinct keys)."""
+    def text(q: str) -> str:
+        return q.replace("COUNT(DISTINCT job_fact_id)", "approx_count_distinct(job_fact_id)") \
+            if approx else q
+    frames = [spark.sql(text(q)).select(F.lit(name).alias("metric"),
+                                        F.col("n").cast("long").alias("n"))
               for name, q in COUNT_SQL.items()]
     return reduce(DataFrame.unionByName, frames)
 
