@@ -13,6 +13,7 @@ Layout of a training run:
 
 from __future__ import annotations
 
+import sys
 import time
 from dataclasses import dataclass, field
 
@@ -210,7 +211,7 @@ def train_all(data: PreparedData, mc: ModelConfig, scale: dict | None = None,
             met = regression_metrics(score_usd(m, data.val), COLS.target,
                                      "prediction_usd").first()
         except Exception as e:  # noqa: BLE001 - a failing learner is skipped
-            print(f"[train_all] {name} failed: {e}")
+            print(f"[train_all] {name} failed: {e}", file=sys.stderr)
             return None
         return name, m, (name, float(met["MAE"]), float(met["RMSE"]), float(met["R2"]),
                          float(met["MAPE"]), round(time.time() - t0, 1))
