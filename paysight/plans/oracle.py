@@ -573,3 +573,20 @@ ORACLE["m1_one_feature_ols"] = SP + """
 SELECT round(regr_slope(salary_year_avg, CAST(n_skills AS DOUBLE)), 4) AS slope,
   round(regr_intercept(salary_year_avg, CAST(n_skills AS DOUBLE)), 4) AS intercept
 FROM split_rows WHERE split = 'train'"""
+
+ORACLE["f5_f9_title_and_flags"] = P + r"""
+SELECT posting_id,
+  CAST(length(coalesce(job_title, '')) AS BIGINT) AS title_len,
+  CAST(len(list_filter(regexp_split_to_array(coalesce(job_title, ''), '\s+'),
+    lambda x: x <> '')) AS BIGINT) AS title_word_count,
+  CAST(CASE WHEN lower(job_work_from_home) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS remote_flag,
+  CAST(CASE WHEN lower(job_no_degree_mention) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS no_degree_flag,
+  CAST(CASE WHEN lower(job_health_insurance) IN ('true', '1', 'yes', 't') THEN 1 ELSE 0 END AS BIGINT) AS health_flag,
+  CAST(CASE
+    WHEN regexp_matches(lower(coalesce(job_title, 'none')), '\b(intern|internship|junior|jr|entry|graduate|trainee)\b') THEN -1
+    WHEN regexp_matches(lower(coalesce(job_title, 'none')), '\b(senior|sr|lead|principal|staff|head|manager|director|chief|vp)\b') THEN 2
+    ELSE 0 END AS BIGINT) AS seniority_score,
+  CAST(coalesce(month(try_strptime(job_posted_date, '%Y-%m-%d')), 0) AS BIGINT) AS posted_month,
+  coalesce(job_schedule_type, 'unknown') AS job_schedule_type,
+  coalesce(job_title, '') AS job_title
+FROM postings"""

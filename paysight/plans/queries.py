@@ -117,6 +117,23 @@ def q_f4_parse_date(spark, sf):
         .alias("posted_ts"))
 
 
+def q_f5_f9_title_and_flags(spark, sf):
+    """F5-F9 and C4 over every posting (not only the salaried ones)."""
+    p = postings(spark, sf)
+    t = F.col(COLS.title)
+    return p.select(
+        COLS.id,
+        X.text_length(t).cast("long").alias("title_len"),
+        X.word_count(t).cast("long").alias("title_word_count"),
+        X.int_flag(COLS.remote).cast("long").alias("remote_flag"),
+        X.int_flag(COLS.no_degree).cast("long").alias("no_degree_flag"),
+        X.int_flag(COLS.health).cast("long").alias("health_flag"),
+        X.seniority_score(t).cast("long").alias("seniority_score"),
+        X.posted_month(COLS.posted).cast("long").alias("posted_month"),
+        X.fill_category(COLS.schedule).alias("job_schedule_type"),
+        X.fill_text(COLS.title).alias("job_title"))
+
+
 def q_f10_skill_categories(spark, sf):
     df = (postings(spark, sf).withColumn("_tmap", P.parse_skill_map(COLS.type_skills))
           .select(COLS.id, P.skill_category_counts(COLS.type_skills, parsed=F.col("_tmap"))
@@ -221,6 +238,7 @@ QUERIES = {
     "c9_min_support": q_c9_min_support,
     "f1_parse_skills": q_f1_parse_skills,
     "f4_parse_date": q_f4_parse_date,
+    "f5_f9_title_and_flags": q_f5_f9_title_and_flags,
     "f10_skill_categories": q_f10_skill_categories,
     "f11_log_target": q_f11_log_target,
     "f18_item_sets": q_f18_item_sets,
