@@ -11,8 +11,9 @@ equal variant meet by an equality join, and each pair is verified on all 64 bits
 Only different fingerprints are indexed, however many copies they have. A variant that
 many fingerprints share (a large group of near copies) is not expanded into pairs:
 
-1. every fingerprint is verified against the least one with the same variant, and the
-   links found are contracted to components;
+1. every fingerprint is verified against the first and last one in the ordered list of
+   its variant and against a few before it (``NEIGHBOURS``), and the links found are
+   contracted to components;
 2. the join then pairs only fingerprints of different components, in variants that hold
    more than one component, and gives one row for each pair of components.
 
@@ -43,6 +44,8 @@ from paysight.session import materialize
 SHINGLE, SEED, MAX_BITS = 4, 42, 4
 #: First bit and width of each segment.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: Besides the ends of its variant's list, a fingerprint is first compared with these many before it.
+NEIGHBOURS = (1, 2, 4, 8, 16, 32)
 #: Shingle hashes that are unpacked to bits at once.
 BLOCK = 65_536
 
@@ -116,20 +119,28 @@ def components(links: DataFrame) -> DataFrame:
         mark = now
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly before each of them is expanded to 64 variants."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
 def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, comp) for different fingerprints ``fp``: comp is the least fingerprint reachable."""
     if max_bits >= 2 * len(SEGMENTS):
         raise ValueError(f"{len(SEGMENTS)} segments find at most {2 * len(SEGMENTS) - 1} differing bits")
-    same = Window.partitionBy("key")
-    stars = (variants(fps.select("fp")).withColumn("least", F.min("fp").over(same))
-             .where((F.col("fp") != F.col("least")) & _near(F.col("fp"), F.col("least"), max_bits))
-             .select(F.col("fp").alias("a"), F.col("least").alias("b")))
+    in_order = Window.partitionBy("key").orderBy("fp")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    others = F.array(F.first("fp").over(whole), F.last("fp").over(whole), *[F.lag("fp", n).over(in_order) for n in NEIGHBOURS])
+    stars = (variants(_spread(fps.select("fp"))).withColumn("others", others)
+             .withColumn("others", F.filter("others", lambda x: (x != F.col("fp")) & _near(x, F.col("fp"), max_bits)))
+             .where(F.size("others") > 0).select(F.col("fp").alias("a"), F.explode(F.array_distinct("others")).alias("b")))
     first = components(stars)
     joined = materialize(fps.select("fp").join(first, F.col("fp") == F.col("node"), "left")
                          .select("fp", F.coalesce("root", "fp").alias("c")), "first-components")
-    indexed = variants(joined)
-    mixed = indexed.groupBy("key").agg(F.min("c").alias("_lo"), F.max("c").alias("_hi")).where("_lo < _hi").select("key")
-    met = materialize(indexed.join(mixed, "key", "left_semi"), "variants")
+    same = Window.partitionBy("key")
+    mixed = (variants(_spread(joined)).withColumns({"_lo": F.min("c").over(same), "_hi": F.max("c").over(same)})
+             .where("_lo < _hi").select("key", "fp", "c"))
+    met = materialize(mixed, "variants")
     x, y = met.alias("x"), met.alias("y")
     cross = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c"))
                     & _near(F.col("x.fp"), F.col("y.fp"), max_bits))
