@@ -7,7 +7,7 @@ of those (small, per-category) statistics back to the rows.
 
 from __future__ import annotations
 
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
                                 OneHotEncoder,
                                 RegexTokenizer, SQLTransformer, StandardScaler, StopWordsRemover,
@@ -252,6 +252,3 @@ def feature_stages(numeric: list[str], ohe: list[str], te_cols: list[str],
                                outputCol="features", handleInvalid="keep")]
     return stages
 
-
-def feature_model(stages: list) -> Pipeline:
-    return Pipeline(stages=stages)

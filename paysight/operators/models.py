@@ -40,15 +40,20 @@ TE_COLS = [f"te_{c}" for c in TARGET_ENC_FEATURES]
 class FittedEncoders:
     slots: dict = field(default_factory=dict)      # column -> (category, slot) frame
     target: dict = field(default_factory=dict)     # column -> (encoding frame, default)
+    mean: float | None = None                      # the default of unseen categories
 
 
 def fit_encoders(train: DataFrame, min_frequency: int, y: str = LABEL) -> FittedEncoders:
-    """T2 + T3 (inference side) fitted on the training rows."""
-    fe = FittedEncoders()
+    """T2 + T3 (inference side) fitted on the training rows.
+
+    The tables (one row per category) are written once: scoring reads them and never
+    aggregates the training rows again."""
+    fe = FittedEncoders(mean=train.agg(F.avg(y)).first()[0])
     for c in OHE_FEATURES:
-        fe.slots[c] = T.frequent_categories(train, c, min_frequency)
+        fe.slots[c] = materialize(T.frequent_categories(train, c, min_frequency), f"slots-{c}")
     for c in TARGET_ENC_FEATURES:
-        fe.target[c] = T.fit_target_encoding(train, c, y)
+        enc, _ = T.fit_target_encoding(train, c, y)
+        fe.target[c] = (materialize(enc, f"target-{c}"), F.lit(fe.mean))
     return fe
 
 
@@ -68,8 +73,9 @@ def encode_train(train: DataFrame, fe: FittedEncoders, id_col: str, n_folds: int
     out = train
     for c, fitted in fe.slots.items():
         out = T.one_hot_slot(out, fitted, c, f"{c}__slot")
-    folded = hash_folds(train, id_col, n_folds, seed, "_te_fold")
-    out = hash_folds(out, id_col, n_folds, seed, "_te_fold")
+    # own seed: these folds are independent of the split and of the outer CV folds
+    folded = hash_folds(train, id_col, n_folds, seed + 1, "_te_fold")
+    out = hash_folds(out, id_col, n_folds, seed + 1, "_te_fold")
     gstats = T.fold_statistics(folded, y, "_te_fold")
     for c in TARGET_ENC_FEATURES:
         table = T.target_encode_crossfit(folded, c, y, "_te_fold", gstats)
@@ -158,7 +164,7 @@ def model_zoo(train: DataFrame, mc: ModelConfig, scale: dict | None = None) -> d
         "LinearRegression": LinearRegression(**{**common, "solver": "l-bfgs"}, regParam=0.0),
         "Ridge": LinearRegression(**lin, regParam=2.0 / n, elasticNetParam=0.0),
         "Lasso": LinearRegression(**lin, maxIter=5000, **elastic_net_params(0.001, 1.0, sd)),
-        "ElasticNet": LinearRegression(**lin, **elastic_net_params(0.001, 0.5, sd)),
+        "ElasticNet": LinearRegression(**lin, maxIter=5000, **elastic_net_params(0.001, 0.5, sd)),
         "RandomForest": RandomForestRegressor(**common, numTrees=s["trees"],
                                               minInstancesPerNode=2,
                                               featureSubsetStrategy="sqrt",
@@ -233,33 +239,39 @@ def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, iters: int = 60
 
 
 # ----------------------------------------------------------------------------- stacking
-def stack(data: PreparedData, bases: dict, mc: ModelConfig, n_folds: int = 5,
-          meta_alpha: float = 1.0, parallelism: int = 1) -> tuple:
-    """Out-of-fold base predictions in USD (unshuffled folds), Ridge meta
-    learner on them, bases refitted on all training rows.
-
-    Returns (meta model, refitted bases) and scores with ``stack_predict``."""
+def out_of_fold(train: DataFrame, bases: dict, mc: ModelConfig, n_folds: int = 5,
+                parallelism: int = 1) -> list[DataFrame]:
+    """For each unshuffled fold of raw training rows: id, target and one prediction column
+    per base learner, everything fitted on the other folds."""
     from concurrent.futures import ThreadPoolExecutor
-    tr = materialize(ordered_folds(data.train, COLS.id, n_folds, "_fold"), "stack-folds")
-    jobs = [(k, name, est) for k in range(n_folds) for name, est in bases.items()]
+    folded = materialize(ordered_folds(train, COLS.id, n_folds, "_fold"), "stack-folds")
 
-    def fit_one(job):
-        k, name, est = job
-        return k, name, est.fit(tr.filter(F.col("_fold") != k))
+    def one(k: int) -> DataFrame:
+        part = folded.withColumn("split", F.when(F.col("_fold") == k, "val").otherwise("train")).drop("_fold")
+        d = prepare(part, mc)
+        preds = d.val
+        for name, est in bases.items():
+            preds = score_usd(est.fit(d.train), preds, f"p_{name}")
+        return materialize(preds.select(COLS.id, COLS.target, *[f"p_{n}" for n in bases]), "stack-oof")
 
-    # the k x bases fits are independent: run them from driver threads
+    # the folds are independent: run them from driver threads
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        fitted = {(k, name): m for k, name, m in ex.map(fit_one, jobs)}
-    oof = None
-    for k in range(n_folds):
-        held = tr.filter(F.col("_fold") == k)
-        preds = held.select(COLS.id, COLS.target)
-        for name in bases:
-            p = score_usd(fitted[(k, name)], held.select(COLS.id, "features"),
-                          f"p_{name}").drop("features")
-            preds = preds.join(p, COLS.id)
-        oof = preds if oof is None else oof.unionByName(preds)
-    oof = materialize(oof, "stack-oof")
+        return list(ex.map(one, range(n_folds)))
+
+
+def stack(split_frame: DataFrame, data: PreparedData, bases: dict, mc: ModelConfig, n_folds: int = 5,
+          meta_alpha: float = 1.0, parallelism: int = 1) -> tuple:
+    """Out-of-fold base predictions in USD (unshuffled folds of the training rows of
+    ``split_frame``), Ridge meta learner on them, bases refitted on all training rows.
+
+    For each fold encoders and preprocessing are fitted on the other folds, so that no
+    label of a held-out row reaches its own prediction. Returns (meta model, refitted
+    bases); score with ``stack_predict``."""
+    from concurrent.futures import ThreadPoolExecutor
+    folds = out_of_fold(split_frame.filter(F.col("split") == "train"), bases, mc, n_folds, parallelism)
+    oof = folds[0]
+    for f in folds[1:]:
+        oof = oof.unionByName(f)
     cols = [f"p_{n}" for n in bases]
     meta_in = VectorAssembler(inputCols=cols, outputCol="meta_features").transform(oof)
     n = meta_in.count()
@@ -287,7 +299,6 @@ def deploy_compact(data: PreparedData, params: dict, mc: ModelConfig,
     keeping the ensemble's metrics (``reference``) alongside."""
     m = GBTRegressor(featuresCol="features", labelCol=LABEL, seed=mc.seed, **params).fit(
         data.train)
-    spark = data.train.sparkSession
     frames = []
     for split, df in [("val", data.val), ("test", data.test)]:
         met = regression_metrics(score_usd(m, df), COLS.target, "prediction_usd")
@@ -297,7 +308,6 @@ def deploy_compact(data: PreparedData, params: dict, mc: ModelConfig,
     if reference is not None:
         out = out.unionByName(reference.select(F.lit("reference").alias("role"), "split", "MAE",
                                                "RMSE", "R2", "MAPE"))
-    _ = spark
     return m, out
 
 
@@ -311,7 +321,7 @@ def cross_validate(frame: DataFrame, estimators: dict, mc: ModelConfig, n_folds:
     Returns per-fold metrics (model, fold, n, MAE, RMSE, R2, MAPE); summarise with
     ``evaluate.cv_summary``."""
     from functools import reduce
-    folded = hash_folds(frame, id_col, n_folds, mc.seed, "_cv_fold")
+    folded = hash_folds(frame, id_col, n_folds, mc.seed + 2, "_cv_fold")
     out = []
     for k in range(n_folds):
         part = folded.withColumn("split", F.when(F.col("_cv_fold") == k, F.lit("val"))

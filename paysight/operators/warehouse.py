@@ -118,16 +118,15 @@ def column_catalogue(views: dict[str, DataFrame], exact: bool = True) -> DataFra
 
 def inclusion_profile(pairs: list[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
     """For each candidate (child.col -> parent.col): distinct child values,
-    orphans (left-anti against the parent's distinct keys) and coverage %."""
+    orphans and coverage %, from one left join with a flag of the parent's keys."""
     frames = []
     for child_name, child, ccol, parent_name, parent, pcol in pairs:
         cv = child.select(F.col(ccol).alias("v")).where(F.col("v").isNotNull()).distinct()
-        pv = parent.select(F.col(pcol).alias("v")).distinct()
-        orph = cv.join(pv, "v", "left_anti")
-        s = cv.agg(F.count("*").alias("n_child_values")).select(
+        pv = parent.select(F.col(pcol).alias("v")).distinct().withColumn("found", F.lit(1))
+        s = cv.join(pv, "v", "left").agg(
+            F.count("*").alias("n_child_values"), F.count_if(F.col("found").isNull()).alias("n_orphans")).select(
             F.lit(f"{child_name}.{ccol}").alias("child"),
-            F.lit(f"{parent_name}.{pcol}").alias("parent"),
-            "n_child_values", orph.agg(F.count("*")).scalar().alias("n_orphans"))
+            F.lit(f"{parent_name}.{pcol}").alias("parent"), "n_child_values", "n_orphans")
         frames.append(s)
     out = reduce(DataFrame.unionByName, frames)
     return out.withColumn(

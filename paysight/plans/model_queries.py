@@ -7,7 +7,6 @@ defaults stay the reference sizes. Prepared feature frames are written once per
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +16,17 @@ from paysight.operators import explain as XP
 from paysight.operators import intervals as IV
 from paysight.operators import models as M
 from paysight.operators import tuning as TU
+from paysight.operators.scorer import Scorer
 from paysight.operators.evaluate import interval_metrics, regression_metrics
 from paysight.operators.split import hash_sample
 from paysight.plans.shared import split_frame
 from paysight.session import scratch_path
 from paysight.sources.requests import requests
 
-LOCAL = ModelConfig(skills_vocab=200, title_vocab=100)
+#: Sizes of encoders and vocabularies: the library defaults.
+CONFIG = ModelConfig()
+#: The date that stands for "now" in the registered queries, so that reruns agree.
+POSTED_AT = "2024-01-15 00:00:00"
 SMALL_TREES = {"trees": 20, "trees_et": 20, "gbt_small_iter": 20, "gbt_iter": 20,
                "lgbm_iter": 20, "depth": 8}
 _CACHE: dict = {}
@@ -34,9 +37,9 @@ def _split_raw(spark, sf) -> DataFrame:
 
 
 def _data(spark, sf) -> M.PreparedData:
-    key = ("prep", id(spark), sf)
+    key = ("prep", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
-        _CACHE[key] = M.prepare(_split_raw(spark, sf), LOCAL)
+        _CACHE[key] = M.prepare(_split_raw(spark, sf), CONFIG)
     return _CACHE[key]
 
 
@@ -66,13 +69,13 @@ def q_m1_one_feature_ols(spark, sf):
 
 # ---------------------------------------------------------------- zoo / ranking
 def q_m1_m4_linear_zoo(spark, sf):
-    res, _ = M.train_all(_data(spark, sf), LOCAL, only=["LinearRegression", "Ridge", "Lasso",
+    res, _ = M.train_all(_data(spark, sf), CONFIG, only=["LinearRegression", "Ridge", "Lasso",
                                                         "ElasticNet"], parallelism=4)
     return res.drop("seconds")
 
 
 def q_m5_m9_tree_zoo(spark, sf):
-    res, _ = M.train_all(_data(spark, sf), LOCAL, SMALL_TREES,
+    res, _ = M.train_all(_data(spark, sf), CONFIG, SMALL_TREES,
                          only=["RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost",
                                "LightGBM"], parallelism=3)
     return res.drop("seconds")
@@ -80,7 +83,7 @@ def q_m5_m9_tree_zoo(spark, sf):
 
 def q_m10_early_stopping(spark, sf):
     data = _data(spark, sf)
-    return _val_test(M.fit_with_early_stopping(data, LOCAL, iters=30), data, "EarlyStoppingGBT")
+    return _val_test(M.fit_with_early_stopping(data, CONFIG, iters=30), data, "EarlyStoppingGBT")
 
 
 def q_m12_tune_lightgbm(spark, sf):
@@ -106,7 +109,7 @@ def _bases():
 
 def q_m14_stacking(spark, sf):
     data = _data(spark, sf)
-    meta, refit = M.stack(data, _bases(), LOCAL, n_folds=5, parallelism=4)
+    meta, refit = M.stack(_split_raw(spark, sf), data, _bases(), CONFIG, n_folds=5, parallelism=2)
     out = []
     for split, df in [("val", data.val), ("test", data.test)]:
         out.append(_metrics(M.stack_predict(meta, refit, df), "Stack", split))
@@ -115,12 +118,12 @@ def q_m14_stacking(spark, sf):
 
 def q_m16_deploy(spark, sf):
     data = _data(spark, sf)
-    _, rows = M.deploy_compact(data, {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}, LOCAL)
+    _, rows = M.deploy_compact(data, {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1}, CONFIG)
     return rows
 
 
 def _qrf(spark, sf):
-    key = ("qrf", id(spark), sf)
+    key = ("qrf", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         _CACHE[key] = IV.fit_quantile_forest(_data(spark, sf).train, M.LABEL, n_trees=20,
                                              bins=256, max_depth=12, min_leaf=5)
@@ -140,7 +143,7 @@ def q_m17_quantile_forest(spark, sf):
 
 # ---------------------------------------------------------------- explanations
 def _ridge(spark, sf):
-    key = ("ridge", id(spark), sf)
+    key = ("ridge", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         data = _data(spark, sf)
         n = data.train.count()
@@ -151,7 +154,7 @@ def _ridge(spark, sf):
 
 
 def q_v7_permutation_importance(spark, sf):
-    key = ("v7", id(spark), sf)
+    key = ("v7", spark.sparkContext.applicationId, sf)
     if key in _CACHE:
         return _CACHE[key]
     data, model = _data(spark, sf), _ridge(spark, sf)
@@ -213,17 +216,16 @@ def q_t8_native_frame(spark, sf):
 
 def q_s7_model_roundtrip(spark, sf):
     data = _data(spark, sf)
-    full = PipelineModel(stages=[data.prep_model, _ridge(spark, sf)])
-    path = scratch_path(spark, "model")
-    full.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    raw_val = M.encode(_split_raw(spark, sf).filter(F.col("split") == "val"), data.encoders)
-    return back.transform(raw_val).select(COLS.id, F.expm1("prediction").alias("prediction_usd"))
+    path = scratch_path(spark, "scorer")
+    Scorer(data.encoders, data.prep_model, _ridge(spark, sf), name="Ridge").save(path)
+    back = Scorer.load(spark, path)
+    raw_val = _split_raw(spark, sf).filter(F.col("split") == "val")
+    return M.score_usd(back.point_model, back.features(raw_val)).select(COLS.id, "prediction_usd")
 
 
 def _serving(spark, sf):
     data = _data(spark, sf)
-    key = ("gbt", id(spark), sf)
+    key = ("gbt", spark.sparkContext.applicationId, sf)
     if key not in _CACHE:
         _CACHE[key] = GBTRegressor(featuresCol="features", labelCol=M.LABEL, maxIter=20,
                                    maxDepth=5, seed=42).fit(data.train)
@@ -233,7 +235,7 @@ def _serving(spark, sf):
 def q_r1_r2_score_range(spark, sf):
     from paysight.operators.scoring import request_features, score_range
     data, gbt = _serving(spark, sf)
-    feats = data.prep_model.transform(M.encode(request_features(requests(spark, sf)),
+    feats = data.prep_model.transform(M.encode(request_features(requests(spark, sf), POSTED_AT),
                                                data.encoders))
     return score_range(feats, gbt, _qrf(spark, sf), "request_id")
 
@@ -244,9 +246,10 @@ def q_r3_stream_scoring(spark, sf):
     in_dir = scratch_path(spark, "requests-in")
     requests(spark, sf).write.mode("overwrite").json(in_dir)
     out_dir, ckpt = scratch_path(spark, "scores-out"), scratch_path(spark, "scores-ckpt")
-    q = start_stream(spark, in_dir, out_dir, ckpt, data.encoders, data.prep_model, gbt,
-                     _qrf(spark, sf))
-    q.awaitTermination(600)
+    path = scratch_path(spark, "scorer")
+    Scorer(data.encoders, data.prep_model, gbt, _qrf(spark, sf), "GBT").save(path)
+    q = start_stream(spark, in_dir, out_dir, ckpt, Scorer.load(spark, path), posted_at=POSTED_AT)
+    q.awaitTermination()  # ends when the folder is drained, and raises what ended the query early
     return spark.read.parquet(out_dir).drop("batch")
 
 
@@ -257,7 +260,7 @@ def q_v4_cv_models(spark, sf):
            "Ridge": LinearRegression(**c, regParam=1e-4, elasticNetParam=0.0,
                                      standardization=False, solver="l-bfgs", maxIter=50)}
     frame = _split_raw(spark, sf).drop("split")
-    return cv_summary(M.cross_validate(frame, est, LOCAL, n_folds=5))
+    return cv_summary(M.cross_validate(frame, est, CONFIG, n_folds=5))
 
 
 MODEL_QUERIES = {

@@ -178,7 +178,7 @@ GROUP BY item ORDER BY n_postings DESC, item LIMIT 25""",
     "a12_highest_paying_items": S + """
 SELECT item, count(*) AS n_postings, quantile_cont(salary_year_avg, 0.5) AS median_target
 FROM (SELECT DISTINCT posting_id, unnest(skills_list) AS item, salary_year_avg FROM salaried_eda)
-GROUP BY item HAVING count(*) >= 800
+GROUP BY item HAVING count(*) >= 100
 ORDER BY median_target DESC, item LIMIT 20""",
     "a13_correlation": S + """,
 v AS (SELECT salary_year_avg AS a1, CAST(len(skills_list) AS DOUBLE) AS a2,

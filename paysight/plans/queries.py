@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
-from paysight.config import COLS, FEATURE_COLUMNS, NUMERIC_FEATURES
+from paysight.config import COLS, FEATURE_COLUMNS, MIN_SKILL_SUPPORT, NUMERIC_FEATURES, TOP_PAYING_SKILLS
 from paysight.config import NUMERIC_FEATURES as _NUM
 from paysight.functions import parsing as P
 from paysight.functions import text as X
@@ -215,7 +215,7 @@ def q_a11_item_frequency(spark, sf):
 
 def q_a12_highest_paying_items(spark, sf):
     return eda.highest_paying_items(_salaried_eda(spark, sf), "skills_list", COLS.target,
-                                    min_support=800, top=20)
+                                    min_support=MIN_SKILL_SUPPORT, top=TOP_PAYING_SKILLS)
 
 
 def q_a13_correlation(spark, sf):
@@ -481,7 +481,7 @@ def q_s6_report(spark, sf):
 
 
 def q_r1_request_features(spark, sf):
-    f = request_features(requests(spark, sf))
+    f = request_features(requests(spark, sf), "2024-01-15 00:00:00")
     return f.select(F.col("request_id"), *[
         (F.col(c).cast("long") if c in _NUM else F.col(c)).alias(c) for c in FEATURE_COLUMNS])
 

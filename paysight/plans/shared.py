@@ -20,7 +20,7 @@ CACHE: dict = {}
 
 
 def split_frame(spark: SparkSession, sf: str) -> DataFrame:
-    key = ("split", id(spark), sf)
+    key = ("split", spark.sparkContext.applicationId, sf)
     if key not in CACHE:
         df = train_val_test(prepared(postings(spark, sf)), COLS.id)
         CACHE[key] = materialize(df, "split-frame")

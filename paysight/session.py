@@ -40,8 +40,8 @@ def get_spark(master: str | None = None, app: str = "paysight",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the operator; only when it is unset (local
-    tests) a scratch folder is created and registered.
+    On a cluster the folder must be set; only where one machine does all the work
+    (``local`` masters, as in tests) a scratch folder is made and registered if it is unset.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -49,6 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.get()
     d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="paysight-ckpt-")
     sc.setCheckpointDir(d)
     return sc._jsc.sc().getCheckpointDir().get()

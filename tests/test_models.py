@@ -18,10 +18,10 @@ def test_quantile_forest_ordered_and_scoring_invariants(spark):
 def test_stream_equals_batch(spark):
     from paysight.plans import model_queries as MQ
     from paysight.sources.requests import requests
-    from paysight.streaming.scoring import score_requests
+    from paysight.operators.scorer import Scorer
     data, gbt = MQ._serving(spark, SF_SMALL)
-    batch = score_requests(requests(spark, SF_SMALL), data.encoders, data.prep_model, gbt,
-                           MQ._qrf(spark, SF_SMALL))
+    scorer = Scorer(data.encoders, data.prep_model, gbt, MQ._qrf(spark, SF_SMALL))
+    batch = scorer.score_requests(requests(spark, SF_SMALL), MQ.POSTED_AT)
     stream = MQ.q_r3_stream_scoring(spark, SF_SMALL)
     cols = ["request_id", "predicted_salary", "lower", "upper"]
     assert sorted(batch.select(*cols).collect()) == sorted(stream.select(*cols).collect())
@@ -60,3 +60,56 @@ def test_v9_linear_shap_matches_numpy(spark):
     exp = np.abs((x - x.mean(axis=0)) * coef).mean(axis=0)
     for name, e in zip(["a", "b", "c"], exp):
         assert abs(got[name] - e) < 1e-9
+
+
+def test_scorer_from_its_folder_equals_the_one_in_memory(spark, tmp_path):
+    from paysight.operators.scorer import Scorer
+    from paysight.plans import model_queries as MQ
+    from paysight.sources.requests import requests
+    data, gbt = MQ._serving(spark, SF_SMALL)
+    own = Scorer(data.encoders, data.prep_model, gbt, MQ._qrf(spark, SF_SMALL), "GBT", {"rows": 1})
+    own.save(str(tmp_path / "scorer"))
+    back = Scorer.load(spark, str(tmp_path / "scorer"))
+    req = requests(spark, SF_SMALL)
+    a, b = (sorted(s.score_requests(req, MQ.POSTED_AT).collect()) for s in (own, back))
+    assert a == b and a[0].model == "GBT" and back.metadata == {"rows": 1}
+    # no aggregate over training rows is left in the encoding of requests
+    from paysight.operators.scoring import request_features
+    plan = back.features(request_features(req))._jdf.queryExecution().optimizedPlan().toString()
+    assert "avg(" not in plan and "label_log" not in plan
+
+
+def test_stacking_does_not_see_held_out_labels(spark):
+    """Out-of-fold predictions of a fold stay the same when its labels change."""
+    from pyspark.ml.regression import LinearRegression
+
+    from paysight.config import COLS, ModelConfig
+    from paysight.operators import models as M
+    from paysight.operators.split import ordered_folds
+    from paysight.plans.shared import split_frame
+    train = split_frame(spark, SF_SMALL).filter(F.col("split") == "train")
+    fold = ordered_folds(train.select(COLS.id), COLS.id, 2, "_f")
+    changed = train.join(fold, COLS.id).withColumn(COLS.target, F.when(F.col("_f") == 0, F.col(COLS.target) * 3 + 7)
+                                                    .otherwise(F.col(COLS.target))).drop("_f")
+    base = {"ridge": LinearRegression(featuresCol="features", labelCol=M.LABEL, regParam=0.1)}
+    mc = ModelConfig(skills_vocab=50, title_vocab=20)
+    a, b = ({r[COLS.id]: round(r["p_ridge"], 3) for r in M.out_of_fold(x, base, mc, 2)[0].collect()} for x in (train, changed))
+    assert a == b and len(a) > 0
+
+
+def test_permutation_positions_do_not_overflow(spark):
+    df = spark.range(1).selectExpr("4000000000L p", "3999999999L a")
+    src = ((F.col("p").cast("decimal(19,0)") * F.col("a").cast("decimal(19,0)") + 5) % F.lit(4000000001).cast("decimal(19,0)"))
+    assert df.select(src.cast("long").alias("x")).first().x == (4000000000 * 3999999999 + 5) % 4000000001
+
+
+def test_shared_folder_must_be_set_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    import pytest
+
+    from paysight.session import shared_dir
+    sc = N(_jsc=N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False))),
+           getConf=lambda: {}, master="spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(N(sparkContext=sc))
