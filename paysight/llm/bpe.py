@@ -48,7 +48,9 @@ ID_LEAF = 65_536
 #: Characters before a cut in which the end of a match may still depend on what follows.
 LOOK = 3
 #: Pre-tokens (of at most MAX_KEPT bytes) whose ids a worker remembers.
-CACHE_SIZE, MAX_KEPT = 262_144, 128
+CACHE_SIZE, MAX_KEPT = 131_072, 64
+#: Pairs of tokens whose stability a worker remembers.
+PAIRS = 32_768
 
 
 class TreeBPE:
@@ -106,7 +108,7 @@ class TreeBPE:
         """Whether two neighbouring tokens encode to themselves."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) >= CACHE_SIZE:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self.merge(a + b) == [a, b]
         return known
@@ -213,8 +215,17 @@ def decode(ids: Column, path: str, pattern: str = public_tokenizers.PATTERN) ->
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add ``token_ids`` (packed), ``n_tokens`` and ``decoded`` (the round trip's bytes)."""
     bound_batches(docs.sparkSession)
-    ids = encode(text_or_empty(text), path)
-    out = docs.withColumns({"token_ids": ids, "decoded": decode(ids, path)})
+
+    @F.pandas_udf("struct<ids: binary, decoded: binary>")
+    def round_trip(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        """Both directions in one worker: a second one would hold the vocabulary again."""
+        bpe = tree_bpe(path, public_tokenizers.PATTERN)
+        for s in batches:
+            ids = [bpe.encode(t) for t in s]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object),
+                                "decoded": pd.Series([bpe.decode(x) for x in ids], dtype=object)})
+    coded = docs.withColumn("_coded", round_trip(text_or_empty(text)))
+    out = coded.withColumns({"token_ids": F.col("_coded.ids"), "decoded": F.col("_coded.decoded")}).drop("_coded")
     return out.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
 
 

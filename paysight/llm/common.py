@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 #: Words as the contracts define them: runs of anything but space and \t..\r.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Arrow batches end at this size, whatever the row count (very long texts).
-BATCH_BYTES = 16 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

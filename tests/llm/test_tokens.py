@@ -102,3 +102,12 @@ def test_classes_agree_with_the_library_for_all_code_points():
         chars = [chr(c) for c in range(block, block + 2048) if unicodedata.category(chr(c)) != "Cs"]
         text = "".join(f"a {c}{c}a1 {c} {c}!" for c in chars)
         assert pre_tokens(text, P.PATTERN) == [text[x:y] for _, (x, y) in lib.pre_tokenize_str(text)], hex(block)
+
+
+def test_encode_and_decode_as_columns(spark, edge_docs):
+    path = P.path(bpe.RANKS)
+    rows = edge_docs.select("text", bpe.encode(edge_docs.text, path).alias("ids"))
+    rows = rows.withColumn("back", bpe.decode(rows.ids, path)).collect()
+    assert all(bytes(r.back) == (r.text or "").encode() for r in rows)
+    empty = spark.createDataFrame([(None,)], "ids binary")
+    assert bytes(empty.select(bpe.decode(empty.ids, path).alias("b")).first().b) == b""
