@@ -29,6 +29,15 @@ skill_text AS (
       lambda x: '''' || x || ''''), ', ') || ']' AS job_skills
   FROM items GROUP BY k
 ),
+paid AS (
+  SELECT o.*, (CASE o_orderpriority WHEN '1-URGENT' THEN 128000 WHEN '2-HIGH' THEN 96000
+      WHEN '3-MEDIUM' THEN 64000 WHEN '5-LOW' THEN 0 ELSE 32000 END
+      + coalesce(c_nationkey, 0) * 2500
+      + CASE WHEN o_orderkey % 3 = 0 THEN 20000 ELSE 0 END
+      + CASE WHEN o_orderkey % 50 = 7 THEN 400000 ELSE 0 END)::DOUBLE
+      + o_totalprice % 80000::DOUBLE AS pay
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+),
 postings AS (
   SELECT o.o_orderkey AS posting_id,
     CASE WHEN o.o_orderkey % 97 = 0 THEN NULL ELSE
@@ -39,8 +48,8 @@ postings AS (
     CASE WHEN o.o_orderkey % 53 = 0 THEN NULL ELSE o.o_orderstatus END AS job_schedule_type,
     CASE WHEN o.o_orderkey % 10 = 0 THEN 'hour' ELSE 'year' END AS salary_rate,
     CASE WHEN o.o_orderkey % 10 = 0 THEN NULL WHEN o.o_orderkey % 10 = 1 THEN 0.0
-      ELSE o.o_totalprice END::DOUBLE AS salary_year_avg,
-    CASE WHEN o.o_orderkey % 10 = 0 THEN o.o_totalprice / 2080.0 END AS salary_hour_avg,
+      ELSE o.pay END::DOUBLE AS salary_year_avg,
+    CASE WHEN o.o_orderkey % 10 = 0 THEN o.pay / 2080.0 END AS salary_hour_avg,
     n.n_name AS job_country,
     c.c_name AS company_name,
     n.n_name || '-' || c.c_mktsegment AS job_location,
@@ -50,7 +59,7 @@ postings AS (
     substr(CAST(o.o_orderdate AS VARCHAR), 1, 10) AS job_posted_date,
     s.job_skills,
     t.job_type_skills
-  FROM orders o
+  FROM paid o
   LEFT JOIN customer c ON o.o_custkey = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
   LEFT JOIN skill_text s ON o.o_orderkey = s.k

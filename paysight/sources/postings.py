@@ -32,6 +32,12 @@ PRIORITY_LEVEL = {
     "3-MEDIUM": "Mid ",
     "5-LOW": "Junior ",
 }
+# What the derived salary pays for each seniority level (default below), for
+# each step of the nation key, for remote work, and what outliers get on top. The rest
+# of it is noise: the order total modulo NOISE.
+LEVEL_PAY = {"1-URGENT": 128_000.0, "2-HIGH": 96_000.0, "3-MEDIUM": 64_000.0, "5-LOW": 0.0}
+OTHER_PAY, NATION_PAY, REMOTE_PAY, OUTLIER_PAY, NOISE = 32_000.0, 2_500.0, 20_000.0, 400_000.0, 80_000.0
+
 
 POSTINGS_SCHEMA = T.StructType([
     T.StructField("posting_id", T.LongType(), False),
@@ -58,6 +64,18 @@ def _lookup(col: Column, mapping: dict[str, str], default: Column) -> Column:
     return F.coalesce(m[col], default)
 
 
+def salary() -> Column:
+    """Yearly pay with a planted signal: seniority, nation, remote flag, noise, a few outliers."""
+    k = F.col("o_orderkey")
+    level = F.lit(OTHER_PAY)
+    for priority, pay in LEVEL_PAY.items():
+        level = F.when(F.col("o_orderpriority") == priority, F.lit(pay)).otherwise(level)
+    fixed = (level + F.coalesce(F.col("c_nationkey"), F.lit(0)) * NATION_PAY
+             + F.when(k % 3 == 0, F.lit(REMOTE_PAY)).otherwise(0.0)
+             + F.when(k % 50 == 7, F.lit(OUTLIER_PAY)).otherwise(0.0))
+    return fixed + F.col("o_totalprice") % NOISE
+
+
 def _quoted_list(arr: Column) -> Column:
     """array<string> -> "['a', 'b']"."""
     return F.concat(F.lit("["),
@@ -105,6 +123,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = order_items(spark, sf_dir)
 
     k = F.col("o_orderkey")
+    pay = salary()
     level = _lookup(F.col("o_orderpriority"), PRIORITY_LEVEL, F.lit(""))
     df = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
@@ -120,8 +139,8 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 10 == 0, F.lit("hour")).otherwise(F.lit("year")).alias("salary_rate"),
         F.when(k % 10 == 0, F.lit(None).cast("double"))
          .when(k % 10 == 1, F.lit(0.0))
-         .otherwise(F.col("o_totalprice")).alias("salary_year_avg"),
-        F.when(k % 10 == 0, F.col("o_totalprice") / 2080.0).alias("salary_hour_avg"),
+         .otherwise(pay).alias("salary_year_avg"),
+        F.when(k % 10 == 0, pay / 2080.0).alias("salary_hour_avg"),
         F.col("n_name").alias("job_country"),
         F.col("c_name").alias("company_name"),
         F.concat(F.col("n_name"), F.lit("-"), F.col("c_mktsegment")).alias("job_location"),
