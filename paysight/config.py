@@ -6,7 +6,7 @@ job-postings layout (and the ``postings`` view derived from the driver tables).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # Fixed values that must equal the original pipeline's settings.
 SEED = 42
@@ -96,7 +96,7 @@ FEATURE_COLUMNS = NUMERIC_FEATURES + OHE_FEATURES + TARGET_ENC_FEATURES + [SKILL
 
 @dataclass
 class ModelConfig:
-    """Sizes used by the learners; small values keep local runs fast."""
+    """Sizes used by the learners."""
 
     skills_vocab: int = SKILLS_TFIDF_MAX_FEATURES
     title_vocab: int = TITLE_TFIDF_MAX_FEATURES
@@ -104,4 +104,15 @@ class ModelConfig:
     ohe_min_frequency: int = OHE_MIN_FREQUENCY
     n_folds: int = N_FOLDS
     seed: int = SEED
-    extra: dict = field(default_factory=dict)
+    # Trees and boosting rounds of the original learners.
+    forest_trees: int = 200
+    small_gbt_rounds: int = 150
+    xgb_rounds: int = 600
+    lgbm_rounds: int = 800
+    #: Depth of forest trees. The driver holds a fitted tree, so without a bound its size
+    #: would grow with the rows.
+    forest_depth: int = 12
+    #: One training row in so many is kept to watch the loss of a boosted learner, which ends when
+    #: a round does not improve it by more than this share (rounds above are the most there can be).
+    stop_every: int = 10
+    stop_tol: float = 0.0

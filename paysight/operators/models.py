@@ -28,10 +28,12 @@ from paysight.config import (COLS, NUMERIC_FEATURES, OHE_FEATURES, SEED, SKILLS_
 from paysight.functions.stopwords import ENGLISH_STOP_WORDS
 from paysight.operators import encoders as T
 from paysight.operators.evaluate import regression_metrics
-from paysight.operators.split import hash_folds, ordered_folds
+from paysight.operators.split import hash_folds, ordered_folds, portable_hash
 from paysight.session import materialize
 
 LABEL = "label_log"
+#: Marks the training rows on which boosted learners watch their loss.
+STOP = "is_stop"
 TE_COLS = [f"te_{c}" for c in TARGET_ENC_FEATURES]
 
 
@@ -125,14 +127,15 @@ class PreparedData:
 def prepare(split_frame: DataFrame, mc: ModelConfig, id_col: str = COLS.id,
             target: str = COLS.target) -> PreparedData:
     """Fit encoders and the preprocessing pipeline on train; transform all splits once."""
-    df = split_frame.withColumn(LABEL, F.log1p(target))
+    df = split_frame.withColumn(LABEL, F.log1p(target)).withColumn(
+        STOP, portable_hash(id_col, mc.seed + 3) % mc.stop_every == 0)
     train = df.filter(F.col("split") == "train")
     fe = fit_encoders(train, mc.ohe_min_frequency)
     # written once: the pipeline fit makes one pass per estimator stage over it
     tr = materialize(encode_train(train, fe, id_col, mc.n_folds, mc.seed), "train-encoded")
     rest = encode(df.filter(F.col("split") != "train"), fe)
     prep = preprocessing(mc).fit(tr)
-    keep = [id_col, target, LABEL, "split", "features"]
+    keep = [id_col, target, LABEL, STOP, "split", "features"]
     tr_f = materialize(prep.transform(tr).select(*keep), "train-features")
     rest_f = materialize(prep.transform(rest).select(*keep), "rest-features")
     return PreparedData(tr_f, rest_f.filter(F.col("split") == "val"),
@@ -150,45 +153,54 @@ def elastic_net_params(alpha: float, l1_ratio: float, label_std: float) -> dict:
     return {"regParam": reg, "elasticNetParam": (alpha * l1_ratio / reg) if reg else 0.0}
 
 
-def model_zoo(train: DataFrame, mc: ModelConfig, scale: dict | None = None) -> dict:
-    """M1-M9 as Spark ML learners. ``scale`` shrinks tree counts / iterations for
-    local runs (keys: trees, gbt_iter, depth); defaults are the reference sizes."""
-    s = {"trees": 200, "trees_et": 200, "gbt_small_iter": 150, "gbt_iter": 600,
-         "lgbm_iter": 800, "depth": 30}
-    s.update(scale or {})
+def boosted(mc: ModelConfig, rounds: int, **params) -> GBTRegressor:
+    """Boosted trees of at most ``rounds`` rounds that end early on the rows marked ``STOP``."""
+    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=rounds, seed=mc.seed,
+                        validationIndicatorCol=STOP, validationTol=mc.stop_tol, cacheNodeIds=True,
+                        **params)
+
+
+def forest(mc: ModelConfig, trees: int, **params) -> RandomForestRegressor:
+    return RandomForestRegressor(featuresCol="features", labelCol=LABEL, numTrees=trees,
+                                 maxDepth=mc.forest_depth, featureSubsetStrategy="sqrt",
+                                 seed=mc.seed, cacheNodeIds=True, **params)
+
+
+def ridge(alpha: float, n: int) -> LinearRegression:
+    """Penalty alpha on the sum of squared errors over n rows."""
+    return LinearRegression(featuresCol="features", labelCol=LABEL, standardization=False,
+                            regParam=alpha / n, elasticNetParam=0.0)
+
+
+def model_zoo(train: DataFrame, mc: ModelConfig) -> dict:
+    """M1-M9 as Spark ML learners.
+
+    Up to 4096 features the linear ones solve the normal equations, which takes one pass
+    over the rows whatever the number of iterations; beyond, Spark iterates over them."""
     n = train.count()
     sd = _label_std(train)
     common = {"featuresCol": "features", "labelCol": LABEL}
-    lin = {**common, "solver": "l-bfgs", "standardization": False}
+    lin = {**common, "standardization": False, "maxIter": 5000}
+    # Penalties, rates, depths and fractions of the original learners.
     return {
-        "LinearRegression": LinearRegression(**{**common, "solver": "l-bfgs"}, regParam=0.0),
-        "Ridge": LinearRegression(**lin, regParam=2.0 / n, elasticNetParam=0.0),
-        "Lasso": LinearRegression(**lin, maxIter=5000, **elastic_net_params(0.001, 1.0, sd)),
-        "ElasticNet": LinearRegression(**lin, maxIter=5000, **elastic_net_params(0.001, 0.5, sd)),
-        "RandomForest": RandomForestRegressor(**common, numTrees=s["trees"],
-                                              minInstancesPerNode=2,
-                                              featureSubsetStrategy="sqrt",
-                                              maxDepth=s["depth"], seed=mc.seed),
-        "ExtraTrees": RandomForestRegressor(**common, numTrees=s["trees_et"], bootstrap=False,
-                                            featureSubsetStrategy="sqrt",
-                                            maxDepth=s["depth"], seed=mc.seed),
-        "GradientBoosting": GBTRegressor(**common, maxIter=s["gbt_small_iter"], maxDepth=3,
-                                         subsamplingRate=0.7, featureSubsetStrategy="0.1",
-                                         seed=mc.seed),
-        "XGBoost": GBTRegressor(**common, maxIter=s["gbt_iter"], stepSize=0.05, maxDepth=6,
-                                subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                                seed=mc.seed),
-        "LightGBM": GBTRegressor(**common, maxIter=s["lgbm_iter"], stepSize=0.05, maxDepth=6,
-                                 subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                                 seed=mc.seed),
+        "LinearRegression": LinearRegression(**common, regParam=0.0),
+        "Ridge": ridge(2.0, n),
+        "Lasso": LinearRegression(**lin, **elastic_net_params(0.001, 1.0, sd)),
+        "ElasticNet": LinearRegression(**lin, **elastic_net_params(0.001, 0.5, sd)),
+        "RandomForest": forest(mc, mc.forest_trees, minInstancesPerNode=2),
+        "ExtraTrees": forest(mc, mc.forest_trees, bootstrap=False),
+        "GradientBoosting": boosted(mc, mc.small_gbt_rounds, maxDepth=3, subsamplingRate=0.7,
+                                    featureSubsetStrategy="0.1"),
+        "XGBoost": boosted(mc, mc.xgb_rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
+                           featureSubsetStrategy="0.8"),
+        "LightGBM": boosted(mc, mc.lgbm_rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
+                            featureSubsetStrategy="0.8"),
     }
 
 
-def early_stopping_gbt(mc: ModelConfig, iters: int = 600, tol: float = 0.01) -> GBTRegressor:
+def early_stopping_gbt(mc: ModelConfig, rounds: int | None = None) -> GBTRegressor:
     """M10 re-aimed: boosted trees with early stopping on the validation rows."""
-    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=iters, stepSize=0.06,
-                        maxDepth=6, validationIndicatorCol="is_val", validationTol=tol,
-                        seed=mc.seed)
+    return boosted(mc, rounds or mc.xgb_rounds, stepSize=0.06, maxDepth=6).setValidationIndicatorCol("is_val")
 
 
 def score_usd(model, df: DataFrame, out: str = "prediction_usd") -> DataFrame:
@@ -196,7 +208,7 @@ def score_usd(model, df: DataFrame, out: str = "prediction_usd") -> DataFrame:
     return model.transform(df).withColumn(out, F.expm1("prediction")).drop("prediction")
 
 
-def train_all(data: PreparedData, mc: ModelConfig, scale: dict | None = None,
+def train_all(data: PreparedData, mc: ModelConfig,
               only: list[str] | None = None, parallelism: int = 1) -> tuple[DataFrame, dict]:
     """Fit every learner, score val, time it, skip failures, rank by RMSE.
 
@@ -206,7 +218,7 @@ def train_all(data: PreparedData, mc: ModelConfig, scale: dict | None = None,
     """
     from concurrent.futures import ThreadPoolExecutor
     spark = data.train.sparkSession
-    zoo = {k: v for k, v in model_zoo(data.train, mc, scale).items()
+    zoo = {k: v for k, v in model_zoo(data.train, mc).items()
            if not only or k in only}
 
     def run(item):
@@ -231,11 +243,11 @@ def train_all(data: PreparedData, mc: ModelConfig, scale: dict | None = None,
     return res.orderBy("RMSE", "model"), fitted
 
 
-def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, iters: int = 600):
+def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, rounds: int | None = None):
     """Train + val rows with an indicator; the learner stops on the val loss."""
     both = (data.train.withColumn("is_val", F.lit(False))
             .unionByName(data.val.withColumn("is_val", F.lit(True))))
-    return early_stopping_gbt(mc, iters).fit(both)
+    return early_stopping_gbt(mc, rounds).fit(both)
 
 
 # ----------------------------------------------------------------------------- stacking
@@ -297,8 +309,8 @@ def deploy_compact(data: PreparedData, params: dict, mc: ModelConfig,
                    reference: DataFrame | None = None) -> tuple:
     """Refit one boosted model with tuned params; metrics rows tagged by role,
     keeping the ensemble's metrics (``reference``) alongside."""
-    m = GBTRegressor(featuresCol="features", labelCol=LABEL, seed=mc.seed, **params).fit(
-        data.train)
+    p = dict(params)
+    m = boosted(mc, p.pop("maxIter", mc.lgbm_rounds), **p).fit(data.train)
     frames = []
     for split, df in [("val", data.val), ("test", data.test)]:
         met = regression_metrics(score_usd(m, df), COLS.target, "prediction_usd")

@@ -27,12 +27,39 @@ def test_stream_equals_batch(spark):
     assert sorted(batch.select(*cols).collect()) == sorted(stream.select(*cols).collect())
 
 
-def test_linear_zoo_beats_mean_and_is_finite(spark):
+def test_learners_recover_the_planted_signal(spark):
+    """Noise is uniform over 80,000, so the best R2 is about 0.8; the mean predictor has 0."""
     from paysight.plans import model_queries as MQ
-    res = MQ.q_m1_m4_linear_zoo(spark, SF_SMALL).collect()
-    assert len(res) == 4
-    for r in res:
-        assert r["RMSE"] == r["RMSE"] and r["RMSE"] > 0
+    for q, n in ((MQ.q_m1_m4_linear_zoo, 4), (MQ.q_m10_early_stopping, 2), (MQ.q_t8_native_frame, 1)):
+        res = q(spark, SF_SMALL).collect()
+        assert len(res) == n and all(r["R2"] > 0.5 for r in res), res
+
+
+def test_trees_recover_the_planted_signal(spark):
+    from paysight.operators import models as M
+    from paysight.plans import model_queries as MQ
+    mc = MQ.ModelConfig(forest_trees=20)
+    res, fitted = M.train_all(MQ._data(spark, SF_SMALL), mc, parallelism=3, only=[
+        "RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost", "LightGBM"])
+    rows = res.collect()
+    assert len(rows) == 5 and all(r["R2"] > 0.4 for r in rows), rows
+    assert fitted["XGBoost"].getNumTrees <= mc.xgb_rounds
+    assert [r["RMSE"] for r in rows] == sorted(r["RMSE"] for r in rows)
+
+
+def test_importance_finds_seniority_first(spark):
+    from paysight.plans import model_queries as MQ
+    rows = MQ.q_v8_tree_importance(spark, SF_SMALL).collect()
+    by = {r["feature"]: r["importance"] for r in rows}
+    assert by["seniority_score"] + by["job_title"] > 0.4
+    assert by["job_country"] > by["health_flag"]
+
+
+def test_search_draws_whole_ranges(spark):
+    from paysight.operators import tuning as T
+    drawn = T.sample_params(T.LGBM_SPACE, 50)
+    assert all(300 <= p["maxIter"] <= 900 and 4 <= p["maxDepth"] <= 12 for p in drawn)
+    assert len({p["maxIter"] for p in drawn}) > 30
 
 
 def test_split_frame_train_has_oof_encodings(spark):
