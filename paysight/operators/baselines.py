@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paysight.operators.quantiles import exact_percentiles
+
 
 def fit_group_mean(train: DataFrame, key: str | None, y: str) -> tuple[DataFrame | None, Column]:
     """Per-key mean of ``y`` (one row per key) and the global mean for unseen keys."""
@@ -28,10 +30,10 @@ def predict_group_mean(df: DataFrame, table: DataFrame | None, gm: Column, key:
 def fit_group_quantiles(train: DataFrame, key: str, y: str, lo_q: float, hi_q: float
                         ) -> tuple[DataFrame, Column]:
     """Per-key (lo, hi) quantiles of ``y`` and the global pair for unseen keys."""
-    g = train.agg(F.struct(F.percentile(y, lo_q).alias("lo"),
-                           F.percentile(y, hi_q).alias("hi"))).scalar()
-    t = train.groupBy(key).agg(F.percentile(y, lo_q).alias("_q_lo"),
-                               F.percentile(y, hi_q).alias("_q_hi"))
+    pair = F.struct(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
+    g = exact_percentiles(train, y, [lo_q, hi_q]).select(pair).scalar()
+    t = exact_percentiles(train, y, [lo_q, hi_q], [key]).select(
+        key, F.col("q")[0].alias("_q_lo"), F.col("q")[1].alias("_q_hi"))
     return t, g
 
 

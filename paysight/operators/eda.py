@@ -1,8 +1,8 @@
 """Exploratory statistics (A1-A13) as Spark aggregates.
 
-Exact percentiles (``percentile``) match the linear-interpolation definition;
-each function takes ``accuracy`` to switch to ``percentile_approx`` (bounded
-memory, mergeable sketch) for very large or skewed groups. Every statistic is a
+Exact percentiles (linear interpolation) come from ``quantiles``, which orders only the
+bins that hold a wanted rank; each function takes ``accuracy`` to switch to
+``percentile_approx`` (one pass, mergeable sketch). Every other statistic is a
 single aggregate job with map-side partial aggregation; nothing is collected
 except one-row statistics (bin edges, thresholds).
 """
@@ -15,17 +15,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paysight.config import HIST_BINS, TOP_CATEGORIES
+from paysight.operators.quantiles import exact_percentiles, with_percentiles
 
-# KDE grid of the plotting library (points, cut in bandwidths).
+# KDE grid of the plotting library's histogram (points, cut in bandwidths).
 KDE_GRID_POINTS = 200
-KDE_CUT = 3.0
+KDE_CUT = 0.0
 
 
-def _pct(col: str | Column, p, accuracy: int | None = None) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
+def grouped_percentiles(df: DataFrame, by: str, value: str, ps: list[float],
+                        accuracy: int | None = None) -> DataFrame:
+    """One row for each group: ``by``, ``n`` (rows) and ``q`` (the percentiles)."""
+    g = df.groupBy(by)
+    if accuracy:
+        return g.agg(F.count("*").alias("n"), F.percentile_approx(value, ps, accuracy).alias("q"))
+    return with_percentiles(g.agg(F.count("*").alias("n")), df, value, ps, [by])
+
+
+def all_percentiles(df: DataFrame, value: str | Column, ps: list[float], accuracy: int | None = None) -> Column:
+    """The percentiles of all rows as an array-valued scalar subquery."""
     if accuracy:
-        return F.percentile_approx(c, p, accuracy)
-    return F.percentile(c, p)
+        return df.agg(F.percentile_approx(value, ps, accuracy)).scalar()
+    return exact_percentiles(df, value, ps).select("q").scalar()
 
 
 def describe(df: DataFrame, target: str, accuracy: int | None = None,
@@ -34,7 +44,8 @@ def describe(df: DataFrame, target: str, accuracy: int | None = None,
     ps = [0.05, 0.25, 0.5, 0.75, 0.95]
     g = df.agg(F.count(target).alias("count"), F.avg(target).alias("mean"),
                F.stddev_samp(target).alias("std"), F.min(target).alias("min"),
-               _pct(target, ps, accuracy).alias("_p"), F.max(target).alias("max"))
+               F.max(target).alias("max"))
+    g = g.withColumn("_p", all_percentiles(df, target, ps, accuracy))
     names = ["p5", "p25", "p50", "p75", "p95"]
     return g.select(
         F.col("count").cast("long").alias("count"),
@@ -154,9 +165,9 @@ def kde_curve(df: DataFrame, value: str | Column, fine_bins: int = 1024,
 def top_categories(df: DataFrame, category: str, target: str, top: int = TOP_CATEGORIES,
                    accuracy: int | None = None) -> DataFrame:
     """Categories with the highest median target (NULL group dropped), top-k."""
-    g = (df.filter(F.col(category).isNotNull())
-         .groupBy(F.col(category).alias("category"))
-         .agg(_pct(target, 0.5, accuracy).alias("median_target"), F.count("*").alias("n")))
+    rows = df.filter(F.col(category).isNotNull()).select(F.col(category).alias("category"), F.col(target).alias("y"))
+    g = (grouped_percentiles(rows, "category", "y", [0.5], accuracy)
+         .select("category", F.col("q")[0].alias("median_target"), "n"))
     return g.orderBy(F.desc("median_target"), "category").limit(top)
 
 
@@ -170,7 +181,7 @@ def box_stats(df: DataFrame, category: str, target: str, top: int = TOP_CATEGORI
     tops = top_categories(df, category, target, top, accuracy).select("category")
     rows = df.select(F.col(category).alias("category"), F.col(target).alias("y"))
     rows = rows.join(F.broadcast(tops), "category", "left_semi")  # C7
-    q = rows.groupBy("category").agg(_pct("y", [0.25, 0.5, 0.75], accuracy).alias("q"))
+    q = grouped_percentiles(rows, "category", "y", [0.25, 0.5, 0.75], accuracy)
     q = q.select("category", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     lim = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
@@ -188,9 +199,9 @@ def group_median_gap(df: DataFrame, flag: str, target: str, yes="True", no="Fals
     """A10: median(target | flag=yes) - median(target | flag=no), only when the flag
     has exactly two groups; otherwise NULL."""
     s = F.col(flag).cast("string")
-    g = df.agg(F.count_distinct(s).alias("n_groups"),
-               _pct(F.when(s == yes, F.col(target)), 0.5, accuracy).alias("median_yes"),
-               _pct(F.when(s == no, F.col(target)), 0.5, accuracy).alias("median_no"))
+    g = df.agg(F.count_distinct(s).alias("n_groups")).withColumns({
+        "median_yes": all_percentiles(df.filter(s == yes), target, [0.5], accuracy)[0],
+        "median_no": all_percentiles(df.filter(s == no), target, [0.5], accuracy)[0]})
     return g.select("n_groups", "median_yes", "median_no",
                     F.when(F.col("n_groups") == 2, F.col("median_yes") - F.col("median_no"))
                     .alias("median_gap"))
@@ -208,12 +219,11 @@ def highest_paying_items(df: DataFrame, items: str, target: str, min_support: in
     """Median target per item over postings holding it, support >= n, top-k.
 
     Explode after ``array_distinct`` (F18) so a posting counts once per item. The
-    count is partially aggregated map-side; the median keeps a value->count map
-    per group (or a sketch with ``accuracy``).
+    counts are partially aggregated map-side.
     """
     ex = df.select(F.explode(F.array_distinct(items)).alias("item"), F.col(target).alias("y"))
-    g = ex.groupBy("item").agg(F.count("*").alias("n_postings"),
-                               _pct("y", 0.5, accuracy).alias("median_target"))
+    g = (grouped_percentiles(ex, "item", "y", [0.5], accuracy)
+         .select("item", F.col("n").alias("n_postings"), F.col("q")[0].alias("median_target")))
     return (g.filter(F.col("n_postings") >= min_support)
             .orderBy(F.desc("median_target"), "item").limit(top))
 

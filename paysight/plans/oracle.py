@@ -49,7 +49,7 @@ def _hist_sql(expr: str, series: str, bins: int = 60) -> str:
   FROM range({bins}) g, st LEFT JOIN binned b ON b.bin = g.range)"""
 
 
-def _kde_sql(expr: str, series: str, fine: int = 1024, grid: int = 200, cut: float = 3.0) -> str:
+def _kde_sql(expr: str, series: str, fine: int = 1024, grid: int = 200, cut: float = 0.0) -> str:
     return f"""(WITH vals AS (SELECT CAST({expr} AS DOUBLE) AS v FROM salaried_eda),
   st AS (SELECT min(v) AS lo, max(v) AS hi, count(v) AS n,
          stddev_samp(v) * pow(CAST(count(v) AS DOUBLE), -0.2) AS h FROM vals),
