@@ -31,9 +31,9 @@ from paysight.llm.common import bound_batches, table, text_or_empty
 #: page's largest window that a surge needs at least.
 WINDOW, SURGE, SHARE = 3, 80, 0.25
 
-#: Elements whose content is never text of the page.
+#: Elements whose content is never text of the page; svg and math may close themselves.
 _DROPPED = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"<(?:svg|math)\b(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*/>|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|select|textarea|head)\b"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
@@ -90,7 +90,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if links:
                 linked += len(text.strip())
 
-    page = _DROPPED.sub(" ", page)
+    page = _DROPPED.sub("", page)
     at = 0
     for m in _TAG.finditer(page):
         add(page[at:m.start()])

@@ -38,3 +38,8 @@ def test_query(spark):
         foot = pages[r.page_id].partition("<footer>")[2].partition("</footer>")[0].rpartition("&middot;")[2].strip()
         assert not foot or not r.text.endswith(foot)
         assert "<p>" not in r.text and "track(" not in r.text
+
+
+def test_comments_do_not_split_words_and_drawings_may_close_themselves():
+    page = "<p>un<!-- c -->broken word and <svg viewBox='0 0'/>more text that is long enough to stay here</p>"
+    assert html_extract.main_text(page) == "unbroken word and more text that is long enough to stay here"
