@@ -17,6 +17,12 @@ many fingerprints share (a large group of near copies) is not expanded into pair
 2. the join then pairs only fingerprints of different components, in variants that hold
    more than one component, and gives one row for each pair of components.
 
+A *hot* variant, one of over ``VARIANT_ROWS`` fingerprints, is cut into parts of about as
+many by a hash. In step 1 the parts are put in order one by one, beside the least and largest
+fingerprint of the whole variant. In step 2 the left side of the join is in one part and
+the right side is sent to every part, so that each pair still meets once and no task
+has to hold a whole variant.
+
 No link between different components is lost: step 2 looks at all pairs that step 1
 has not already joined. Components come from alternating large-star and small-star
 rounds, each written to the shared folder; links or members never go to the driver.
@@ -46,6 +52,8 @@ SHINGLE, SEED, MAX_BITS = 4, 42, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Besides the ends of its variant's list, a fingerprint is first compared with these many before it.
 NEIGHBOURS = (1, 2, 4, 8, 16, 32)
+#: Fingerprints in one part of a variant, and hot variants up to which their table is broadcast.
+VARIANT_ROWS, BROADCAST_VARIANTS = 2048, 100_000
 #: Shingle hashes that are unpacked to bits at once.
 BLOCK = 65_536
 
@@ -124,40 +132,60 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
 
 
+def _in_parts(df: DataFrame, hot: DataFrame) -> DataFrame:
+    """The variants of ``df`` with the columns of ``hot`` (null for others), ``parts`` and ``part``."""
+    if hot.count() <= BROADCAST_VARIANTS:
+        hot = F.broadcast(hot)
+    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    return (variants(_spread(df)).join(hot, "key", "left")
+            .withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", part))
+
+
 def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, comp) for different fingerprints ``fp``: comp is the least fingerprint reachable."""
     if max_bits >= 2 * len(SEGMENTS):
         raise ValueError(f"{len(SEGMENTS)} segments find at most {2 * len(SEGMENTS) - 1} differing bits")
-    in_order = Window.partitionBy("key").orderBy("fp")
-    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    others = F.array(F.first("fp").over(whole), F.last("fp").over(whole), *[F.lag("fp", n).over(in_order) for n in NEIGHBOURS])
-    stars = (variants(_spread(fps.select("fp"))).withColumn("others", others)
+    fps = fps.select("fp")
+    hot = materialize(variants(_spread(fps)).groupBy("key")
+                      .agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi")).where(F.col("n") > VARIANT_ROWS)
+                      .select("key", F.ceil(F.col("n") / VARIANT_ROWS).cast("int").alias("parts"), "lo", "hi"), "hot-variants")
+    in_order = Window.partitionBy("key", "part").orderBy("fp")
+    same = Window.partitionBy("key", "part")
+    others = F.array("lo", "hi", F.min("fp").over(same), F.max("fp").over(same), *[F.lag("fp", n).over(in_order) for n in NEIGHBOURS])
+    stars = (_in_parts(fps, hot).withColumn("others", others)
              .withColumn("others", F.filter("others", lambda x: (x != F.col("fp")) & _near(x, F.col("fp"), max_bits)))
              .where(F.size("others") > 0).select(F.col("fp").alias("a"), F.explode(F.array_distinct("others")).alias("b")))
     first = components(stars)
-    joined = materialize(fps.select("fp").join(first, F.col("fp") == F.col("node"), "left")
+    joined = materialize(fps.join(first, F.col("fp") == F.col("node"), "left")
                          .select("fp", F.coalesce("root", "fp").alias("c")), "first-components")
-    same = Window.partitionBy("key")
-    mixed = (variants(_spread(joined)).withColumns({"_lo": F.min("c").over(same), "_hi": F.max("c").over(same)})
-             .where("_lo < _hi").select("key", "fp", "c"))
+    hot = materialize(_in_parts(joined, hot).where("parts > 1").groupBy("key", "parts")
+                      .agg(F.min("c").alias("lo"), F.max("c").alias("hi")), "hot-components")
+    mixed = (_in_parts(joined, hot).withColumns({"lo": F.coalesce("lo", F.min("c").over(same)),
+                                                 "hi": F.coalesce("hi", F.max("c").over(same))})
+             .where("lo < hi").select("key", "parts", "part", "fp", "c"))
     met = materialize(mixed, "variants")
-    x, y = met.alias("x"), met.alias("y")
-    cross = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.c") < F.col("y.c"))
+    x = met.alias("x")
+    y = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    cross = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") < F.col("y.c"))
                     & _near(F.col("x.fp"), F.col("y.fp"), max_bits))
              .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
     second = components(cross).withColumnsRenamed({"node": "c"})
     return joined.join(second, "c", "left").select("fp", F.coalesce("root", "c").alias("comp"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, text: str = "text") -> DataFrame:
-    """doc_id, fp (signed) and component_id of every row."""
+def _members(docs: DataFrame, shingle: int, max_bits: int, text: str, *more: Column) -> DataFrame:
+    """doc_id, fp, comp, component_id and the columns ``more`` of every row."""
     bound_batches(docs.sparkSession)
-    fps = materialize(docs.select("doc_id", fingerprint(text_or_empty(text), shingle).alias("fp")), "fingerprints")
+    fps = materialize(docs.select("doc_id", fingerprint(text_or_empty(text), shingle).alias("fp"), *more), "fingerprints")
     groups = fps.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
     member = materialize(link_components(groups, max_bits), "components")
     ids = (groups.join(member, "fp").groupBy("comp").agg(F.min("least_doc").alias("component_id")))
-    owner = member.join(ids, "comp").select("fp", "component_id")
-    return fps.join(owner, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(member.join(ids, "comp"), "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, text: str = "text") -> DataFrame:
+    """doc_id, fp (signed) and component_id of every row."""
+    return _members(docs, shingle, max_bits, text).select("doc_id", "fp", "component_id")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +194,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
-    """The document with the least id of each near-duplicate group, one row of it."""
-    found = near_duplicates(docs).where("doc_id = component_id or doc_id is null and component_id is null")
-    keep = found.select(F.col("doc_id").alias("_keep")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_keep"))
-    return docs.join(keep, same, "left_semi").dropDuplicates(["doc_id"]).select(*columns_of(docs))
+    """One row of each near-duplicate group: the one of least doc_id (none is last), then of
+    the least digest of its text. Groups stay apart where ids are missing or repeat."""
+    digest = F.md5(text_or_empty().cast("binary"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    first = (_members(docs, SHINGLE, MAX_BITS, "text", digest.alias("digest")).groupBy("comp").agg(F.min(order).alias("m"))
+             .select(F.col("m.doc_id").alias("first_id"), F.col("m.digest").alias("first_digest")))
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), F.col("doc_id").alias("id"), digest.alias("digest"))
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    return rows.join(first, same, "left_semi").dropDuplicates(["id", "digest"]).select("row.*")

@@ -63,8 +63,11 @@ def test_query(spark, sf):
     check([(r.doc_id, int(r.fingerprint, 16), r.component_id) for r in out])
 
 
-def test_no_link_is_lost(spark):
-    """Chains, clouds of near fingerprints and bridges of exactly 4 and 5 bits."""
+@pytest.mark.parametrize("part_rows, broadcast", [(simhash.VARIANT_ROWS, 100_000), (5, 100_000), (5, 0)])
+def test_no_link_is_lost(spark, monkeypatch, part_rows, broadcast):
+    """Chains, clouds of near fingerprints and bridges of exactly 4 and 5 bits; hot variants in parts."""
+    monkeypatch.setattr(simhash, "VARIANT_ROWS", part_rows)
+    monkeypatch.setattr(simhash, "BROADCAST_VARIANTS", broadcast)
     rng = random.Random(3)
     fps = set()
     for _ in range(40):
@@ -92,8 +95,22 @@ def test_empty(spark, no_docs):
 
 
 def test_keep_one_each(spark, edge_docs):
-    out = simhash.near_duplicates(edge_docs).collect()
+    rows = edge_docs.collect()
+    groups = {}
+    for r, root in zip(rows, brute_components([brute_fp(r.text) for r in rows]), strict=True):
+        groups.setdefault(root, []).append(r)
     kept = simhash.keep_one_each(edge_docs)
     assert kept.columns == edge_docs.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len(ids) == len(set(ids)) and {i for i in ids if i is not None} == {r.component_id for r in out} - {None}
+    got = {root: r for r, root in zip(kept.collect(), brute_components([brute_fp(r.text) for r in kept.collect()]), strict=True)}
+    assert kept.count() == len(got) == len(groups)
+    for root, members in groups.items():
+        assert any(r == got[root] for r in members)
+        assert got[root].doc_id == min((r.doc_id for r in members if r.doc_id is not None), default=None)
+
+
+def test_keep_one_each_with_repeated_and_missing_ids(spark):
+    """Different texts under one id, or none, are groups of their own."""
+    texts = ["the first of all these texts", "quite another story told here", "a third one without any likeness"]
+    rows = [(i, t) for i in (1, None) for t in texts[:2]] + [(None, texts[2])] * 2
+    out = simhash.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out), key=str) == sorted([(1, texts[0]), (1, texts[1]), (None, texts[2])], key=str)
