@@ -30,6 +30,14 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name like this one that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_fold(col: str = "doc_id", k: int = 3) -> Column:
     """crc32 of the id written as text, modulo k (null id: fold of the empty text)."""
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % k

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paysight.llm.common import bound_batches, columns_of, id_fold, table, text_or_empty
+from paysight.llm.common import bound_batches, columns_of, id_fold, table, text_or_empty, unused
 
 PER_LANG, SAMPLE, EPOCHS = 800, 8000, 2
 BITS = 14
@@ -200,5 +200,7 @@ def keep_known(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bound_batches(spark)
     model = fit(docs)
-    found = docs.withColumn("_found", predict(text_or_empty(), model, spark))
-    return found.where((F.col("_found.lang") != UNKNOWN) & (F.col("_found.score") >= KEEP_SCORE)).select(*columns_of(docs))
+    name = unused(docs, "_found")
+    found = docs.withColumn(name, predict(text_or_empty(), model, spark))
+    known = (F.col(f"{name}.lang") != UNKNOWN) & (F.col(f"{name}.score") >= KEEP_SCORE)
+    return found.where(known).select(*columns_of(docs))

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from paysight.llm.common import WORD, columns_of, table, text_or_empty
+from paysight.llm.common import WORD, columns_of, table, text_or_empty, unused
 from paysight.session import materialize
 
 WEIGHTS, SHARE, CEILING, SEED = (3, 1, 2), 1.5, 2, 42
@@ -69,26 +69,27 @@ def copies(rate: Column, draw_col: Column) -> Column:
 
 
 def with_copies(docs: DataFrame, source: str = "source", id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Add ``_size``, ``_source_size``, ``_target`` and ``_copies`` to each row."""
-    sized = docs.select(F.col(source).alias("source"), words(text).alias("size"))
-    targets = materialize(source_targets(sized), "source-targets").select(
-        F.col("source").alias("_source"), F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"), F.col("rate").alias("_rate"))
+    """Add ``_size``, ``_source_size``, ``_target`` and ``_copies`` to each row; columns of
+    these names are replaced."""
+    docs = docs.drop("_size", "_source_size", "_target", "_copies").withColumn("_size", words(text))
+    own, rate, salt, part = (unused(docs, n) for n in ("_source", "_rate", "_salt", "_part"))
+    targets = materialize(source_targets(docs.select(F.col(source).alias("source"), F.col("_size").alias("size"))), "source-targets")
+    targets = targets.select(F.col("source").alias(own), F.col("source_size").alias("_source_size"),
+                             F.col("target").alias("_target"), F.col("rate").alias(rate))
+    same = F.col(source).eqNullSafe(F.col(own))
     if targets.count() <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(targets), F.col(source).eqNullSafe(F.col("_source")))
+        joined = docs.join(F.broadcast(targets), same)
     else:
-        salted = docs.withColumn("_salt", F.pmod(F.xxhash64(F.col(id_col), F.col(text)), F.lit(SALTS)).cast("int"))
-        spread = targets.withColumn("_salted", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(spread, F.col(source).eqNullSafe(F.col("_source")) & (F.col("_salt") == F.col("_salted"))) \
-            .drop("_salt", "_salted")
-    return (joined.withColumn("_size", words(text))
-            .withColumn("_copies", copies(F.col("_rate"), draw(id_col))).drop("_source", "_rate"))
+        salted = docs.withColumn(salt, F.pmod(F.xxhash64(F.col(id_col), F.col("_size")), F.lit(SALTS)).cast("int"))
+        spread = targets.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.join(spread, same & (F.col(salt) == F.col(part)))
+    return joined.withColumn("_copies", copies(F.col(rate), draw(id_col))).drop(own, rate, salt, part)
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, each as often as it is taken."""
-    n = with_copies(docs)
-    return n.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*columns_of(docs))
+    """The documents of the mix, each as often as it is taken, with their own columns only."""
+    n = with_copies(docs.select("doc_id", "source", "text", F.struct(*columns_of(docs)).alias("row")))
+    return n.select("row", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select("row.*")
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,11 +5,14 @@ from pyspark.sql import types as T
 
 SF = "/root/testdata/sf0.001"
 
+CLASHES = ("_found", "_source", "_size", "_copies", "_row", "row", "fp", "_keep", "digest", "score", "size", "label", "h")
+
 DOC_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
     # names that the operators use for their own results, and odd ones
-    T.StructField("n_tokens", T.StringType()), T.StructField("shard", T.StringType()), T.StructField("a.b c", T.StringType())])
+    T.StructField("n_tokens", T.StringType()), T.StructField("shard", T.StringType()), T.StructField("a.b c", T.StringType()),
+    *(T.StructField(c, T.StringType()) for c in CLASHES)])
 
 
 def edge_texts():
@@ -29,7 +32,7 @@ def edge_docs(spark):
             for i, t in enumerate(edge_texts())]
     rows += [rows[5], rows[5], (900, "word", "en", "s0", 4, None, None, None), (None, "no id", None, None, None, None, None, None),
              (None, None, None, None, None, None, None, None)]
-    return spark.createDataFrame(rows, DOC_SCHEMA).repartition(3)
+    return spark.createDataFrame([(*r, *("c" for _ in CLASHES)) for r in rows], DOC_SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="session")
