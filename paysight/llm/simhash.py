@@ -165,7 +165,8 @@ def link_components(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
              .where("lo < hi").select("key", "parts", "part", "fp", "c"))
     met = materialize(mixed, "variants")
     x = met.alias("x")
-    y = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("y")
+    y = met.where("parts = 1").unionByName(
+        met.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))).alias("y")
     cross = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") < F.col("y.c"))
                     & _near(F.col("x.fp"), F.col("y.fp"), max_bits))
              .select(F.col("x.c").alias("a"), F.col("y.c").alias("b")))
