@@ -178,7 +178,7 @@ def _members(docs: DataFrame, shingle: int, max_bits: int, text: str, *more: Col
     """doc_id, fp, comp, component_id and the columns ``more`` of every row."""
     bound_batches(docs.sparkSession)
     fps = materialize(docs.select("doc_id", fingerprint(text_or_empty(text), shingle).alias("fp"), *more), "fingerprints")
-    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("least_doc"))
+    groups = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least_doc")), "different-fingerprints")
     member = materialize(link_components(groups, max_bits), "components")
     ids = (groups.join(member, "fp").groupBy("comp").agg(F.min("least_doc").alias("component_id")))
     return fps.join(member.join(ids, "comp"), "fp")
