@@ -64,7 +64,7 @@ def hash_position(df: DataFrame, h_col: str, id_col: str, name: str = "pos",
     spark = df.sparkSession
     if buckets is None:
         buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(0, min(20, math.ceil(math.log2(max(buckets, 1)))))
+    bits = min(60, math.ceil(math.log2(max(buckets, 1))))
     b = F.shiftright(F.col(h_col), 60 - bits) if bits else F.lit(0).cast("long")
     tagged = df.withColumn("_bucket", b)
     counts = tagged.groupBy("_bucket").agg(F.count("*").alias("_n"))

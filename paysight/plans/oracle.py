@@ -480,6 +480,7 @@ ORACLE.update({
     "s1_csv_roundtrip": ORACLE["postings_view"],
     "s4_ranked_csv": ORACLE["a11_item_frequency"],
     "s5_metrics_json": ORACLE["a1_describe"],
+    "v11_load_reports": f"SELECT *, 'describe' AS report FROM ({ORACLE['a1_describe']})",
     "s6_report": S + """,
 d AS (SELECT count(salary_year_avg) AS count, round(avg(salary_year_avg), 0) AS mean,
   round(stddev_samp(salary_year_avg), 0) AS std, round(min(salary_year_avg), 0) AS min,

@@ -466,6 +466,14 @@ def q_s5_metrics_json(spark, sf):
     return FS.read_json(spark, path, d.schema)
 
 
+def q_v11_load_reports(spark, sf):
+    """The metrics table as written, and a report that was never written."""
+    path = scratch_path(spark, "reports")
+    d = q_a1_describe(spark, sf)
+    FS.write_json(d, f"{path}/describe")
+    return FS.load_reports(spark, {"describe": f"{path}/describe", "missing": f"{path}/missing"}, d.schema)
+
+
 def q_s6_report(spark, sf):
     df = _salaried_eda(spark, sf)
     p = postings(spark, sf)
@@ -614,6 +622,7 @@ QUERIES.update({
     "s4_ranked_csv": q_s4_ranked_csv,
     "s5_metrics_json": q_s5_metrics_json,
     "s6_report": q_s6_report,
+    "v11_load_reports": q_v11_load_reports,
     "r1_request_features": q_r1_request_features,
     "f16_f17_post_process": q_f16_f17_post_process,
     "f19_v2_residuals": q_f19_v2_residuals,
