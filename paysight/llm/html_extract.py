@@ -10,8 +10,9 @@ is kept. The threshold is relative to the page (so that very short articles are
 and never above ``SURGE`` characters.
 
 Defined results: a null or empty page, and a page without main text, give an empty
-string; broken markup is read leniently, unclosed elements end with their container;
-repeated rows are extracted each; nothing is cut short, however long the page; columns
+string; broken markup is read leniently: unclosed elements end with their container,
+embedded ones (``_EMBEDDED``) also with the next block, a head with the first tag or text
+of a body, and only comments and raw text (script, style, textarea) with the page; repeated rows are extracted each; nothing is cut short, however long the page; columns
 of the input other than the page are ignored by :func:`extract`.
 """
 
@@ -31,11 +32,16 @@ from paysight.llm.common import bound_batches, table, text_or_empty
 #: page's largest window that a surge needs at least.
 WINDOW, SURGE, SHARE = 3, 80, 0.25
 
-#: Elements whose content is never text of the page; svg and math may close themselves.
-_DROPPED = re.compile(
-    r"<(?:svg|math)\b(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*/>|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(script|style|noscript|template|svg|math|iframe|object|canvas|video|audio|select|textarea|head)\b"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+#: Comments and elements of raw text, which run to the end of the page where they are not closed, and closed titles.
+_RAW = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(script|style|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<title\b[^>]*>(?:(?!<title|<body|<article|<main|</head).){0,2000}?</title\s*>", re.S | re.I)
+#: Other elements whose content is never text of the page.
+_EMBEDDED = frozenset("noscript template svg math iframe object canvas video audio select".split())
+_EMBEDDED_START = re.compile(f"<(?:{'|'.join(sorted(_EMBEDDED))})\\b", re.I)
+#: Tags that can stand in a head; any other one starts the body.
+_HEAD = frozenset("html head title base basefont bgsound link meta noframes script style".split()) | {"noscript", "template"}
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -68,6 +74,37 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
+def _without_embedded(page: str) -> str:
+    """The page without closed embedded elements; start tags of unclosed ones are left."""
+    if not _EMBEDDED_START.search(page):
+        return page
+    opened: list[tuple[int, str]] = []
+    spans: list[tuple[int, int]] = []
+    count = dict.fromkeys(_EMBEDDED, 0)
+    for m in _TAG.finditer(page):
+        name = (m[2] or "").lower()
+        if name not in _EMBEDDED:
+            continue
+        if m[1] != "/":
+            if not m[3].endswith("/"):
+                opened.append((m.start(), name))
+                count[name] += 1
+        elif count[name]:
+            while True:
+                start, x = opened.pop()
+                count[x] -= 1
+                if x == name:
+                    break
+            while spans and spans[-1][0] >= start:
+                spans.pop()
+            spans.append((start, m.end()))
+    kept, at = [], 0
+    for start, end in spans:
+        kept.append(page[at:start])
+        at = end
+    return "".join(kept) + page[at:]
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, length of its text outside links, stands in an article or main element) of
     each block; boilerplate gives empty lines."""
@@ -75,6 +112,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, article
     links, linked, skipping, article = 0, 0, 0, 0
+    head, loose = False, 0  # head is open; open embedded elements without an end tag ("?" before their names)
 
     def end_line() -> None:
         nonlocal linked
@@ -83,14 +121,23 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         parts.clear()
         linked = 0
 
+    def pop() -> str:
+        nonlocal skipping, article, head, loose
+        name, hid, art = stack.pop()
+        skipping, article = skipping - hid, article - art
+        head, loose = head and name != "head", loose - name.startswith("?")
+        return name
+
     def add(text: str) -> None:
         nonlocal linked
+        if head and stack[-1][0] == "head" and text.strip():  # text that stands in no title starts the body
+            pop()
         if text and not skipping:
             parts.append(text)
             if links:
                 linked += len(text.strip())
 
-    page = _DROPPED.sub("", page)
+    page = _without_embedded(_RAW.sub("", page))
     at = 0
     for m in _TAG.finditer(page):
         add(page[at:m.start()])
@@ -98,6 +145,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if m[2] is None:
             continue
         name, closing = m[2].lower(), m[1] == "/"
+        if not closing:
+            while loose and name in _BLOCKS:  # unclosed embedded elements end with the next block
+                pop()
+            while head and not loose and name not in _HEAD:
+                pop()
         if name in _BLOCKS:
             end_line()
         if name == "a":
@@ -106,17 +158,20 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             continue
         if not closing:
             if name in ("p", "li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
-                _, hid, art = stack.pop()  # these end where the next one starts
-                skipping, article = skipping - hid, article - art
-            hid, art = _boilerplate(name, m[3], article > 0), name in ("article", "main")
+                pop()  # these end where the next one starts
+            if name == "head":
+                if any(x[0] != "html" for x in stack):
+                    continue
+                hid, art, head = True, False, True
+            elif name in _EMBEDDED:
+                name, hid, art, loose = "?" + name, True, False, loose + 1
+            else:
+                hid, art = _boilerplate(name, m[3], article > 0), name in ("article", "main")
             stack.append((name, hid, art))
             skipping, article = skipping + hid, article + art
         elif any(x[0] == name for x in stack):
-            while True:  # unclosed elements end with their container
-                x, hid, art = stack.pop()
-                skipping, article = skipping - hid, article - art
-                if x == name:
-                    break
+            while pop() != name:  # unclosed elements end with their container
+                pass
     add(page[at:])
     end_line()
     return lines

@@ -43,3 +43,23 @@ def test_query(spark):
 def test_comments_do_not_split_words_and_drawings_may_close_themselves():
     page = "<p>un<!-- c -->broken word and <svg viewBox='0 0'/>more text that is long enough to stay here</p>"
     assert html_extract.main_text(page) == "unbroken word and more text that is long enough to stay here"
+
+
+def test_unclosed_head_and_embedded_elements_end_before_the_text():
+    article = "<article><p>The text of the page.</p></article>"
+    for start in ("<html><head><title>T</title><body>", "<html><head><title>T</title>", "<head><meta charset=x><title>T",
+                  "<head><noscript><img src=x><body>", "<head><noscript><p>no script</p></noscript><link href=x><body>", "<head><head>",
+                  *(f"<body><{x} a='>'>not shown" for x in sorted(html_extract._EMBEDDED)),
+                  *(f"<body><div><{x}>not shown</div>" for x in sorted(html_extract._EMBEDDED)),
+                  *(f"<body><{x}>a<{x}>b</{x}>" for x in sorted(html_extract._EMBEDDED)), "<body><select><option>a<option>b"):
+        assert html_extract.main_text(start + article) == "The text of the page.", start
+    assert html_extract.main_text("<head><title>T</title>Text without a tag of its own.") == "Text without a tag of its own."
+    assert html_extract.main_text("<head><title>a <b>T</b> <p></title></head><p>Text.") == "Text."
+
+
+def test_closed_embedded_elements_are_dropped_whole():
+    for x in sorted(html_extract._EMBEDDED):
+        page = f"<article><p>one <{x}><p>not</p><div>shown</div><{x}>deep</{x}></{x}>two</p></article>"
+        assert html_extract.main_text(page) == "one two", x
+    for x in ("script", "style", "textarea"):
+        assert html_extract.main_text(f"<p>Text.</p><{x}><p>not shown, to the end of the page</p>") == "Text."
