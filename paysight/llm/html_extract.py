@@ -1,9 +1,10 @@
 """Main text of web pages by line-block distribution.
 
-The markup is stripped so that each block element gives one line. Lines inside elements
-that can't belong to an article (menus, page headers and footers, sidebars, notices,
-adverts, forms, comments, hidden parts) and text of links count as empty lines. The
-text lengths of ``WINDOW`` following lines are summed at each line; a *surge point* is a
+The markup is stripped so that each block element gives one line. Elements that can't
+belong to an article (menus, page headers and footers, sidebars, notices, adverts,
+forms, comments, hidden parts) leave one empty line. A marked article gives all of its other
+lines, links and short ones too. On pages without one, text of links counts as empty,
+and the text lengths of ``WINDOW`` following lines are summed at each line; a *surge point* is a
 line where that sum rises to the threshold and which is followed by text, a *dive
 point* the line from which a whole window is empty. Text between a surge and its dive
 is kept. The threshold is relative to the page (so that very short articles are found)
@@ -107,23 +108,27 @@ def _without_embedded(page: str) -> str:
 
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
     """(text, length of its text outside links, stands in an article or main element) of
-    each block; boilerplate gives empty lines."""
+    each block; a run of boilerplate elements gives one empty line."""
     lines: list[tuple[str, int, bool]] = []
     parts: list[str] = []
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, boilerplate, article
-    links, linked, skipping, article = 0, 0, 0, 0
+    links, linked, skipping, article, removed = 0, 0, 0, 0, False
     head, loose = False, 0  # head is open; open embedded elements without an end tag ("?" before their names)
 
     def end_line() -> None:
-        nonlocal linked
+        nonlocal linked, removed
+        if skipping and not parts:
+            return  # removed blocks add no lines of their own
         text = " ".join(html.unescape("".join(parts)).split())
+        removed = removed and not text
         lines.append((text, max(0, len(text) - linked), article > 0))
         parts.clear()
         linked = 0
 
     def pop() -> str:
-        nonlocal skipping, article, head, loose
+        nonlocal skipping, article, head, loose, removed
         name, hid, art = stack.pop()
+        removed = removed or hid
         skipping, article = skipping - hid, article - art
         head, loose = head and name != "head", loose - name.startswith("?")
         return name
@@ -150,7 +155,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
                 pop()
             while head and not loose and name not in _HEAD:
                 pop()
-        if name in _BLOCKS:
+        if name in _BLOCKS and not (removed and not "".join(parts).strip() and not closing
+                                    and _boilerplate(name, m[3], article > 0)):  # several removed ones leave one break
             end_line()
         if name == "a":
             links = 0 if closing else 1
@@ -182,6 +188,7 @@ def main_text(page: str) -> str:
     lines = lines_of(page)
     if any(inside and text for text, _, inside in lines):  # a marked article holds all of the main text
         lines = [x if x[2] else ("", 0, False) for x in lines]
+        return " ".join(x[0] for x in lines if x[0])
     lines = _squeeze(lines)
     n = len(lines)
     size = [x[1] for x in lines]

@@ -63,3 +63,17 @@ def test_closed_embedded_elements_are_dropped_whole():
         assert html_extract.main_text(page) == "one two", x
     for x in ("script", "style", "textarea"):
         assert html_extract.main_text(f"<p>Text.</p><{x}><p>not shown, to the end of the page</p>") == "Text."
+
+
+def test_removed_elements_do_not_cut_the_text_around_them():
+    ad, more = '<div class="ad"><div><p>Buy</p><p>now</p></div></div>', "<aside><p>x</p><ul><li>y</li></ul></aside>"
+    text = "A long sentence of the text. " * 14
+    body = f"<h1>Short title</h1>{ad}<p>{text}</p>{more}{ad} {more}<p>The end.</p>"
+    for page in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div id=content>{body}</div>"):
+        assert html_extract.main_text(page) == f"Short title {text}The end."
+
+
+def test_article_keeps_linked_and_distant_lines():
+    gap = "<div></div>" * 9
+    page = f"<article><p><a href=x>Wholly a link.</a></p>{gap}<p>{'Text. ' * 80}</p>{gap}<p>End.</p></article><p>outside</p>"
+    assert html_extract.main_text(page) == f"Wholly a link. {'Text. ' * 80}End."
