@@ -2,9 +2,9 @@
 
 The markup is stripped so that each block element gives one line. Elements that can't
 belong to an article (menus, page headers and footers, sidebars, notices, adverts,
-forms, comments, hidden parts) leave one empty line. A marked article gives all of its other
-lines, links and short ones too. On pages without one, text of links counts as empty,
-and the text lengths of ``WINDOW`` following lines are summed at each line; a *surge point* is a
+forms, comments, hidden parts) leave one empty line. Where the marked articles (``article``,
+``main``) hold no less text than any block of lines outside them, they give all of their
+other lines, links and short ones too. Else text of links counts as empty, and the text lengths of ``WINDOW`` following lines are summed at each line; a *surge point* is a
 line where that sum rises to the threshold and which is followed by text, a *dive
 point* the line from which a whole window is empty. Text between a surge and its dive
 is kept. The threshold is relative to the page (so that very short articles are found)
@@ -184,20 +184,26 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(page: str) -> str:
-    """The text between surge and dive points of the page's line-block distribution."""
+    """The text of the marked article if that is the main text, else the text between
+    surge and dive points of the page's line-block distribution."""
     lines = lines_of(page)
-    if any(inside and text for text, _, inside in lines):  # a marked article holds all of the main text
-        lines = [x if x[2] else ("", 0, False) for x in lines]
-        return " ".join(x[0] for x in lines if x[0])
+    inside = [x for x in lines if x[2] and x[0]]
+    if inside:
+        outside = _islands([("", 0, False) if x[2] else x for x in lines])
+        if sum(x[1] for x in inside) >= max((sum(x[1] for x in i) for i, _ in outside), default=0):
+            return " ".join(x[0] for x in inside)
+    islands = _islands(lines)
+    surge = min(SURGE, max(1, max((top for _, top in islands), default=0) * SHARE))
+    return " ".join(x[0] for island, top in islands if top >= surge for x in island if x[0])
+
+
+def _islands(lines: list[tuple[str, int, bool]]) -> list[tuple[list[tuple[str, int, bool]], int]]:
+    """The runs of lines from text up to the dive point, each with its largest window."""
     lines = _squeeze(lines)
     n = len(lines)
     size = [x[1] for x in lines]
     sums = [sum(size[i:i + WINDOW]) for i in range(n)]
-    most = max(sums, default=0)
-    if most == 0:
-        return ""
-    surge = min(SURGE, max(1, most * SHARE))
-    kept: list[str] = []
+    out = []
     i = 0
     while i < n:
         if sums[i] == 0:
@@ -206,10 +212,9 @@ def main_text(page: str) -> str:
         stop = i
         while stop < n and sums[stop] > 0:  # the dive point
             stop += 1
-        if max(sums[i:stop]) >= surge:
-            kept.extend(x[0] for x in lines[i:stop] if x[0])
+        out.append((lines[i:stop], max(sums[i:stop])))
         i = stop
-    return " ".join(kept)
+    return out
 
 
 def _squeeze(lines: list[tuple[str, int, bool]]) -> list[tuple[str, int, bool]]:

@@ -77,3 +77,12 @@ def test_article_keeps_linked_and_distant_lines():
     gap = "<div></div>" * 9
     page = f"<article><p><a href=x>Wholly a link.</a></p>{gap}<p>{'Text. ' * 80}</p>{gap}<p>End.</p></article><p>outside</p>"
     assert html_extract.main_text(page) == f"Wholly a link. {'Text. ' * 80}End."
+
+
+def test_small_article_beside_the_main_text_does_not_replace_it():
+    text = "".join(f"<p>Paragraph {i} of the main text, long enough to be a block of its own.</p>" for i in range(20))
+    card = '<article class="card"><h3><a href=x>Another story</a></h3><p>Two words.</p></article>'
+    for page in (f"<div id=content>{text}</div><div><div><div>{card}", f"{card}<div></div><div></div><div id=content>{text}</div>"):
+        out = html_extract.main_text(page)
+        assert out.count("of the main text") == 20 and "Two words" not in out
+    assert html_extract.main_text(f"<p>A line outside.</p><article>{text}</article>{card}").startswith("Paragraph 0")
