@@ -18,7 +18,7 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,15 +45,16 @@ class FittedEncoders:
     mean: float | None = None                      # the default of unseen categories
 
 
-def fit_encoders(train: DataFrame, min_frequency: int, y: str = LABEL) -> FittedEncoders:
+def fit_encoders(train: DataFrame, min_frequency: int, y: str = LABEL, ohe: list[str] = OHE_FEATURES,
+                 target: list[str] = TARGET_ENC_FEATURES) -> FittedEncoders:
     """T2 + T3 (inference side) fitted on the training rows.
 
     The tables (one row per category) are written once: scoring reads them and never
     aggregates the training rows again."""
     fe = FittedEncoders(mean=train.agg(F.avg(y)).first()[0])
-    for c in OHE_FEATURES:
+    for c in ohe:
         fe.slots[c] = materialize(T.frequent_categories(train, c, min_frequency), f"slots-{c}")
-    for c in TARGET_ENC_FEATURES:
+    for c in target:
         enc, _ = T.fit_target_encoding(train, c, y)
         fe.target[c] = (materialize(enc, f"target-{c}"), F.lit(fe.mean))
     return fe
@@ -79,7 +80,7 @@ def encode_train(train: DataFrame, fe: FittedEncoders, id_col: str, n_folds: int
     folded = hash_folds(train, id_col, n_folds, seed + 1, "_te_fold")
     out = hash_folds(out, id_col, n_folds, seed + 1, "_te_fold")
     gstats = T.fold_statistics(folded, y, "_te_fold")
-    for c in TARGET_ENC_FEATURES:
+    for c in fe.target:
         table = T.target_encode_crossfit(folded, c, y, "_te_fold", gstats)
         out = T.apply_crossfit_encoding(out, table, c, "_te_fold", f"te_{c}")
     return out.drop("_te_fold")
@@ -92,27 +93,31 @@ def preprocessing(mc: ModelConfig) -> Pipeline:
         mc.skills_vocab, mc.title_vocab, mc.title_min_df))
 
 
-def native_frame_model(cat_cols: list[str], numeric: list[str], max_bins: int = 32,
-                       hash_features: int = 256) -> Pipeline:
-    """T8 re-aimed: categories as frequency-ordered indices capped to ``max_bins``
-    (the rare tail shares the last index), text as hashed term counts, numerics as
-    they are: one vector for a tree learner (no one-hot, no encoders to fit)."""
-    from pyspark.ml.feature import HashingTF, RegexTokenizer, SQLTransformer
-    st: list = []
-    for c in cat_cols:
-        st.append(StringIndexer(inputCol=c, outputCol=f"_{c}_ix0", handleInvalid="keep",
-                                stringOrderType="frequencyDesc"))
-    caps = ", ".join(f"least(_{c}_ix0, {float(max_bins - 1)}) AS _{c}_ix" for c in cat_cols)
-    st.append(SQLTransformer(statement=f"SELECT *, {caps} FROM __THIS__"))
-    st += [RegexTokenizer(inputCol=SKILLS_TEXT, outputCol="_n_sk", pattern=r"\s+"),
-           HashingTF(inputCol="_n_sk", outputCol="_n_sk_h", numFeatures=hash_features),
-           RegexTokenizer(inputCol=TITLE_TEXT, outputCol="_n_ti", pattern=T.WORD_PATTERN,
-                          gaps=False),
-           HashingTF(inputCol="_n_ti", outputCol="_n_ti_h", numFeatures=hash_features),
-           VectorAssembler(inputCols=numeric + [f"_{c}_ix" for c in cat_cols]
-                           + ["_n_sk_h", "_n_ti_h"], outputCol="features",
-                           handleInvalid="keep")]
-    return Pipeline(stages=st)
+def native_frame(split_frame: DataFrame, mc: ModelConfig, cat_cols: list[str], id_col: str = COLS.id,
+                 target: str = COLS.target) -> tuple[DataFrame, DataFrame]:
+    """T8 re-aimed: training rows and the others with the label and, for each categorical
+    column however many values it has, its ordered target statistic ``te_<column>``: out of
+    fold on the training rows, a missing value being a category of its own."""
+    df = split_frame.withColumn(LABEL, F.log1p(target)).withColumns(
+        {**{c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cat_cols},
+         **{c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (SKILLS_TEXT, TITLE_TEXT)}})
+    train = df.filter(F.col("split") == "train")
+    fe = fit_encoders(train, mc.ohe_min_frequency, ohe=[], target=cat_cols)
+    return (materialize(encode_train(train, fe, id_col, mc.n_folds, mc.seed), "native-train"),
+            encode(df.filter(F.col("split") != "train"), fe))
+
+
+def native_frame_model(cat_cols: list[str], numeric: list[str], mc: ModelConfig) -> Pipeline:
+    """The columns of ``native_frame`` as one vector for a tree learner: numerics as they
+    are, target statistics, and a count for each term of the T4 and T5 vocabularies."""
+    from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+    return Pipeline(stages=[
+        RegexTokenizer(inputCol=SKILLS_TEXT, outputCol="_n_sk", pattern=r"\s+"),
+        CountVectorizer(inputCol="_n_sk", outputCol="_n_sk_c", vocabSize=mc.skills_vocab),
+        RegexTokenizer(inputCol=TITLE_TEXT, outputCol="_n_ti", pattern=T.WORD_PATTERN, gaps=False),
+        CountVectorizer(inputCol="_n_ti", outputCol="_n_ti_c", vocabSize=mc.title_vocab),
+        VectorAssembler(inputCols=numeric + [f"te_{c}" for c in cat_cols] + ["_n_sk_c", "_n_ti_c"],
+                        outputCol="features", handleInvalid="keep")])
 
 
 @dataclass

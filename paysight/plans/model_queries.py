@@ -195,13 +195,12 @@ def q_t7_log_wrapper(spark, sf):
 
 def q_t8_native_frame(spark, sf):
     from paysight.config import NUMERIC_FEATURES, OHE_FEATURES, TARGET_ENC_FEATURES
-    df = (_split_raw(spark, sf).withColumn(M.LABEL, F.log1p(COLS.target))
-          .withColumn(M.STOP, portable_hash(COLS.id, CONFIG.seed + 3) % CONFIG.stop_every == 0))
-    pipe = M.native_frame_model(OHE_FEATURES + TARGET_ENC_FEATURES, NUMERIC_FEATURES)
-    tr = df.filter(F.col("split") == "train")
-    pm = pipe.fit(tr)
+    cats = OHE_FEATURES + TARGET_ENC_FEATURES
+    frame = _split_raw(spark, sf).withColumn(M.STOP, portable_hash(COLS.id, CONFIG.seed + 3) % CONFIG.stop_every == 0)
+    tr, rest = M.native_frame(frame, CONFIG, cats)
+    pm = M.native_frame_model(cats, NUMERIC_FEATURES, CONFIG).fit(tr)
     gbt = M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05, maxBins=64).fit(pm.transform(tr))
-    val = M.score_usd(gbt, pm.transform(df.filter(F.col("split") == "val")))
+    val = M.score_usd(gbt, pm.transform(rest.filter(F.col("split") == "val")))
     return _metrics(val, "NativeFrameGBT", "val")
 
 

@@ -140,3 +140,23 @@ def test_shared_folder_must_be_set_on_a_cluster():
            getConf=lambda: {}, master="spark://host:7077")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(N(sparkContext=sc))
+
+
+def test_native_frame_keeps_every_category_and_term(spark):
+    from paysight.config import COLS, NUMERIC_FEATURES, ModelConfig
+    from paysight.operators import models as M
+    from paysight.plans.shared import split_frame
+    k = F.pmod(F.xxhash64(COLS.id), F.lit(100))
+    frame = split_frame(spark, SF_SMALL).withColumns({
+        COLS.company: F.when(k > 0, F.concat(F.lit("c"), k)), "skills_text": F.concat(F.lit("s"), F.pmod(F.xxhash64(COLS.id, F.lit(1)), F.lit(400))),
+        COLS.target: (20000 + 1000 * k).cast("double")})
+    tr, rest = M.native_frame(frame, ModelConfig(), [COLS.company, COLS.country])
+    means = tr.groupBy(COLS.company).agg(F.avg(M.LABEL).alias("m"), F.count("*").alias("n"))
+    got = rest.join(means, COLS.company)
+    assert tr.select(COLS.company).distinct().count() > 90  # without a value: one category more
+    assert got.count() > 0 and got.where("abs(te_company_name - m) > 1e-9").count() == 0
+    # each term of the training rows has a column
+    out = M.native_frame_model([COLS.company, COLS.country], NUMERIC_FEATURES, ModelConfig()).fit(tr).transform(tr)
+    terms = tr.select("skills_text").distinct().count()
+    assert terms > 256 and len(out.first()._n_sk_c) == terms
+    assert len(out.first().features) > len(NUMERIC_FEATURES) + 2 + terms
