@@ -81,7 +81,8 @@ def encode_train(train: DataFrame, fe: FittedEncoders, id_col: str, n_folds: int
     out = hash_folds(out, id_col, n_folds, seed + 1, "_te_fold")
     gstats = T.fold_statistics(folded, y, "_te_fold")
     for c in fe.target:
-        table = T.target_encode_crossfit(folded, c, y, "_te_fold", gstats)
+        # written, as the plans of several columns in one are more than a driver should hold
+        table = materialize(T.target_encode_crossfit(folded, c, y, "_te_fold", gstats), f"crossfit-{c}")
         out = T.apply_crossfit_encoding(out, table, c, "_te_fold", f"te_{c}")
     return out.drop("_te_fold")
 
@@ -101,6 +102,7 @@ def native_frame(split_frame: DataFrame, mc: ModelConfig, cat_cols: list[str], i
     df = split_frame.withColumn(LABEL, F.log1p(target)).withColumns(
         {**{c: F.coalesce(F.col(c).cast("string"), F.lit("nan")) for c in cat_cols},
          **{c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (SKILLS_TEXT, TITLE_TEXT)}})
+    df = materialize(df, "native-rows")
     train = df.filter(F.col("split") == "train")
     fe = fit_encoders(train, mc.ohe_min_frequency, ohe=[], target=cat_cols)
     return (materialize(encode_train(train, fe, id_col, mc.n_folds, mc.seed), "native-train"),
