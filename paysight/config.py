@@ -112,7 +112,5 @@ class ModelConfig:
     #: Depth of forest trees. The driver holds a fitted tree, so without a bound its size
     #: would grow with the rows.
     forest_depth: int = 12
-    #: One training row in so many is kept to watch the loss of a boosted learner, which ends when
-    #: a round does not improve it by more than this share (rounds above are the most there can be).
-    stop_every: int = 10
-    stop_tol: float = 0.0
+    #: Rounds without a lower validation loss after which M10 stops.
+    patience: int = 60

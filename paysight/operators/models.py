@@ -17,9 +17,10 @@ import sys
 import time
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +29,10 @@ from paysight.config import (COLS, NUMERIC_FEATURES, OHE_FEATURES, SEED, SKILLS_
 from paysight.functions.stopwords import ENGLISH_STOP_WORDS
 from paysight.operators import encoders as T
 from paysight.operators.evaluate import regression_metrics
-from paysight.operators.split import hash_folds, ordered_folds, portable_hash
+from paysight.operators.split import hash_folds, ordered_folds
 from paysight.session import materialize
 
 LABEL = "label_log"
-#: Marks the training rows on which boosted learners watch their loss.
-STOP = "is_stop"
 TE_COLS = [f"te_{c}" for c in TARGET_ENC_FEATURES]
 
 
@@ -134,15 +133,14 @@ class PreparedData:
 def prepare(split_frame: DataFrame, mc: ModelConfig, id_col: str = COLS.id,
             target: str = COLS.target) -> PreparedData:
     """Fit encoders and the preprocessing pipeline on train; transform all splits once."""
-    df = split_frame.withColumn(LABEL, F.log1p(target)).withColumn(
-        STOP, portable_hash(id_col, mc.seed + 3) % mc.stop_every == 0)
+    df = split_frame.withColumn(LABEL, F.log1p(target))
     train = df.filter(F.col("split") == "train")
     fe = fit_encoders(train, mc.ohe_min_frequency)
     # written once: the pipeline fit makes one pass per estimator stage over it
     tr = materialize(encode_train(train, fe, id_col, mc.n_folds, mc.seed), "train-encoded")
     rest = encode(df.filter(F.col("split") != "train"), fe)
     prep = preprocessing(mc).fit(tr)
-    keep = [id_col, target, LABEL, STOP, "split", "features"]
+    keep = [id_col, target, LABEL, "split", "features"]
     tr_f = materialize(prep.transform(tr).select(*keep), "train-features")
     rest_f = materialize(prep.transform(rest).select(*keep), "rest-features")
     return PreparedData(tr_f, rest_f.filter(F.col("split") == "val"),
@@ -161,9 +159,8 @@ def elastic_net_params(alpha: float, l1_ratio: float, label_std: float) -> dict:
 
 
 def boosted(mc: ModelConfig, rounds: int, **params) -> GBTRegressor:
-    """Boosted trees of at most ``rounds`` rounds that end early on the rows marked ``STOP``."""
-    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=rounds, seed=mc.seed,
-                        validationIndicatorCol=STOP, validationTol=mc.stop_tol, cacheNodeIds=True,
+    """Boosted trees of ``rounds`` rounds on all rows."""
+    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=rounds, seed=mc.seed, cacheNodeIds=True,
                         **params)
 
 
@@ -205,9 +202,27 @@ def model_zoo(train: DataFrame, mc: ModelConfig) -> dict:
     }
 
 
-def early_stopping_gbt(mc: ModelConfig, rounds: int | None = None) -> GBTRegressor:
-    """M10 re-aimed: boosted trees with early stopping on the validation rows."""
-    return boosted(mc, rounds or mc.xgb_rounds, stepSize=0.06, maxDepth=6).setValidationIndicatorCol("is_val")
+def best_round(losses: list[float], patience: int) -> int:
+    """Rounds up to the least loss, searched until ``patience`` rounds do not lower it."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def first_rounds(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The boosted model of its first ``n`` rounds."""
+    java, sc = model._java_obj, SparkContext._active_spark_context
+    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
+    weights = sc._gateway.new_array(sc._jvm.double, n)
+    for i in range(n):
+        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
+    return GBTRegressionModel._from_java(java.copyValues(
+        sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, model.numFeatures),
+        sc._jvm.org.apache.spark.ml.param.ParamMap.empty()))
 
 
 def score_usd(model, df: DataFrame, out: str = "prediction_usd") -> DataFrame:
@@ -251,10 +266,10 @@ def train_all(data: PreparedData, mc: ModelConfig,
 
 
 def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, rounds: int | None = None):
-    """Train + val rows with an indicator; the learner stops on the val loss."""
-    both = (data.train.withColumn("is_val", F.lit(False))
-            .unionByName(data.val.withColumn("is_val", F.lit(True))))
-    return early_stopping_gbt(mc, rounds).fit(both)
+    """M10 re-aimed: all rounds on the training rows, of which those up to the least
+    validation loss are kept; the search ends ``mc.patience`` rounds after it."""
+    model = boosted(mc, rounds or mc.xgb_rounds, stepSize=0.06, maxDepth=6).fit(data.train)
+    return first_rounds(model, best_round(model.evaluateEachIteration(data.val, "squared"), mc.patience))
 
 
 # ----------------------------------------------------------------------------- stacking

@@ -1,7 +1,7 @@
 """Model-side queries (rows / invariant checks, and one closed-form SQL check).
 
-Learners have the sizes of ``ModelConfig``; boosted ones end early when their loss no
-longer falls. Prepared feature frames are written once per
+Learners have the sizes of ``ModelConfig`` and run all of their rounds; only M10 keeps
+the best ones. Prepared feature frames are written once per
 (session, data folder) to the shared folder and reused by every query here.
 """
 
@@ -18,7 +18,7 @@ from paysight.operators import models as M
 from paysight.operators import tuning as TU
 from paysight.operators.scorer import Scorer
 from paysight.operators.evaluate import interval_metrics, regression_metrics
-from paysight.operators.split import hash_sample, portable_hash
+from paysight.operators.split import hash_sample
 from paysight.plans.shared import split_frame
 from paysight.session import scratch_path
 from paysight.sources.requests import requests
@@ -196,8 +196,7 @@ def q_t7_log_wrapper(spark, sf):
 def q_t8_native_frame(spark, sf):
     from paysight.config import NUMERIC_FEATURES, OHE_FEATURES, TARGET_ENC_FEATURES
     cats = OHE_FEATURES + TARGET_ENC_FEATURES
-    frame = _split_raw(spark, sf).withColumn(M.STOP, portable_hash(COLS.id, CONFIG.seed + 3) % CONFIG.stop_every == 0)
-    tr, rest = M.native_frame(frame, CONFIG, cats)
+    tr, rest = M.native_frame(_split_raw(spark, sf), CONFIG, cats)
     pm = M.native_frame_model(cats, NUMERIC_FEATURES, CONFIG).fit(tr)
     gbt = M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05, maxBins=64).fit(pm.transform(tr))
     val = M.score_usd(gbt, pm.transform(rest.filter(F.col("split") == "val")))

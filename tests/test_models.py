@@ -160,3 +160,26 @@ def test_native_frame_keeps_every_category_and_term(spark):
     terms = tr.select("skills_text").distinct().count()
     assert terms > 256 and len(out.first()._n_sk_c) == terms
     assert len(out.first().features) > len(NUMERIC_FEATURES) + 2 + terms
+
+
+def test_boosting_runs_all_rounds_and_m10_keeps_the_best(spark):
+    from paysight.config import ModelConfig
+    from paysight.operators import models as M
+    assert M.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 3) == 5 and M.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == 2
+    assert M.best_round([3.0, 2.0, 1.0], 60) == 3 and ModelConfig().patience == 60
+    from pyspark.ml.linalg import Vectors
+    # noise: the loss on other rows rises soon
+    rows = [("t" if i % 4 else "v", float(i * 7919 % 101), Vectors.dense(float(i % 13), float(i * 31 % 17))) for i in range(400)]
+    df = spark.createDataFrame(rows, ["split", M.LABEL, "features"]).repartition(1).cache()
+    train, val = df.where("split = 't'"), df.where("split = 'v'")
+    mc = ModelConfig()
+    model = M.boosted(mc, 12, stepSize=0.05, maxDepth=2, subsamplingRate=0.8).fit(train)
+    assert model.getNumTrees == 12
+    losses = model.evaluateEachIteration(val, "squared")
+    cut = M.first_rounds(model, 5)
+    assert cut.getNumTrees == 5 and abs(cut.evaluateEachIteration(val, "squared")[-1] - losses[4]) < 1e-12
+    assert cut.transform(val).count() == val.count()
+    from types import SimpleNamespace as N
+    found = M.fit_with_early_stopping(N(train=train, val=val), mc, 12)
+    full = M.boosted(mc, 12, stepSize=0.06, maxDepth=6).fit(train).evaluateEachIteration(val, "squared")
+    assert found.getNumTrees == full.index(min(full)) + 1
