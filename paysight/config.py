@@ -109,6 +109,10 @@ class ModelConfig:
     small_gbt_rounds: int = 150
     xgb_rounds: int = 600
     lgbm_rounds: int = 800
+    # Candidates of the searches, trees of the forest in the stack and the cross-validation.
+    lgbm_trials: int = 20
+    xgb_trials: int = 25
+    stack_trees: int = 400
     #: Depth of forest trees. The driver holds a fitted tree, so without a bound its size
     #: would grow with the rows.
     forest_depth: int = 12

@@ -27,9 +27,8 @@ from paysight.sources.requests import requests
 CONFIG = ModelConfig()
 #: The date that stands for "now" in the registered queries, so that reruns agree.
 POSTED_AT = "2024-01-15 00:00:00"
-#: Candidates that the registered searches draw, and trees of the forest in the registered stack
-#: (fitted six times there): below the reference's 20 or 25, and 400.
-TRIALS, STACK_TREES = 4, 100
+#: Candidates of a search that are fitted at once.
+PARALLEL = 4
 _CACHE: dict = {}
 
 
@@ -88,19 +87,19 @@ def q_m10_early_stopping(spark, sf):
 
 
 def q_m12_tune_lightgbm(spark, sf):
-    _, table = TU.random_search(_data(spark, sf), TU.LGBM_SPACE, n_trials=TRIALS, parallelism=TRIALS)
+    _, table = TU.random_search(_data(spark, sf), TU.LGBM_SPACE, n_trials=CONFIG.lgbm_trials, parallelism=PARALLEL)
     return table
 
 
 def q_m13_tune_xgboost(spark, sf):
-    _, table = TU.random_search(_data(spark, sf), TU.XGB_SPACE, n_trials=TRIALS, parallelism=TRIALS,
+    _, table = TU.random_search(_data(spark, sf), TU.XGB_SPACE, n_trials=CONFIG.xgb_trials, parallelism=PARALLEL,
                                 seed=43)
     return table
 
 
 def _bases(data):
     zoo = M.model_zoo(data.train, CONFIG)
-    return {"extratrees": M.forest(CONFIG, STACK_TREES, bootstrap=False),
+    return {"extratrees": M.forest(CONFIG, CONFIG.stack_trees, bootstrap=False),
             "lightgbm": zoo["LightGBM"], "xgboost": zoo["XGBoost"]}
 
 
@@ -244,7 +243,9 @@ def q_r3_stream_scoring(spark, sf):
 def q_v4_cv_models(spark, sf):
     from paysight.operators.evaluate import cv_summary
     n = _data(spark, sf).train.count()
-    est = {"LightGBM": M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05), "Ridge": M.ridge(2.0, n)}
+    est = {"LightGBM": M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05),
+           "XGBoost": M.boosted(CONFIG, CONFIG.xgb_rounds, maxDepth=6, stepSize=0.05),
+           "ExtraTrees": M.forest(CONFIG, CONFIG.stack_trees, bootstrap=False), "Ridge": M.ridge(2.0, n)}
     frame = _split_raw(spark, sf).drop("split")
     return cv_summary(M.cross_validate(frame, est, CONFIG, n_folds=5))
 

@@ -183,3 +183,21 @@ def test_boosting_runs_all_rounds_and_m10_keeps_the_best(spark):
     found = M.fit_with_early_stopping(N(train=train, val=val), mc, 12)
     full = M.boosted(mc, 12, stepSize=0.06, maxDepth=6).fit(train).evaluateEachIteration(val, "squared")
     assert found.getNumTrees == full.index(min(full)) + 1
+
+
+def test_registered_searches_stack_and_cv_have_the_reference_sizes(spark, monkeypatch):
+    from types import SimpleNamespace as N
+
+    from paysight.operators import evaluate
+    from paysight.plans import model_queries as MQ
+    drawn, learners = [], {}
+    monkeypatch.setattr(MQ, "_data", lambda *a: N(train=N(count=lambda: 10)))
+    monkeypatch.setattr(MQ, "_split_raw", lambda *a: spark.range(1))
+    monkeypatch.setattr(MQ.TU, "random_search", lambda *a, n_trials, **k: (drawn.append(n_trials), None))
+    monkeypatch.setattr(MQ.M, "cross_validate", lambda frame, est, *a, **k: learners.update(est))
+    monkeypatch.setattr(MQ.M, "model_zoo", lambda *a: {"LightGBM": None, "XGBoost": None})
+    monkeypatch.setattr(evaluate, "cv_summary", lambda x: x)
+    MQ.q_m12_tune_lightgbm(spark, SF_SMALL), MQ.q_m13_tune_xgboost(spark, SF_SMALL), MQ.q_v4_cv_models(spark, SF_SMALL)
+    assert drawn == [20, 25] and MQ._bases(N(train=None))["extratrees"].getNumTrees() == 400
+    assert {"LightGBM", "XGBoost", "ExtraTrees"} <= set(learners)
+    assert (learners["XGBoost"].getMaxIter(), learners["ExtraTrees"].getNumTrees()) == (600, 400)
