@@ -158,7 +158,7 @@ def with_slots(rows: DataFrame, id_col: str, order: list[str]) -> DataFrame:
     """Add ``slot``: gapless from 0 in each ``shard``."""
     n = rows.count()
     buckets = max(1, -(-n // BUCKET_ROWS))
-    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.col(id_col)), F.lit(buckets)))
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(id_col, *order), F.lit(buckets)))
     before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     first = (dealt.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
              .withColumn("_first", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"))

@@ -71,3 +71,13 @@ def test_minimax_is_exact(spark, seed, hot, monkeypatch):
 
 def test_empty(spark, no_docs):
     assert sharding.shard_documents(no_docs).count() == 0
+
+
+def test_rows_of_one_id_are_numbered_in_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 20)
+    for i in (None, 7):
+        df = spark.createDataFrame([(i, f"{k:03d}", 0) for k in range(200)], "doc_id long, key string, shard int")
+        rows = sorted(sharding.with_slots(df, "doc_id", ["key"]).collect(), key=lambda r: r.slot)
+        assert [r.slot for r in rows] == list(range(200))
+        # one bucket would give all of them in the order of their keys
+        assert sum(a.key > b.key for a, b in zip(rows, rows[1:])) > 3
