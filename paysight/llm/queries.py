@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from paysight.llm.bpe import op5_byte_bpe
+from paysight.llm.fill_middle import op13_fill_middle
 from paysight.llm.html_extract import op2_html_extract
 from paysight.llm.language import op9_language
 from paysight.llm.maxscore import op3_top_k
@@ -15,7 +16,8 @@ from paysight.llm.token_counts import op1_token_counts
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_html_extract, op3_top_k, op4_merkle, op5_byte_bpe,
-    op6_simhash, op7_sharding, op8_quality, op9_language, op10_mixing)}
+    op6_simhash, op7_sharding, op8_quality, op9_language, op10_mixing,
+    op13_fill_middle)}
 
 LLM_ORACLE = {
     "op3_top_k": """
@@ -60,4 +62,24 @@ LLM_ORACLE = {
                    CAST(('0x' || substr(md5('42:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
                    / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""",
+    "op13_fill_middle": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents),
+        x AS (
+            SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+                   CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                             OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 90 THEN 'plain'
+                        WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM d),
+        c AS (
+            SELECT *, CASE WHEN form <> 'plain' THEN least(a, b) END AS p, CASE WHEN form <> 'plain' THEN greatest(a, b) - least(a, b) END AS m
+            FROM x)
+        SELECT doc_id, n, form, p AS prefix_chars, m AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t
+                      WHEN 'psm' THEN '<P>' || substr(t, 1, p) || '<S>' || substr(t, p + m + 1) || '<M>' || substr(t, p + 1, m)
+                      ELSE '<S>' || substr(t, p + m + 1) || '<P>' || substr(t, 1, p) || '<M>' || substr(t, p + 1, m) END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM c""",
 }
