@@ -6,6 +6,7 @@ from paysight.llm.bpe import op5_byte_bpe
 from paysight.llm.fill_middle import op13_fill_middle
 from paysight.llm.html_extract import op2_html_extract
 from paysight.llm.language import op9_language
+from paysight.llm.lemp import op12_ranked_search
 from paysight.llm.maxscore import op3_top_k
 from paysight.llm.merkle import op4_merkle
 from paysight.llm.mixing import op10_mixing
@@ -17,7 +18,7 @@ from paysight.llm.token_counts import op1_token_counts
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_html_extract, op3_top_k, op4_merkle, op5_byte_bpe,
     op6_simhash, op7_sharding, op8_quality, op9_language, op10_mixing,
-    op13_fill_middle)}
+    op12_ranked_search, op13_fill_middle)}
 
 LLM_ORACLE = {
     "op3_top_k": """
@@ -62,6 +63,30 @@ LLM_ORACLE = {
                    CAST(('0x' || substr(md5('42:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
                    / 4503599627370496.0::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
         FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents),
+        q AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        s AS (SELECT count(DISTINCT doc_id) AS big_n, count(*) AS big_l FROM d),
+        m AS (SELECT doc_id, 75 + (25 * count(*) * big_n) // big_l AS m FROM d, s GROUP BY doc_id, big_n, big_l),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, big_n),
+        qc AS (SELECT item_id, term, count(*) AS c FROM q GROUP BY item_id, term),
+        r AS (
+            SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+            FROM qc JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id)
+            GROUP BY item_id, doc_id),
+        k AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS "rank", doc_id, score
+            FROM r WHERE score > 0)
+        SELECT item_id, "rank", doc_id, score FROM k WHERE "rank" <= 20""",
     "op13_fill_middle": """
         WITH d AS (
             SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
