@@ -35,7 +35,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysight.llm.common import bound_batches, table, text_or_empty, unused
-from paysight.session import materialize
 
 #: Units of a frame and level of compression.
 FRAME, LEVEL = 16_384, 1
@@ -209,15 +208,16 @@ def draws(id_col: str, seed: int = 1) -> list[Column]:
 
 
 def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text: str = "text", seed: int = 1, rate: int = RATE,
-                   spm_rate: int = SPM_RATE) -> DataFrame:
+                   spm_rate: int = SPM_RATE, frames: str | None = None) -> DataFrame:
     """Add ``n``, ``form``, ``prefix_chars``, ``middle_chars`` and ``output`` (frames) to each row.
 
-    The stored texts are written once to the shared folder: a task that is lost reads its
-    frames again and the whole texts are not encoded anew."""
+    ``frames``: a column that holds the texts as ``store`` gives them, where a stored table is
+    kept; without one the texts are stored on the way, row by row, and nothing is written."""
     body = text_or_empty(text)
-    marked, frames = unused(docs, "_marked"), unused(docs, "_frames")
-    has_mark = body.contains(PREFIX) | body.contains(SUFFIX) | body.contains(MIDDLE)
-    kept = materialize(store(docs.withColumn(marked, has_mark), text, frames), "text-frames")
+    marked, given = unused(docs, "_marked"), frames is not None
+    frames = frames or unused(docs, "_frames")
+    kept = docs.withColumn(marked, body.contains(PREFIX) | body.contains(SUFFIX) | body.contains(MIDDLE))
+    kept = kept if given else store(kept, text, frames)
     h1, h2, h3, h4 = draws(id_col, seed)
     kept = kept.withColumn("n", units(frames))
     a, b = h1 % (F.col("n") + 1), h2 % (F.col("n") + 1)
@@ -230,7 +230,7 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     def arrange(frames: pd.DataFrame, form: pd.Series, prefix: pd.Series, middle: pd.Series) -> pd.DataFrame:
         return _packed([arranged(f, k, int(p), int(m)) for f, k, p, m in zip(_rows(frames), form, prefix, middle, strict=True)])
     zero = F.lit(0).cast("long")
-    return kept.withColumn("output", arrange(frames, "form", F.coalesce("prefix_chars", zero), F.coalesce("middle_chars", zero))).drop(marked, frames)
+    return kept.withColumn("output", arrange(frames, "form", F.coalesce("prefix_chars", zero), F.coalesce("middle_chars", zero))).drop(marked, *([] if given else [frames]))
 
 
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:

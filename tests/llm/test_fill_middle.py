@@ -75,6 +75,13 @@ def test_clashing_names_and_other_rates(spark):
     assert all((r.frames, r["_frames"], r["_marked"]) == ("z", "w", "v") for r in rows)
 
 
+def test_a_kept_store_gives_the_same(spark, edge_docs):
+    kept = materialize(fm.store(edge_docs, out="kept", size=50), "store-test")
+    a, b = (fm.fill_in_middle(*x).withColumn("out_sha", fm.sha256_of("output")).select("doc_id", "n", "form", "prefix_chars", "out_sha").collect()
+            for x in ((edge_docs,), (kept, "doc_id", "text", 1, 90, 20, "kept")))
+    assert sorted(a, key=str) == sorted(b, key=str) and max(len(r.kept.ends) for r in kept.collect()) > 100
+
+
 def test_query(spark):
     rows = fm.op13_fill_middle(spark, SF).collect()
     text = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
