@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from paysight.llm.bpe import op5_byte_bpe
 from paysight.llm.fill_middle import op13_fill_middle
+from paysight.llm.group_join import op11_ngram_join
 from paysight.llm.html_extract import op2_html_extract
 from paysight.llm.language import op9_language
 from paysight.llm.lemp import op12_ranked_search
@@ -18,7 +19,7 @@ from paysight.llm.token_counts import op1_token_counts
 LLM_QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_html_extract, op3_top_k, op4_merkle, op5_byte_bpe,
     op6_simhash, op7_sharding, op8_quality, op9_language, op10_mixing,
-    op12_ranked_search, op13_fill_middle)}
+    op11_ngram_join, op12_ranked_search, op13_fill_middle)}
 
 LLM_ORACLE = {
     "op3_top_k": """
