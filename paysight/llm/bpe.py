@@ -16,6 +16,10 @@ neighbours are joined on the way up. Two joins are used, one above the other:
   window doubles until the pairs at its two ends encode to themselves: the tokens
   outside are then proven to stay.
 
+Leaves are small (``TEXT_LEAF`` characters, ``PIECE_LEAF`` bytes), so that joins are no rare case
+(README has the shares). A worker remembers the ids of pre-tokens, of halves and of pairs in
+bounded memories.
+
 Token ids are carried as packed little-endian unsigned 32-bit integers. Decoding maps
 ids to bytes and concatenates up the same kind of tree.
 
@@ -28,9 +32,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -38,47 +42,55 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysight.llm.common import bound_batches, pre_tokens, splitter, table, text_or_empty, unsettled
+from paysight.llm.common import Generations, ascii_splitter, bound_batches, pre_tokens, splitter, table, text_or_empty, unsettled, unused
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Characters of a leaf of the text tree, bytes of a leaf of the pre-token tree.
-TEXT_LEAF, PIECE_LEAF = 16_384, 64
+TEXT_LEAF, PIECE_LEAF = 2_048, 12
+#: Bytes from which on merges are taken from a heap.
+LONG = 64
 #: Ids of a leaf of the decoding tree.
 ID_LEAF = 65_536
 #: Characters before a cut in which the end of a match may still depend on what follows.
 LOOK = 3
-#: Pre-tokens (of at most MAX_KEPT bytes) whose ids a worker remembers.
-CACHE_SIZE, MAX_KEPT = 131_072, 64
-#: Pairs of tokens whose stability a worker remembers.
-PAIRS = 32_768
+#: Pre-tokens (of at most MAX_KEPT characters) whose ids a worker remembers, in each of two generations.
+CACHE_SIZE, MAX_KEPT = 196_608, 64
+#: Leaves, and pairs of tokens, that a worker remembers in each of two generations.
+LEAVES, PAIRS = 32_768, 32_768
+#: Rank of a pair that does not merge.
+NEVER = 1 << 60
 
 
 class TreeBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self.scan = splitter(pattern)
-        self.bytes_of = {i: b for b, i in ranks.items()}
-        self.kept: dict[str, bytes] = {}
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
+        self.bytes_of = [b""] * (max(ranks.values()) + 1)
+        for b, i in ranks.items():
+            self.bytes_of[i] = b
+        self.single = [ranks[bytes([i])] for i in range(256)]
+        #: Two ids (20 bits the second) to the id they merge to, which is its rank.
+        self.merged = {a << 20 | b: i for t, i in ranks.items() for k in range(1, len(t))
+                       if (a := ranks.get(t[:k])) is not None and (b := ranks.get(t[k:])) is not None}
+        self.kept, self.leaves, self.pairs = Generations(CACHE_SIZE), Generations(LEAVES), Generations(PAIRS)
 
     # -- tokens of one pre-token ------------------------------------------------
-    def merge(self, data: bytes) -> list[bytes]:
+    def merge(self, data: bytes) -> list[int]:
         """Lowest rank first, leftmost among equals."""
-        if len(data) > PIECE_LEAF:
+        if len(data) > LONG:
             return self._merge_heap(data)
-        parts, rank = [data[i:i + 1] for i in range(len(data))], self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i, (a, b) in enumerate(pairwise(parts)):
-                r = rank(a + b)
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _merge_heap(self, data: bytes) -> list[bytes]:
+        ids, get = [self.single[b] for b in data], self.merged.get
+        ranks = [get(a << 20 | b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NEVER:
+            i = ranks.index(best)
+            ids[i:i + 2] = [best]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 20 | best, NEVER)
+            if i < len(ranks):
+                ranks[i] = get(best << 20 | ids[i + 1], NEVER)
+        return ids
+
+    def _merge_heap(self, data: bytes) -> list[int]:
         """The same by a heap over a linked list, for windows that have grown long."""
         n, rank = len(data), self.ranks.get
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -100,62 +112,73 @@ class TreeBPE:
                 heapq.heappush(heap, (r, p, stop))
         out, i = [], 0
         while i < n:
-            out.append(data[i:end[i]])
+            out.append(self.ranks[data[i:end[i]]])
             i = end[i]
         return out
 
-    def stable(self, a: bytes, b: bytes) -> bool:
+    def _bytes(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def stable(self, a: int, b: int) -> bool:
         """Whether two neighbouring tokens encode to themselves."""
-        known = self.pairs.get((a, b))
+        known = self.pairs.get(a << 20 | b)
         if known is None:
-            if len(self.pairs) >= PAIRS:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self.merge(a + b) == [a, b]
+            known = self.merge(self._bytes([a, b])) == [a, b]
+            self.pairs.put(a << 20 | b, known)
         return known
 
-    def join(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
+    def join(self, left: list[int], right: list[int]) -> list[int]:
         if not left or not right or self.stable(left[-1], right[0]):
             return left + right
         width = 2
         while True:
             a, c = max(0, len(left) - width), min(len(right), width)
-            window = self.merge(b"".join(left[a:] + right[:c]))
+            window = self.merge(self._bytes(left[a:] + right[:c]))
             if (a == 0 or self.stable(left[a - 1], window[0])) and (
                     c == len(right) or self.stable(window[-1], right[c])):
                 return left[:a] + window + right[c:]
             width *= 2
 
-    def tokens(self, data: bytes) -> list[bytes]:
+    def tokens(self, data: bytes) -> list[int]:
         if len(data) <= PIECE_LEAF:
             return self.merge(data)
         mid = len(data) // 2
-        return self.join(self.tokens(data[:mid]), self.tokens(data[mid:]))
+        return self.join(self._half(data[:mid]), self._half(data[mid:]))
+
+    def _half(self, data: bytes) -> list[int]:
+        ids = self.leaves.get(data)
+        if ids is None:
+            ids = self.tokens(data)
+            if len(data) <= MAX_KEPT:
+                self.leaves.put(data, ids)
+        return ids
 
     def piece(self, text: str) -> bytes:
         """Packed ids of one pre-token; one that is a token itself is not merged."""
         data = text.encode("utf-8", "replace")
         whole = self.ranks.get(data)
-        ids = [whole] if whole is not None else [self.ranks[t] for t in self.tokens(data)]
-        return np.array(ids, dtype="<u4").tobytes()
+        ids = [whole] if whole is not None else self.tokens(data)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     # -- pre-tokens of one text -------------------------------------------------
     def pieces(self, text: str) -> list[str]:
         if len(text) <= TEXT_LEAF or unsettled(text):
             return pre_tokens(text, self.pattern)
-        return self._halves(text, 0, len(text))
+        scan = ascii_splitter(self.pattern) if text.isascii() else None
+        return self._halves(scan or splitter(self.pattern), text, 0, len(text))
 
-    def _halves(self, text: str, lo: int, hi: int) -> list[str]:
+    def _halves(self, scan, text: str, lo: int, hi: int) -> list[str]:
         if hi - lo <= TEXT_LEAF:
-            return self.scan.findall(text, lo, hi)
+            return scan.findall(text, lo, hi)
         mid = (lo + hi) // 2
-        left, right = self._halves(text, lo, mid), self._halves(text, mid, hi)
+        left, right = self._halves(scan, text, lo, mid), self._halves(scan, text, mid, hi)
         at = mid
         while left and at > mid - LOOK:
             at -= len(left.pop())
         meets, taken = mid, 0  # the boundaries of the right half, one by one
         while at != meets:
             if at < meets:
-                left.append(self.scan.match(text, at, hi)[0])
+                left.append(scan.match(text, at, hi)[0])
                 at += len(left[-1])
             else:
                 meets += len(right[taken])
@@ -165,18 +188,20 @@ class TreeBPE:
 
     # -- both directions --------------------------------------------------------
     def encode(self, text: str) -> bytes:
-        kept, out = self.kept, []
-        for p in self.pieces(text):
-            ids = kept.get(p)
-            if ids is None:
-                ids = self.piece(p)
-                if len(p) <= MAX_KEPT:
-                    if len(kept) >= CACHE_SIZE:
-                        kept.clear()
-                    kept[p] = ids
-            out.append(ids)
+        pieces = self.pieces(text)
+        out = list(map(self.kept.young.get, pieces))
+        if None in out:
+            out = [self._ids(p) if x is None else x for x, p in zip(out, pieces, strict=True)]
         return b"".join(out)
 
+    def _ids(self, p: str) -> bytes:
+        ids = self.kept.get(p)
+        if ids is None:
+            ids = self.piece(p)
+            if len(p) <= MAX_KEPT:
+                self.kept.put(p, ids)
+        return ids
+
     def decode(self, packed: bytes) -> bytes:
         ids = np.frombuffer(packed, dtype="<u4")
         if len(ids) <= ID_LEAF:
@@ -224,8 +249,9 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
             ids = [bpe.encode(t) for t in s]
             yield pd.DataFrame({"ids": pd.Series(ids, dtype=object),
                                 "decoded": pd.Series([bpe.decode(x) for x in ids], dtype=object)})
-    coded = docs.withColumn("_coded", round_trip(text_or_empty(text)))
-    out = coded.withColumns({"token_ids": F.col("_coded.ids"), "decoded": F.col("_coded.decoded")}).drop("_coded")
+    name = unused(docs, "_coded")
+    coded = docs.withColumn(name, round_trip(text_or_empty(text)))
+    out = coded.withColumns({"token_ids": F.col(name)["ids"], "decoded": F.col(name)["decoded"]}).drop(name)
     return out.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("long"))
 
 

@@ -76,6 +76,14 @@ def splitter(pattern: str):
     return regex.compile(pattern)
 
 
+@lru_cache(maxsize=8)
+def ascii_splitter(pattern: str):
+    """The pattern for texts of ASCII alone, in Python's own faster engine (None if it has other
+    classes). With ``re.ASCII`` white space is what Unicode has below 128, so both find the same."""
+    plain = pattern.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+    return None if r"\p" in plain else re.compile(plain, re.ASCII)
+
+
 def unsettled(text: str) -> bool:
     """Whether a text holds a code point whose class may differ between the Unicode
     tables of the regex engines involved (those that Python's own table lacks)."""
@@ -95,6 +103,28 @@ def pre_tokens(text: str, pattern: str) -> list[str]:
 
     Texts with code points newer than Python's Unicode table are split by the
     tokenizer library's own engine, so that both sides see the same classes."""
+    if text.isascii() and (scan := ascii_splitter(pattern)) is not None:
+        return scan.findall(text)
     if unsettled(text):
         return [text[a:b] for _, (a, b) in _library_splitter().pre_tokenize_str(text)]
     return splitter(pattern).findall(text)
+
+
+class Generations:
+    """A bounded memory in two generations: when the young one is full it becomes the old one, and
+    what is asked for again moves to the young one, so frequent entries are never forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def get(self, key):
+        """A remembered value, or None."""
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value

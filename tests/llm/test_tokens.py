@@ -87,7 +87,7 @@ def test_heap_merge_equals_plain_merge(monkeypatch):
         if not data:
             continue
         heap = t._merge_heap(data)
-        monkeypatch.setattr(bpe, "PIECE_LEAF", 10 ** 9)
+        monkeypatch.setattr(bpe, "LONG", 10 ** 9)
         assert t.merge(data) == heap
         monkeypatch.undo()
 
