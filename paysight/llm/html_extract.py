@@ -2,13 +2,13 @@
 
 The markup is stripped so that each block element gives one line. Elements that can't
 belong to an article (menus, page headers and footers, sidebars, notices, adverts,
-forms, comments, hidden parts) leave one empty line. Where the marked articles (``article``,
-``main``) hold no less text than any block of lines outside them, they give all of their
-other lines, links and short ones too. Else text of links counts as empty, and the text lengths of ``WINDOW`` following lines are summed at each line; a *surge point* is a
-line where that sum rises to the threshold and which is followed by text, a *dive
-point* the line from which a whole window is empty. Text between a surge and its dive
-is kept. The threshold is relative to the page (so that very short articles are found)
-and never above ``SURGE`` characters.
+forms, comments, hidden parts) leave one empty line. The text lengths of ``WINDOW`` following
+lines are summed at each line; a *surge point* is a line where that sum rises to the threshold and
+which is followed by text, a *dive point* the line from which a whole window is empty. Text
+between a surge and its dive is kept. The threshold is relative to the page (so that very short
+articles are found) and never above ``SURGE`` characters; text of links counts as empty. Where
+marked articles (``article``, ``main``) hold no less text than any run of lines outside them,
+only their lines are measured, links too, and any text is a surge.
 
 Defined results: a null or empty page, and a page without main text, give an empty
 string; broken markup is read leniently: unclosed elements end with their container,
@@ -37,7 +37,7 @@ WINDOW, SURGE, SHARE = 3, 80, 0.25
 _RAW = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(script|style|textarea)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<title\b[^>]*>(?:(?!<title|<body|<article|<main|</head).){0,2000}?</title\s*>", re.S | re.I)
+    r"|<title\b[^>]*>(?:(?!<title|<body|<article|<main|</head).)*?</title\s*>", re.S | re.I)
 #: Other elements whose content is never text of the page.
 _EMBEDDED = frozenset("noscript template svg math iframe object canvas video audio select".split())
 _EMBEDDED_START = re.compile(f"<(?:{'|'.join(sorted(_EMBEDDED))})\\b", re.I)
@@ -52,12 +52,16 @@ search section summary table tbody td tfoot th thead title tr ul""".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BOILERPLATE = frozenset("nav footer aside form menu dialog button search fieldset label".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
-_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice\w*|alert|"
-    r"nav|navbar|navigation|menu|topbar|toolbar|breadcrumbs?|pagination|pager|sidebar|side|rail|widgets?|"
-    r"footer|site-?header|page-?header|masthead|comments?|commentlist|disqus|replies|reply|respond|"
-    r"related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|popup|modal|overlay|"
-    r"skip-?link|copyright|tags|trending|teaser)(?:$|[\s_-])", re.I)
+#: Class and id names that stand for boilerplate: a whole name is one of the words, with or without
+#: words of place before it and of shape after it (``site-footer``, ``ad-slot``; not ``share-price``).
+_WORD = (r"ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|nav|navbar|navigation|menu|topbar|toolbar|"
+         r"breadcrumbs?|pagination|pager|sidebar|widgets?|footer|site-?header|page-?header|masthead|comments?|commentlist|disqus|replies|"
+         r"reply|respond|related|recommend\w*|share|sharing|social|newsletter|subscribe|signup|login|popup|modal|overlay|skip-?link|"
+         r"copyright|tags|trending|teaser")
+_PLACE = "site|page|main|top|bottom|left|right|global|primary|secondary|post|article|entry|blog|user|mobile|sticky"
+_SHAPE = ("area|articles|bar|block|box|buttons?|column|container|content|form|icons?|inner|items?|label|left|lines?|links?|lists?|media|message|"
+          "outer|panel|policy|posts?|right|row|section|slot|space|stories|thread|top|unit|warning|wrap|wrapper|zone")
+_NAMES = re.compile(rf"(?:(?:{_PLACE})[-_])*(?:{_WORD})(?:[-_](?:{_WORD}|{_SHAPE}|\d+))*", re.I)
 
 
 def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
@@ -70,7 +74,7 @@ def _boilerplate(name: str, attributes: str, in_article: bool) -> bool:
         if (key == "hidden" or key == "aria-hidden" and value == "true"
                 or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)
                 or key == "role" and value.lower() in _ROLES
-                or key in ("class", "id") and _NAMES.search(value)):
+                or key in ("class", "id") and any(map(_NAMES.fullmatch, value.split()))):
             return True
     return False
 
@@ -184,42 +188,46 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(page: str) -> str:
-    """The text of the marked article if that is the main text, else the text between
-    surge and dive points of the page's line-block distribution."""
+    """The text between surge and dive points of the page's line-block distribution.
+
+    Where the marked articles hold no less text than any run of lines outside them, they are
+    what is measured: their links count like other text, the page's other lines are empty, and
+    any text is a surge. Else all lines are measured without the text of their links."""
     lines = lines_of(page)
-    inside = [x for x in lines if x[2] and x[0]]
-    if inside:
-        outside = _islands([("", 0, False) if x[2] else x for x in lines])
-        if sum(x[1] for x in inside) >= max((sum(x[1] for x in i) for i, _ in outside), default=0):
-            return " ".join(x[0] for x in inside)
-    islands = _islands(lines)
-    surge = min(SURGE, max(1, max((top for _, top in islands), default=0) * SHARE))
-    return " ".join(x[0] for island, top in islands if top >= surge for x in island if x[0])
-
-
-def _islands(lines: list[tuple[str, int, bool]]) -> list[tuple[list[tuple[str, int, bool]], int]]:
-    """The runs of lines from text up to the dive point, each with its largest window."""
+    marked = sum(free for text, free, article in lines if article)
+    outside = runs([("", 0) if article else (text, free) for text, free, article in lines], 1)
+    if any(text and article for text, _, article in lines) and marked >= max((sum(n for _, n in run) for run in outside), default=0):
+        measured, surge = [(text, len(text)) if article else ("", 0) for text, _, article in lines], 1.0
+    else:
+        measured = [(text, free) for text, free, _ in lines]
+        surge = min(SURGE, max(1.0, SHARE * max(window_sums(_squeeze(measured)), default=0)))
+    return " ".join(text for run in runs(measured, surge) for text, _ in run if text)
+
+
+def window_sums(lines: list[tuple[str, int]]) -> list[int]:
+    """At each line the text lengths of the window that starts there."""
+    sizes = [n for _, n in lines]
+    return [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
+
+
+def runs(lines: list[tuple[str, int]], surge: float) -> list[list[tuple[str, int]]]:
+    """The lines from text up to the dive point (a window without any), of each run that has a surge point."""
     lines = _squeeze(lines)
-    n = len(lines)
-    size = [x[1] for x in lines]
-    sums = [sum(size[i:i + WINDOW]) for i in range(n)]
-    out = []
-    i = 0
-    while i < n:
-        if sums[i] == 0:
-            i += 1
-            continue
+    sums = window_sums(lines)
+    out, i = [], 0
+    while i < len(lines):
         stop = i
-        while stop < n and sums[stop] > 0:  # the dive point
+        while stop < len(lines) and sums[stop] > 0:
             stop += 1
-        out.append((lines[i:stop], max(sums[i:stop])))
-        i = stop
+        if stop > i and max(sums[i:stop]) >= surge:
+            out.append(lines[i:stop])
+        i = stop + 1
     return out
 
 
-def _squeeze(lines: list[tuple[str, int, bool]]) -> list[tuple[str, int, bool]]:
+def _squeeze(lines: list[tuple[str, int]]) -> list[tuple[str, int]]:
     """Runs of empty lines shrink by one: nested block tags give several for one break."""
-    out: list[tuple[str, int, bool]] = []
+    out: list[tuple[str, int]] = []
     empty = 0
     for x in lines:
         empty = 0 if x[0] else empty + 1

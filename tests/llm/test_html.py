@@ -1,3 +1,5 @@
+import random
+
 from paysight.llm import html_extract
 from tests.llm.conftest import SF
 
@@ -86,3 +88,42 @@ def test_small_article_beside_the_main_text_does_not_replace_it():
         out = html_extract.main_text(page)
         assert out.count("of the main text") == 20 and "Two words" not in out
     assert html_extract.main_text(f"<p>A line outside.</p><article>{text}</article>{card}").startswith("Paragraph 0")
+
+
+def test_names_of_classes_are_matched_whole():
+    words = " ".join(["plain words of a post"] * 30)
+    page = (f"<body><p>{words}</p><p class='share-price'>Price ten.</p><div class='note side'>An aside that belongs here.</div>"
+            f"<p id='menu-prices'>Soup five.</p><div class='ad-slot'>Buy now</div><div class='site-footer'>Imprint</div>"
+            f"<div class='left comment-list'>First!</div><p>{words}</p></body>")
+    assert html_extract.main_text(page) == f"{words} Price ten. An aside that belongs here. Soup five. {words}"
+
+
+def test_a_very_long_title_is_no_text():
+    page = f"<title>{'t' * 5000}</title><p>{'some words ' * 20}</p>"
+    assert html_extract.main_text(page) == ("some words " * 20).strip()
+
+
+def test_runs_equal_the_definition():
+    """Windows, surge and dive points by brute force, on the squeezed lines."""
+    rng = random.Random(5)
+    for _ in range(400):
+        lines = [(f"l{i}", n) if (n := rng.choice([0, 0, 0, 3, 40, 200])) or rng.random() < 0.3 else ("", 0) for i in range(rng.randint(0, 30))]
+        surge = rng.choice([1, 30, 80])
+        flat = html_extract._squeeze(lines)
+        window = [sum(n for _, n in flat[i:i + 3]) for i in range(len(flat))]
+        want, here = [], []
+        for x, total in zip([*flat, ("", 0)], [*window, 0], strict=True):
+            if total:
+                here.append((x, total))
+            elif here:
+                if any(t >= surge for _, t in here):
+                    want.append([y for y, _ in here])
+                here = []
+        assert html_extract.runs(lines, surge) == want
+
+
+def test_repeated_rows_and_other_columns(spark):
+    rows = [(1, "u", "<p>some words of a page</p>", "x", "y")] * 2 + [(None, None, None, "x", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, lines string")
+    out = df.select("*", html_extract.extract(df["html"]).alias("main")).collect()
+    assert sorted((r.main, r.text, r.lines) for r in out) == [("", "x", "y"), *[("some words of a page", "x", "y")] * 2]
