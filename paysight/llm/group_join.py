@@ -10,14 +10,16 @@ similarity reaches a threshold. Two sets that similar share a token among the fi
    candidates there are, never which links are found.
 2. Documents with equal sets collapse to one set; sets with identical prefix and size collapse
    to one group. Only a group's prefix is indexed, one posting for each token.
-3. Groups that share a prefix token are candidates. Pairs of groups are filtered by size and by
-   their number of common prefix tokens (with what can follow the last of them), the pairs
-   left are expanded to their members, and each pair of members is verified on its whole sets,
-   shingle by shingle.
+3. Groups that share a prefix token are candidates. Pairs of groups are filtered by size, by
+   their number of common prefix tokens (with what can follow the last of them) and, where each
+   has one member, by parity bitmaps: bit i of a set's bitmap is the parity of its tokens that
+   fall on i, so two bitmaps differ in no more bits than the sets in tokens. The pairs left
+   are expanded to their members, these are filtered by their bitmaps, and each pair of members
+   that is left is verified on its whole texts, shingle by shingle.
 
 Near copies share their prefixes with thousands of others, so links are contracted first:
 every member is verified against its group's first one, and each group against the ends, the
-most copied group and a few neighbours of its posting lists. The components found go into
+most copied group and a few neighbours of its first posting lists. The components found go into
 step 3, which then has to look at pairs of members of different components only; it looks at
 all of them, so no link between different components is lost.
 
@@ -39,6 +41,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -57,9 +60,14 @@ COUNTED_BELOW, HOT_DF, HOT_TOKENS = 2 ** 60, 32, 262_144
 #: Groups in one part of a posting list, and cut lists up to which their table is broadcast.
 LIST_ROWS, BROADCAST_LISTS = 2048, 100_000
 #: Positions of the prefix whose lists serve the contraction, and the neighbours looked at there.
-STAR_POSITIONS, NEIGHBOURS = 2, (1, 2, 4, 8)
+STAR_POSITIONS, NEIGHBOURS = 4, (1, 2, 4, 8, 16)
 #: Shingles that a task remembers while verifying.
 REMEMBERED = 200_000
+#: Bits of a set's parity bitmaps, and their number (each by other bits of the tokens), as 64-bit columns.
+BITS, MAPS = 512, 2
+WORDS = [f"b{i}" for i in range(MAPS * BITS // 64)]
+#: Buckets of text keys by which texts that are not asked for are left out before they are shuffled.
+KEY_BUCKETS = 2 ** 20
 
 
 # ----------------------------------------------------------------------------- sets
@@ -95,6 +103,13 @@ def prefix_of(toks: np.ndarray, hot: np.ndarray, place: np.ndarray, percent: int
     return np.concatenate([cold, late[np.argsort(place[at[is_hot]], kind="stable")][:p - len(cold)]])
 
 
+def parity(toks: np.ndarray) -> np.ndarray:
+    """The parity bitmaps of a set, one after another, as 64-bit integers."""
+    width = BITS.bit_length() - 1
+    odd = [(np.bincount((toks >> (width * i)) & (BITS - 1), minlength=BITS) & 1).astype(np.uint8) for i in range(MAPS)]
+    return np.packbits(np.concatenate(odd), bitorder="little").view("<i8")
+
+
 def hot_tokens(docs: DataFrame, text: Column, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens below ``COUNTED_BELOW`` (sorted), and each one's place by frequency."""
     @F.pandas_udf("array<bigint>")
@@ -118,18 +133,24 @@ def hot_tokens(docs: DataFrame, text: Column, k: int) -> tuple[np.ndarray, np.nd
 
 
 def document_sets(docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
-    """doc_id, key (of the text), n, sig (of the set) and prefix of every row."""
+    """doc_id, key (of the text), n, sig (of the set), prefix, its digest and the bitmap of every row."""
     hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(docs, text, k))
 
-    @F.pandas_udf("struct<n: bigint, sig: binary, prefix: array<bigint>>")
+    @F.pandas_udf("struct<n: bigint, sig: binary, prefix: array<bigint>, head: binary, bits: array<bigint>>")
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         often, place = hot.value
         for s in batches:
             rows = [tokens(shingles(bytes(b), k)) for b in s]
+            first = [prefix_of(t, often, place, percent) for t in rows]
             yield pd.DataFrame({"n": pd.Series(map(len, rows), dtype="int64"), "sig": pd.Series([xxhash.xxh3_128_digest(t.tobytes()) for t in rows], dtype=object),
-                                "prefix": pd.Series([prefix_of(t, often, place, percent) for t in rows], dtype=object)})
-    rows = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("key"), described(text.cast("binary")).alias("s"))
-    return materialize(rows.select("doc_id", "key", "s.*"), "document-sets")
+                                "prefix": pd.Series(first, dtype=object), "head": pd.Series([xxhash.xxh3_128_digest(t.tobytes()) for t in first], dtype=object),
+                                "bits": pd.Series([parity(t) for t in rows], dtype=object)})
+    rows = docs.select("doc_id", _key(text).alias("key"), described(text.cast("binary")).alias("s"))
+    return materialize(rows.select("doc_id", "key", "s.n", "s.sig", "s.prefix", "s.head", *[F.col("s.bits")[i].alias(w) for i, w in enumerate(WORDS)]), "document-sets")
+
+
+def _key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 # ----------------------------------------------------------------------------- verification
@@ -138,6 +159,37 @@ def similar(a: set, b: set, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def _needed(nx: Column, ny: Column, percent: int) -> Column:
+    """Least number of common tokens of similar sets of these sizes."""
+    return F.ceil((nx + ny) * percent / (100 + percent) - 1e-6)
+
+
+def _bitmaps_allow(x: str, y: str, percent: int) -> Column:
+    """Whether each of two rows' bitmaps differs in no more bits than similar sets may in tokens."""
+    nx, ny = F.col(f"{x}.n"), F.col(f"{y}.n")
+    most = nx + ny - 2 * _needed(nx, ny, percent)
+    words = [F.bit_count(F.col(f"{x}.{w}").bitwiseXOR(F.col(f"{y}.{w}"))) for w in WORDS]
+    per = BITS // 64
+    return reduce(lambda a, b: a & b, [reduce(lambda a, b: a + b, words[i:i + per]) <= most for i in range(0, len(words), per)])
+
+
+def bitmap_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of set ids that their sizes and bitmaps allow."""
+    rows = sets.select("sid", "n", *WORDS)
+    met = pairs.alias("p").join(rows.alias("x"), F.col("p.a") == F.col("x.sid")).join(rows.alias("y"), F.col("p.b") == F.col("y.sid"))
+    return met.where(_compatible(F.col("x.n"), F.col("y.n"), percent) & _bitmaps_allow("x", "y", percent)).select("p.a", "p.b")
+
+
+def texts_of(pairs: DataFrame, sets: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """(sid, body) of the sets in the pairs. Only texts in the same bucket as one of them are shuffled;
+    the buckets, at most ``KEY_BUCKETS`` numbers, are broadcast."""
+    asked = materialize(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "key"), "sid"), "asked-texts")
+    bucket = F.pmod(F.xxhash64("key"), F.lit(KEY_BUCKETS))
+    bodies = docs.select(_key(text).alias("key"), text.cast("binary").alias("body")).withColumn("bucket", bucket)
+    bodies = bodies.join(F.broadcast(asked.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
+    return materialize(asked.join(bodies.groupBy("key").agg(F.any_value("body").alias("body")), "key").select("sid", "body"), "candidate-texts")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids whose sets are similar."""
     @F.pandas_udf("boolean")
@@ -186,45 +238,49 @@ def _stars(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def _group_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(ga, ca, gb, cb): groups and components whose members may still link, from postings (token, pos, n, gid, c)."""
+    """(ga, ca, gb, cb): groups and components whose members may still link, from postings
+    (token, pos, n, gid, c, single, bitmap): ``single`` where one member stands for all."""
     lists = (postings.groupBy("token").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
              .where("lo < hi").select("token", "m"))
     met = materialize(_in_parts(lists, postings), "mixed-postings")
     x = met.alias("x")
     y = met.where("parts = 1").unionByName(met.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))).alias("y")
+    # of the smaller set a shorter prefix is enough, as both have at least its share of common tokens
+    short = {s: F.col(f"{s}.pos") <= F.col(f"{s}.n") - F.ceil(F.col(f"{s}.n") * (2 * percent) / (100 + percent) - 1e-6) for s in "xy"}
+    indexed = F.when(F.struct("x.n", "x.gid") < F.struct("y.n", "y.gid"), short["x"]).otherwise(short["y"])
+    # common tokens: at most those before this one in either prefix, and what is left from it on in the shorter rest
+    reach = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     both = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") < F.col("y.c"))
-                  & _compatible(F.col("x.n"), F.col("y.n"), percent))
+                  & _compatible(F.col("x.n"), F.col("y.n"), percent)
+                  & indexed & (reach >= _needed(F.col("x.n"), F.col("y.n"), percent)) & (~(F.col("x.single") & F.col("y.single")) | _bitmaps_allow("x", "y", percent)))
     common = (both.groupBy(F.col("x.gid").alias("ga"), F.col("x.c").alias("ca"), F.col("y.gid").alias("gb"), F.col("y.c").alias("cb"))
               .agg(F.count("*").alias("same"), F.max("x.pos").alias("pa"), F.max("y.pos").alias("pb"), F.first("x.n").alias("na"), F.first("y.n").alias("nb")))
-    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent) - 1e-6)
-    return common.where(F.col("same") + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb")) >= needed).select("ga", "ca", "gb", "cb")
+    most = F.col("same") + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
+    return common.where(most >= _needed(F.col("na"), F.col("nb"), percent)).select("ga", "ca", "gb", "cb")
 
 
 def set_components(rows: DataFrame, docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
     """sig, n and component_id of every different set of ``rows`` (from ``document_sets``)."""
-    sets = materialize(rows.where("n > 0").groupBy("n", "sig").agg(F.any_value("prefix").alias("prefix"), F.min("key").alias("key"), F.count("*").alias("copies"),
-                                                             F.min("doc_id").alias("least_doc")).withColumn("sid", F.monotonically_increasing_id()), "different-sets")
-    groups = materialize(sets.groupBy("n", "prefix").agg(F.min("sid").alias("gid"), F.count("*").alias("members"), F.sum("copies").alias("copies")), "prefix-groups")
+    sets = materialize(rows.where("n > 0").groupBy("n", "sig").agg(*[F.any_value(c).alias(c) for c in ("prefix", "head", *WORDS)], F.min("key").alias("key"),
+                                                             F.count("*").alias("copies"), F.min("doc_id").alias("least_doc"))
+                       .withColumn("sid", F.monotonically_increasing_id()), "different-sets")
+    groups = materialize(sets.groupBy("n", "head").agg(F.any_value("prefix").alias("prefix"), F.min("sid").alias("gid"), F.sum("copies").alias("copies")), "prefix-groups")
     postings = groups.select("gid", "n", "copies", F.posexplode("prefix").alias("pos", "token"))
     shared = materialize(postings.join(postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "token"), "shared-postings")
-    # sets that can have a partner: of a group that shares a token, or of several members
-    alone = groups.where("members = 1").join(shared.select("gid").distinct(), "gid", "left_anti").select("gid")
-    member = materialize(sets.select("sid", "n", "prefix", "key").join(groups.select("n", "prefix", "gid"), ["n", "prefix"])
-                         .select("sid", "gid", "n", "key").join(alone, "gid", "left_anti"), "members")
-    bodies = docs.select(F.unhex(F.md5(text.cast("binary"))).alias("key"), text.cast("binary").alias("body")).groupBy("key").agg(F.any_value("body").alias("body"))
-    texts = materialize(member.select("sid", "key").join(bodies, "key").select("sid", "body"), "candidate-texts")
+    member = materialize(sets.select("sid", "n", "head", *WORDS).join(groups.select("n", "head", "gid"), ["n", "head"]).drop("head"), "members")
 
+    def links_of(pairs: DataFrame, name: str) -> DataFrame:
+        left = materialize(bitmap_filter(pairs, member, percent), name)
+        return verified(left, texts_of(left, sets, docs, text), k, percent)
     inside = member.where("sid <> gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
-    first = components(verified(materialize(_stars(shared, percent).unionByName(inside), "star-pairs"), texts, k, percent))
-    joined = materialize(member.select("sid", "gid", "n").join(first, F.col("sid") == F.col("node"), "left")
-                         .select("sid", "gid", "n", F.coalesce("root", "sid").alias("c")), "first-components")
-    units = joined.select("gid", "c").distinct()
+    first = components(links_of(_stars(shared, percent).unionByName(inside), "star-pairs"))
+    joined = materialize(member.join(first, F.col("sid") == F.col("node"), "left").withColumn("c", F.coalesce("root", "sid")).drop("node", "root"), "first-components")
+    units = joined.groupBy("gid", "c").agg((F.count("*") == 1).alias("single"), *[F.min(w).alias(w) for w in WORDS])
     near = _group_pairs(shared.select("token", "pos", "n", "gid").join(units, "gid"), percent)
     x, y = (joined.select(F.col("sid").alias(s), F.col("gid").alias(f"g{s}"), F.col("c").alias(f"c{s}")) for s in "ab")
     mixed = units.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gid")
     own = joined.join(mixed, "gid").alias("x").join(joined.alias("y"), "gid").where("x.c < y.c").select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-    left = near.join(x, ["ga", "ca"]).join(y, ["gb", "cb"]).select("a", "b").unionByName(own)
-    links = verified(materialize(left, "member-pairs"), texts, k, percent)
+    links = links_of(near.join(x, ["ga", "ca"]).join(y, ["gb", "cb"]).select("a", "b").unionByName(own), "member-pairs")
     linked = joined.select("sid", "c").join(links.withColumnRenamed("a", "sid"), "sid").select(F.col("c").alias("ca"), F.col("b").alias("sid"))
     linked = linked.join(joined.select("sid", "c"), "sid").select(F.col("ca").alias("a"), F.col("c").alias("b"))
     second = components(linked).withColumnsRenamed({"node": "c", "root": "top"})
