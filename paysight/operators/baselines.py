@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paysight.operators.quantiles import exact_percentiles
+from paysight.operators.quantiles import percentiles, value_counts
 
 
 def fit_group_mean(train: DataFrame, key: str | None, y: str) -> tuple[DataFrame | None, Column]:
@@ -31,8 +31,9 @@ def fit_group_quantiles(train: DataFrame, key: str, y: str, lo_q: float, hi_q: f
                         ) -> tuple[DataFrame, Column]:
     """Per-key (lo, hi) quantiles of ``y`` and the global pair for unseen keys."""
     pair = F.struct(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"))
-    g = exact_percentiles(train, y, [lo_q, hi_q]).select(pair).scalar()
-    t = exact_percentiles(train, y, [lo_q, hi_q], [key]).select(
+    counts = value_counts(train, y, [key])
+    g = percentiles(counts, [lo_q, hi_q]).select(pair).scalar()
+    t = percentiles(counts, [lo_q, hi_q], [key]).select(
         key, F.col("q")[0].alias("_q_lo"), F.col("q")[1].alias("_q_hi"))
     return t, g
 

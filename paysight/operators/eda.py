@@ -1,7 +1,7 @@
 """Exploratory statistics (A1-A13) as Spark aggregates.
 
-Exact percentiles (linear interpolation) come from ``quantiles``, which orders only the
-bins that hold a wanted rank; each function takes ``accuracy`` to switch to
+Exact percentiles (linear interpolation) come from ``quantiles``: the source is counted by
+value once, and all that a function needs is read from that table; each function takes ``accuracy`` to switch to
 ``percentile_approx`` (one pass, mergeable sketch). Every other statistic is a
 single aggregate job with map-side partial aggregation; nothing is collected
 except one-row statistics (bin edges, thresholds).
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paysight.config import HIST_BINS, TOP_CATEGORIES
-from paysight.operators.quantiles import exact_percentiles, with_percentiles
+from paysight.operators.quantiles import group_sizes, join_groups, percentiles, value_counts, with_percentiles
 
 # KDE grid of the plotting library's histogram (points, cut in bandwidths).
 KDE_GRID_POINTS = 200
@@ -25,27 +25,27 @@ KDE_CUT = 0.0
 def grouped_percentiles(df: DataFrame, by: str, value: str, ps: list[float],
                         accuracy: int | None = None) -> DataFrame:
     """One row for each group: ``by``, ``n`` (rows) and ``q`` (the percentiles)."""
-    g = df.groupBy(by)
     if accuracy:
-        return g.agg(F.count("*").alias("n"), F.percentile_approx(value, ps, accuracy).alias("q"))
-    return with_percentiles(g.agg(F.count("*").alias("n")), df, value, ps, [by])
-
-
-def all_percentiles(df: DataFrame, value: str | Column, ps: list[float], accuracy: int | None = None) -> Column:
-    """The percentiles of all rows as an array-valued scalar subquery."""
-    if accuracy:
-        return df.agg(F.percentile_approx(value, ps, accuracy)).scalar()
-    return exact_percentiles(df, value, ps).select("q").scalar()
+        return df.groupBy(by).agg(F.count("*").alias("n"), F.percentile_approx(value, ps, accuracy).alias("q"))
+    return with_percentiles(df, value, ps, [by])
 
 
 def describe(df: DataFrame, target: str, accuracy: int | None = None,
              decimals: int = 0) -> DataFrame:
     """A1: count, mean, sample std, min, 5/25/50/75/95 %, max (rounded)."""
     ps = [0.05, 0.25, 0.5, 0.75, 0.95]
-    g = df.agg(F.count(target).alias("count"), F.avg(target).alias("mean"),
-               F.stddev_samp(target).alias("std"), F.min(target).alias("min"),
-               F.max(target).alias("max"))
-    g = g.withColumn("_p", all_percentiles(df, target, ps, accuracy))
+    if accuracy:
+        g = df.agg(F.count(target).alias("count"), F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"), F.min(target).alias("min"),
+                   F.max(target).alias("max"), F.percentile_approx(target, ps, accuracy).alias("_p"))
+    else:
+        counts = value_counts(df, target)
+        held = counts.where(F.col("_v").isNotNull())
+        c, v = F.col("_c"), F.col("_v")
+        mean = held.agg(F.sum(v * c) / F.sum(c)).scalar()
+        one = held.agg(F.coalesce(F.sum(c), F.lit(0)).alias("count"), (F.sum(v * c) / F.sum(c)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max"),
+                       F.sum(c * F.pow(v - mean, F.lit(2.0))).alias("_ss"))
+        one = one.withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1))))
+        g = one.withColumn("_k", F.lit(0)).join(percentiles(counts, ps).select(F.lit(0).alias("_k"), F.col("q").alias("_p")), "_k")  # one row and one row
     names = ["p5", "p25", "p50", "p75", "p95"]
     return g.select(
         F.col("count").cast("long").alias("count"),
@@ -178,30 +178,35 @@ def box_stats(df: DataFrame, category: str, target: str, top: int = TOP_CATEGORI
 
     The quartile table has at most ``top`` rows, so broadcasting it is bounded.
     """
-    tops = top_categories(df, category, target, top, accuracy).select("category")
-    rows = df.select(F.col(category).alias("category"), F.col(target).alias("y"))
-    rows = rows.join(F.broadcast(tops), "category", "left_semi")  # C7
-    q = grouped_percentiles(rows, "category", "y", [0.25, 0.5, 0.75], accuracy)
-    q = q.select("category", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-                 F.col("q")[2].alias("q3"))
+    by = ["category"]
+    rows = df.filter(F.col(category).isNotNull()).select(F.col(category).alias("category"), F.col(target).alias("y"))
+    counts = value_counts(rows, "y", by)
+    ps = [0.25, 0.5, 0.75]
+    q = rows.groupBy("category").agg(F.percentile_approx("y", ps, accuracy).alias("q")) if accuracy else percentiles(counts, ps, by)
+    q = q.select("category", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+    q = q.orderBy(F.desc("median"), "category").limit(top)  # C7
     lim = q.select("*", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
                    (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    j = rows.join(F.broadcast(lim), "category")
-    inside = F.col("y").between(F.col("lo_fence"), F.col("hi_fence"))
+    j = counts.join(F.broadcast(lim), "category")
+    inside = F.col("_v").between(F.col("lo_fence"), F.col("hi_fence"))
     return j.groupBy("category", "q1", "median", "q3").agg(
-        F.min(F.when(inside, F.col("y"))).alias("whisker_lo"),
-        F.max(F.when(inside, F.col("y"))).alias("whisker_hi"),
-        F.count("*").alias("n"))
+        F.min(F.when(inside, F.col("_v"))).alias("whisker_lo"),
+        F.max(F.when(inside, F.col("_v"))).alias("whisker_hi"),
+        F.sum("_c").alias("n"))
 
 
 def group_median_gap(df: DataFrame, flag: str, target: str, yes="True", no="False",
                      accuracy: int | None = None) -> DataFrame:
     """A10: median(target | flag=yes) - median(target | flag=no), only when the flag
     has exactly two groups; otherwise NULL."""
-    s = F.col(flag).cast("string")
-    g = df.agg(F.count_distinct(s).alias("n_groups")).withColumns({
-        "median_yes": all_percentiles(df.filter(s == yes), target, [0.5], accuracy)[0],
-        "median_no": all_percentiles(df.filter(s == no), target, [0.5], accuracy)[0]})
+    rows = df.select(F.col(flag).cast("string").alias("flag"), F.col(target).alias("y"))
+    if accuracy:
+        g = rows.groupBy("flag").agg(F.percentile_approx("y", [0.5], accuracy).alias("q"))
+    else:
+        counts = value_counts(rows, "y", ["flag"])
+        g = join_groups(group_sizes(counts, ["flag"]), percentiles(counts, [0.5], ["flag"]), ["flag"])
+    g = g.agg(F.count("flag").alias("n_groups"), *[F.max(F.when(F.col("flag") == x, F.col("q")[0])).alias(name)
+                                                   for x, name in ((yes, "median_yes"), (no, "median_no"))])
     return g.select("n_groups", "median_yes", "median_no",
                     F.when(F.col("n_groups") == 2, F.col("median_yes") - F.col("median_no"))
                     .alias("median_gap"))
