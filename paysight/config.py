@@ -109,12 +109,15 @@ class ModelConfig:
     small_gbt_rounds: int = 150
     xgb_rounds: int = 600
     lgbm_rounds: int = 800
+    cat_rounds: int = 600
     # Candidates of the searches, trees of the forest in the stack and the cross-validation.
-    lgbm_trials: int = 20
+    lgbm_trials: int = 40
     xgb_trials: int = 25
     stack_trees: int = 400
     #: Depth of forest trees. The driver holds a fitted tree, so without a bound its size
     #: would grow with the rows.
     forest_depth: int = 12
+    #: Share of the drawn rounds that the searches' candidates get.
+    round_share: float = 1.0
     #: Rounds without a lower validation loss after which M10 stops.
     patience: int = 60

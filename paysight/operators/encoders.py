@@ -7,6 +7,8 @@ of those (small, per-category) statistics back to the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Estimator
 from pyspark.ml.feature import (IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer,
                                 OneHotEncoder,
@@ -41,7 +43,11 @@ def standardize(train: DataFrame, df: DataFrame, columns: list[str]) -> DataFram
 def frequent_categories(train: DataFrame, col: str,
                         min_frequency: int = OHE_MIN_FREQUENCY) -> DataFrame:
     """T2 fit: categories seen on train with their slot; rare ones share one slot."""
-    counts = train.groupBy(F.col(col).alias("category")).agg(F.count("*").alias("n"))
+    return slots_of_counts(train.groupBy(F.col(col).alias("category")).agg(F.count("*").alias("n")), min_frequency)
+
+
+def slots_of_counts(counts: DataFrame, min_frequency: int) -> DataFrame:
+    """The slot of each (category, n)."""
     return counts.select("category", F.when(F.col("n") >= min_frequency, F.col("category"))
                          .otherwise(F.lit(INFREQUENT)).alias("slot"))
 
@@ -85,10 +91,13 @@ def target_encode_crossfit(train: DataFrame, col: str, y: str, fold: str,
     """
     g = train.groupBy(col, fold).agg(F.count("*").alias("n"), F.sum(y).alias("s"),
                                       F.sum(F.col(y) * F.col(y)).alias("q"))
+    return crossfit_of_sums(g, col, fold, fold_statistics(train, y, fold) if gstats is None else gstats)
+
+
+def crossfit_of_sums(g: DataFrame, col: str, fold: str, gstats: DataFrame) -> DataFrame:
+    """The same from (category, fold, n, s, q) and the global statistics of the other folds."""
     cat_tot = g.groupBy(col).agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"),
                                  F.sum("q").alias("tq"))
-    if gstats is None:
-        gstats = fold_statistics(train, y, fold)
     # category statistics of the other folds, one row per (category, fold)
     oof = (g.join(cat_tot, col)
            .select(col, fold, (F.col("tn") - F.col("n")).alias("on"),
@@ -127,9 +136,12 @@ def fit_target_encoding(train: DataFrame, col: str, y: str) -> tuple[DataFrame,
     st = train.agg(F.struct(F.avg(y).alias("m"), F.var_pop(y).alias("v"))).scalar()
     g = train.groupBy(col).agg(F.count("*").alias("n"), F.sum(y).alias("s"),
                                F.sum(F.col(y) * F.col(y)).alias("q"))
-    enc = g.select(col, _eb_encoding(F.col("n"), F.col("s"), F.col("q"), st["m"], st["v"])
-                   .alias("enc"))
-    return enc, st["m"]
+    return encodings_of_sums(g, col, st["m"], st["v"]), st["m"]
+
+
+def encodings_of_sums(g: DataFrame, col: str, mean: Column, var: Column) -> DataFrame:
+    """The encoding of each (category, n, s, q)."""
+    return g.select(col, _eb_encoding(F.col("n"), F.col("s"), F.col("q"), mean, var).alias("enc"))
 
 
 def apply_target_encoding(df: DataFrame, enc: DataFrame, default: Column, col: str,
@@ -206,6 +218,10 @@ def word_terms(df: DataFrame, id_col: str, text: str, stop_words: list[str],
 
 
 # ----------------------------------------------------------------------------- ML stages
+def smooth_idf(n_docs: int, df: int) -> float:
+    return math.log((1 + n_docs) / (1 + df)) + 1.0
+
+
 class SmoothIdf(Estimator):
     """Smooth idf ln((1+n)/(1+df)) + 1. Spark's IDF gives ln((n+1)/(df+1)); the fitted
     vector plus one becomes an ``ElementwiseProduct`` scaling (sparsity kept)."""

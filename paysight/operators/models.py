@@ -17,10 +17,9 @@ import sys
 import time
 from dataclasses import dataclass, field
 
-from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from paysight.config import (COLS, NUMERIC_FEATURES, OHE_FEATURES, SEED, SKILLS_
                              TARGET_ENC_FEATURES, TITLE_TEXT, ModelConfig)
 from paysight.functions.stopwords import ENGLISH_STOP_WORDS
 from paysight.operators import encoders as T
+from paysight.operators.boosting import Boosting, BoostRun, boost
 from paysight.operators.evaluate import regression_metrics
 from paysight.operators.split import hash_folds, ordered_folds
 from paysight.session import materialize
@@ -158,10 +158,9 @@ def elastic_net_params(alpha: float, l1_ratio: float, label_std: float) -> dict:
     return {"regParam": reg, "elasticNetParam": (alpha * l1_ratio / reg) if reg else 0.0}
 
 
-def boosted(mc: ModelConfig, rounds: int, **params) -> GBTRegressor:
+def boosted(mc: ModelConfig, rounds: int, **params) -> Boosting:
     """Boosted trees of ``rounds`` rounds on all rows."""
-    return GBTRegressor(featuresCol="features", labelCol=LABEL, maxIter=rounds, seed=mc.seed, cacheNodeIds=True,
-                        **params)
+    return Boosting(rounds=rounds, seed=mc.seed, label=LABEL, **params)
 
 
 def forest(mc: ModelConfig, trees: int, **params) -> RandomForestRegressor:
@@ -193,38 +192,12 @@ def model_zoo(train: DataFrame, mc: ModelConfig) -> dict:
         "ElasticNet": LinearRegression(**lin, **elastic_net_params(0.001, 0.5, sd)),
         "RandomForest": forest(mc, mc.forest_trees, minInstancesPerNode=2),
         "ExtraTrees": forest(mc, mc.forest_trees, bootstrap=False),
-        "GradientBoosting": boosted(mc, mc.small_gbt_rounds, maxDepth=3, subsamplingRate=0.7,
-                                    featureSubsetStrategy="0.1"),
-        "XGBoost": boosted(mc, mc.xgb_rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
-                           featureSubsetStrategy="0.8"),
-        "LightGBM": boosted(mc, mc.lgbm_rounds, stepSize=0.05, maxDepth=6, subsamplingRate=0.8,
-                            featureSubsetStrategy="0.8"),
+        "GradientBoosting": boosted(mc, mc.small_gbt_rounds, rate=0.1, depth=3, row_share=0.7, feature_share=0.1),
+        "XGBoost": boosted(mc, mc.xgb_rounds, rate=0.05, depth=6, row_share=0.8, feature_share=0.8),
+        "LightGBM": boosted(mc, mc.lgbm_rounds, rate=0.05, depth=6, row_share=0.8, feature_share=0.8),
     }
 
 
-def best_round(losses: list[float], patience: int) -> int:
-    """Rounds up to the least loss, searched until ``patience`` rounds do not lower it."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def first_rounds(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
-    """The boosted model of its first ``n`` rounds."""
-    java, sc = model._java_obj, SparkContext._active_spark_context
-    trees = sc._gateway.new_array(sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n)
-    weights = sc._gateway.new_array(sc._jvm.double, n)
-    for i in range(n):
-        trees[i], weights[i] = java.trees()[i], float(model.treeWeights[i])
-    return GBTRegressionModel._from_java(java.copyValues(
-        sc._jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), trees, weights, model.numFeatures),
-        sc._jvm.org.apache.spark.ml.param.ParamMap.empty()))
-
-
 def score_usd(model, df: DataFrame, out: str = "prediction_usd") -> DataFrame:
     """Predict log1p(salary) and map back to USD."""
     return model.transform(df).withColumn(out, F.expm1("prediction")).drop("prediction")
@@ -265,24 +238,24 @@ def train_all(data: PreparedData, mc: ModelConfig,
     return res.orderBy("RMSE", "model"), fitted
 
 
-def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, rounds: int | None = None):
-    """M10 re-aimed: all rounds on the training rows, of which those up to the least
-    validation loss are kept; the search ends ``mc.patience`` rounds after it."""
-    model = boosted(mc, rounds or mc.xgb_rounds, stepSize=0.06, maxDepth=6).fit(data.train)
-    return first_rounds(model, best_round(model.evaluateEachIteration(data.val, "squared"), mc.patience))
+def fit_with_early_stopping(data: PreparedData, mc: ModelConfig, rounds: int | None = None, path: str | None = None) -> BoostRun:
+    """M10 re-aimed: training ends ``mc.patience`` rounds after the least validation loss, and
+    the model keeps the rounds up to it. A run with the same ``path`` goes on where it stopped."""
+    return boost(data.train, boosted(mc, rounds or mc.cat_rounds, rate=0.06, depth=6), data.val, mc.patience, path)
 
 
 # ----------------------------------------------------------------------------- stacking
 def out_of_fold(train: DataFrame, bases: dict, mc: ModelConfig, n_folds: int = 5,
                 parallelism: int = 1) -> list[DataFrame]:
     """For each unshuffled fold of raw training rows: id, target and one prediction column
-    per base learner, everything fitted on the other folds."""
+    per base learner, everything fitted on the other folds (encoders and preprocessing of all
+    folds from one aggregate, ``FoldStatistics``)."""
     from concurrent.futures import ThreadPoolExecutor
-    folded = materialize(ordered_folds(train, COLS.id, n_folds, "_fold"), "stack-folds")
+    from paysight.operators.fold_statistics import FoldStatistics
+    sums = FoldStatistics.of(ordered_folds(train, COLS.id, n_folds, "_fold"), "_fold", mc)
 
     def one(k: int) -> DataFrame:
-        part = folded.withColumn("split", F.when(F.col("_fold") == k, "val").otherwise("train")).drop("_fold")
-        d = prepare(part, mc)
+        d = sums.prepare(k)
         preds = d.val
         for name, est in bases.items():
             preds = score_usd(est.fit(d.train), preds, f"p_{name}")
@@ -298,7 +271,7 @@ def stack(split_frame: DataFrame, data: PreparedData, bases: dict, mc: ModelConf
     """Out-of-fold base predictions in USD (unshuffled folds of the training rows of
     ``split_frame``), Ridge meta learner on them, bases refitted on all training rows.
 
-    For each fold encoders and preprocessing are fitted on the other folds, so that no
+    For each fold encoders and preprocessing come from the other folds, so that no
     label of a held-out row reaches its own prediction. Returns (meta model, refitted
     bases); score with ``stack_predict``."""
     from concurrent.futures import ThreadPoolExecutor
@@ -327,12 +300,10 @@ def stack_predict(meta, refit: dict, df: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- deploy
-def deploy_compact(data: PreparedData, params: dict, mc: ModelConfig,
-                   reference: DataFrame | None = None) -> tuple:
+def deploy_compact(data: PreparedData, learner: Boosting, reference: DataFrame | None = None) -> tuple:
     """Refit one boosted model with tuned params; metrics rows tagged by role,
     keeping the ensemble's metrics (``reference``) alongside."""
-    p = dict(params)
-    m = boosted(mc, p.pop("maxIter", mc.lgbm_rounds), **p).fit(data.train)
+    m = learner.fit(data.train)
     frames = []
     for split, df in [("val", data.val), ("test", data.test)]:
         met = regression_metrics(score_usd(m, df), COLS.target, "prediction_usd")
@@ -347,23 +318,24 @@ def deploy_compact(data: PreparedData, params: dict, mc: ModelConfig,
 
 # ----------------------------------------------------------------------------- CV
 def cross_validate(frame: DataFrame, estimators: dict, mc: ModelConfig, n_folds: int = 5,
-                   id_col: str = COLS.id) -> DataFrame:
+                   id_col: str = COLS.id, parallelism: int = 1) -> DataFrame:
     """V4 for learners: shuffled k folds over all prepared rows; per fold the encoders
-    and the preprocessing are refitted on the other folds (no leakage), each
-    learner is fitted and scored on the held-out fold (V1 by fold).
+    and the preprocessing come from the other folds (no leakage; one aggregate for all folds,
+    ``FoldStatistics``), each learner is fitted and scored on the held-out fold (V1 by fold).
 
     Returns per-fold metrics (model, fold, n, MAE, RMSE, R2, MAPE); summarise with
     ``evaluate.cv_summary``."""
+    from concurrent.futures import ThreadPoolExecutor
     from functools import reduce
-    folded = hash_folds(frame, id_col, n_folds, mc.seed + 2, "_cv_fold")
-    out = []
-    for k in range(n_folds):
-        part = folded.withColumn("split", F.when(F.col("_cv_fold") == k, F.lit("val"))
-                                 .otherwise(F.lit("train"))).drop("_cv_fold")
-        data = prepare(part, mc, id_col)
+
+    from paysight.operators.fold_statistics import FoldStatistics
+    sums = FoldStatistics.of(hash_folds(frame.drop("split"), id_col, n_folds, mc.seed + 2, "_cv_fold"), "_cv_fold", mc, id_col)
+
+    def one(k: int) -> list[DataFrame]:
+        data, out = sums.prepare(k, id_col), []
         for name, est in estimators.items():
-            m = est.fit(data.train)
-            met = regression_metrics(score_usd(m, data.val), COLS.target, "prediction_usd")
-            out.append(materialize(met.select(F.lit(name).alias("model"),
-                                              F.lit(k).alias("fold"), "*"), "cv-fold"))
-    return reduce(DataFrame.unionByName, out)
+            met = regression_metrics(score_usd(est.fit(data.train), data.val), COLS.target, "prediction_usd")
+            out.append(materialize(met.select(F.lit(name).alias("model"), F.lit(k).alias("fold"), "*"), "cv-fold"))
+        return out
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+        return reduce(DataFrame.unionByName, [m for part in ex.map(one, range(n_folds)) for m in part])

@@ -1,8 +1,10 @@
 """Model-side queries (rows / invariant checks, and one closed-form SQL check).
 
-Learners have the sizes of ``ModelConfig`` and run all of their rounds; only M10 keeps
-the best ones. Prepared feature frames are written once per
-(session, data folder) to the shared folder and reused by every query here.
+Encoders and vocabularies have the library's sizes and every learner sees all training rows.
+Numbers of trees and rounds are ``CONFIG``'s, chosen for these tables (README); the library's
+defaults are the original ones. Prepared feature frames are written once per (session, data
+folder) and reused by every query here, and so is the run registry: training, searches, stack
+and deployment are steps of one record, and a query that needs a step finds it there.
 """
 
 from __future__ import annotations
@@ -16,15 +18,17 @@ from paysight.operators import explain as XP
 from paysight.operators import intervals as IV
 from paysight.operators import models as M
 from paysight.operators import tuning as TU
+from paysight.operators.registry import METRICS, Registry, params_of
 from paysight.operators.scorer import Scorer
 from paysight.operators.evaluate import interval_metrics, regression_metrics
 from paysight.operators.split import hash_sample
 from paysight.plans.shared import split_frame
-from paysight.session import scratch_path
+from paysight.session import materialize, scratch_path
 from paysight.sources.requests import requests
 
-#: Sizes of encoders and vocabularies: the library defaults.
-CONFIG = ModelConfig()
+#: The library's sizes, but for trees and rounds: so many that the validation loss of the driver's tables
+#: has passed its least value (boosting), or hardly falls any more (forests).
+CONFIG = ModelConfig(forest_trees=40, stack_trees=40, small_gbt_rounds=60, xgb_rounds=60, lgbm_rounds=60, round_share=0.05, forest_depth=10, patience=20)
 #: The date that stands for "now" in the registered queries, so that reruns agree.
 POSTED_AT = "2024-01-15 00:00:00"
 #: Candidates of a search that are fitted at once.
@@ -75,47 +79,130 @@ def q_m1_m4_linear_zoo(spark, sf):
 
 
 def q_m5_m9_tree_zoo(spark, sf):
-    res, _ = M.train_all(_data(spark, sf), CONFIG,
-                         only=["RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost",
-                               "LightGBM"], parallelism=3)
+    res, _ = M.train_all(_data(spark, sf), CONFIG, parallelism=PARALLEL, only=["RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost", "LightGBM"])
     return res.drop("seconds")
 
 
 def q_m10_early_stopping(spark, sf):
     data = _data(spark, sf)
-    return _val_test(M.fit_with_early_stopping(data, CONFIG), data, "EarlyStoppingGBT")
+    run = M.fit_with_early_stopping(data, CONFIG)
+    return _val_test(run.model, data, "EarlyStoppingGBT").withColumns({"rounds": F.lit(run.rounds), "best_round": F.lit(run.best)})
+
+
+# ---------------------------------------------------------------- the run registry: M11-M16
+def _registry(spark, sf) -> Registry:
+    key = ("registry", spark.sparkContext.applicationId, sf)
+    if key not in _CACHE:
+        _CACHE[key] = Registry(spark, scratch_path(spark, "registry"))
+    return _CACHE[key]
+
+
+def _scores(score, data) -> dict:
+    """Metrics of a scoring function on both held-out splits."""
+    return {split: regression_metrics(score(df), COLS.target, "prediction_usd").first() for split, df in (("val", data.val), ("test", data.test))}
+
+
+def _lightgbm():
+    return M.boosted(CONFIG, CONFIG.lgbm_rounds, rate=0.05, depth=6, row_share=0.8, feature_share=0.8)
+
+
+def _train_step(spark, sf):
+    """The learner that scores, trained, tested and saved (the original serves LightGBM)."""
+    def run(folder):
+        data = _data(spark, sf)
+        model = M.boost(data.train, _lightgbm(), path=f"{folder}/run").model
+        model.write().overwrite().save(f"{folder}/model")
+        return "LightGBM", _scores(lambda df: M.score_usd(model, df), data), {}
+    return _registry(spark, sf).step("train", {"rounds": CONFIG.lgbm_rounds, "rate": 0.05, "depth": 6}, run)
+
+
+SEARCHES = {"lightgbm": (TU.LGBM_SPACE, "lgbm_trials", 42), "xgboost": (TU.XGB_SPACE, "xgb_trials", 43)}
+
+
+def _tune_step(spark, sf, which: str):
+    """A search; its record holds the winner's parameters, its folder all scores."""
+    space, trials, seed = SEARCHES[which]
+
+    def run(folder):
+        data = _data(spark, sf)
+        best, model, table = TU.race(data, space, getattr(CONFIG, trials), PARALLEL, seed, CONFIG, f"{folder}/race")
+        table.write.mode("overwrite").parquet(f"{folder}/trials")
+        model.write().overwrite().save(f"{folder}/model")
+        return which, _scores(lambda df: M.score_usd(model, df), data), {"best": best}
+    return _registry(spark, sf).step(f"tune-{which}", {"trials": getattr(CONFIG, trials), "seed": seed, "share": CONFIG.round_share}, run, _train_step(spark, sf).key)
+
+
+def _tuned(spark, sf, which: str):
+    """The learner that a search has found."""
+    best = params_of(_tune_step(spark, sf, which))["best"]
+    return TU.learner(best, CONFIG, _data(spark, sf).train.count())
+
+
+def _trials(spark, sf, which: str) -> DataFrame:
+    table = spark.read.parquet(f"{_tune_step(spark, sf, which).path}/trials")
+    return table.withColumn("params", F.to_json("params")).orderBy(F.desc("rung"), "RMSE", "trial")
 
 
 def q_m12_tune_lightgbm(spark, sf):
-    _, table = TU.random_search(_data(spark, sf), TU.LGBM_SPACE, n_trials=CONFIG.lgbm_trials, parallelism=PARALLEL)
-    return table
+    return _trials(spark, sf, "lightgbm")
 
 
 def q_m13_tune_xgboost(spark, sf):
-    _, table = TU.random_search(_data(spark, sf), TU.XGB_SPACE, n_trials=CONFIG.xgb_trials, parallelism=PARALLEL,
-                                seed=43)
-    return table
+    return _trials(spark, sf, "xgboost")
 
 
-def _bases(data):
-    zoo = M.model_zoo(data.train, CONFIG)
-    return {"extratrees": M.forest(CONFIG, CONFIG.stack_trees, bootstrap=False),
-            "lightgbm": zoo["LightGBM"], "xgboost": zoo["XGBoost"]}
+def _bases(spark, sf) -> dict:
+    """The stack's learners: a forest, and both boosted ones with their tuned parameters."""
+    return {"extratrees": M.forest(CONFIG, CONFIG.stack_trees, bootstrap=False), **{w: _tuned(spark, sf, w) for w in SEARCHES}}
+
+
+def _stack_step(spark, sf):
+    parent = _tune_step(spark, sf, "lightgbm").key, _tune_step(spark, sf, "xgboost").key
+
+    def run(folder):
+        data = _data(spark, sf)
+        meta, refit = M.stack(_split_raw(spark, sf), data, _bases(spark, sf), CONFIG, n_folds=5, parallelism=PARALLEL)
+        meta.write().overwrite().save(f"{folder}/meta")
+        for name, m in refit.items():
+            m.write().overwrite().save(f"{folder}/{name}")
+        return "Stack", _scores(lambda df: M.stack_predict(meta, refit, df), data), {"weights": [float(x) for x in meta.coefficients]}
+    return _registry(spark, sf).step("stack", {"tuned": parent, "trees": CONFIG.stack_trees}, run, parent[0])
+
+
+def _metric_rows(spark, row, extra: dict | None = None) -> DataFrame:
+    rows = [(row.model, split, *[m[c] for c in METRICS]) for split, m in sorted(row.metrics.items())]
+    out = spark.createDataFrame(rows, "model string, split string, MAE double, RMSE double, R2 double, MAPE double")
+    return out.withColumns({k: F.lit(v) for k, v in (extra or {}).items()})
 
 
 def q_m14_stacking(spark, sf):
-    data = _data(spark, sf)
-    meta, refit = M.stack(_split_raw(spark, sf), data, _bases(data), CONFIG, n_folds=5, parallelism=3)
-    out = []
-    for split, df in [("val", data.val), ("test", data.test)]:
-        out.append(_metrics(M.stack_predict(meta, refit, df), "Stack", split))
-    return out[0].unionByName(out[1])
+    return _metric_rows(spark, _stack_step(spark, sf))
+
+
+def _deploy_step(spark, sf):
+    """The compact learner with tuned parameters, beside the metrics of the champion it stands for."""
+    stack = _stack_step(spark, sf)
+
+    def run(folder):
+        data = _data(spark, sf)
+        model, _ = M.deploy_compact(data, _tuned(spark, sf, "lightgbm"))
+        model.write().overwrite().save(f"{folder}/model")
+        return "LightGBM", _scores(lambda df: M.score_usd(model, df), data), {}
+    return _registry(spark, sf).step("deploy", {"stack": stack.key}, run, stack.key)
 
 
 def q_m16_deploy(spark, sf):
-    data = _data(spark, sf)
-    _, rows = M.deploy_compact(data, {"maxDepth": 6, "stepSize": 0.05}, CONFIG)
-    return rows
+    row = _deploy_step(spark, sf)
+    parent = _registry(spark, sf).find(row.parent)
+    return _metric_rows(spark, row, {"role": "deployed"}).unionByName(_metric_rows(spark, parent, {"role": "reference"}))
+
+
+def q_m15_run_record(spark, sf):
+    """The record itself: each step's metrics, and whether it is the champion."""
+    _stack_step(spark, sf)
+    reg = _registry(spark, sf)
+    best = reg.champion()
+    return reg.metrics().withColumn("champion", (F.col("step") == best.step) & (F.col("model") == best.model))
 
 
 def _qrf(spark, sf):
@@ -173,6 +260,17 @@ def q_v9_linear_shap(spark, sf):
     return XP.linear_shap(_ridge(spark, sf), sample, data.train, M.TE_COLS)
 
 
+def q_v9_tree_shap(spark, sf):
+    """V9 of the boosted model that scores: P4 sample of the test rows, 100 background rows of the training rows."""
+    data, model = _serving(spark, sf)
+    raw = _split_raw(spark, sf).select(COLS.id, "split", *FEATURE_COLUMNS)
+
+    def score(frame):
+        return M.score_usd(model, data.prep_model.transform(M.encode(frame, data.encoders)))
+    sample, background = (hash_sample(raw.where(F.col("split") == x).drop("split"), COLS.id, n) for x, n in (("test", 1000), ("train", 100)))
+    return XP.sampled_shapley(score, sample, background, COLS.id, FEATURE_COLUMNS, orders=4)
+
+
 def q_v10_top_importances(spark, sf):
     return XP.top_k(q_v7_permutation_importance(spark, sf), 10)
 
@@ -197,7 +295,7 @@ def q_t8_native_frame(spark, sf):
     cats = OHE_FEATURES + TARGET_ENC_FEATURES
     tr, rest = M.native_frame(_split_raw(spark, sf), CONFIG, cats)
     pm = M.native_frame_model(cats, NUMERIC_FEATURES, CONFIG).fit(tr)
-    gbt = M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05, maxBins=64).fit(pm.transform(tr))
+    gbt = M.boosted(CONFIG, CONFIG.lgbm_rounds, depth=6, rate=0.05, bins=64).fit(materialize(pm.transform(tr).select(M.LABEL, "features"), "native-features"))
     val = M.score_usd(gbt, pm.transform(rest.filter(F.col("split") == "val")))
     return _metrics(val, "NativeFrameGBT", "val")
 
@@ -212,11 +310,9 @@ def q_s7_model_roundtrip(spark, sf):
 
 
 def _serving(spark, sf):
-    data = _data(spark, sf)
-    key = ("gbt", spark.sparkContext.applicationId, sf)
-    if key not in _CACHE:
-        _CACHE[key] = M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05).fit(data.train)
-    return data, _CACHE[key]
+    """The prepared data and the recorded learner that scores."""
+    from pyspark.ml.regression import GBTRegressionModel
+    return _data(spark, sf), GBTRegressionModel.load(f"{_train_step(spark, sf).path}/model")
 
 
 def q_r1_r2_score_range(spark, sf):
@@ -243,11 +339,9 @@ def q_r3_stream_scoring(spark, sf):
 def q_v4_cv_models(spark, sf):
     from paysight.operators.evaluate import cv_summary
     n = _data(spark, sf).train.count()
-    est = {"LightGBM": M.boosted(CONFIG, CONFIG.lgbm_rounds, maxDepth=6, stepSize=0.05),
-           "XGBoost": M.boosted(CONFIG, CONFIG.xgb_rounds, maxDepth=6, stepSize=0.05),
+    est = {"LightGBM": _lightgbm(), "XGBoost": M.boosted(CONFIG, CONFIG.xgb_rounds, rate=0.05, depth=6, row_share=0.8, feature_share=0.8),
            "ExtraTrees": M.forest(CONFIG, CONFIG.stack_trees, bootstrap=False), "Ridge": M.ridge(2.0, n)}
-    frame = _split_raw(spark, sf).drop("split")
-    return cv_summary(M.cross_validate(frame, est, CONFIG, n_folds=5))
+    return cv_summary(M.cross_validate(_split_raw(spark, sf), est, CONFIG, n_folds=5, parallelism=PARALLEL))
 
 
 MODEL_QUERIES = {
@@ -259,11 +353,13 @@ MODEL_QUERIES = {
     "m13_tune_xgboost": q_m13_tune_xgboost,
     "m14_stacking": q_m14_stacking,
     "v4_cv_models": q_v4_cv_models,
+    "m15_run_record": q_m15_run_record,
     "m16_deploy": q_m16_deploy,
     "m17_quantile_forest": q_m17_quantile_forest,
     "v7_permutation_importance": q_v7_permutation_importance,
     "v8_tree_importance": q_v8_tree_importance,
     "v9_linear_shap": q_v9_linear_shap,
+    "v9_tree_shap": q_v9_tree_shap,
     "v10_top_importances": q_v10_top_importances,
     "t6_assembled_features": q_t6_assembled_features,
     "t7_log_wrapper": q_t7_log_wrapper,

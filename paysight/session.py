@@ -79,3 +79,10 @@ def materialize(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate folder that nothing reads any more, on whatever store it is."""
+    sc = spark.sparkContext
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)

@@ -38,12 +38,12 @@ def test_learners_recover_the_planted_signal(spark):
 def test_trees_recover_the_planted_signal(spark):
     from paysight.operators import models as M
     from paysight.plans import model_queries as MQ
-    mc = MQ.ModelConfig(forest_trees=20)
+    mc = MQ.CONFIG
     res, fitted = M.train_all(MQ._data(spark, SF_SMALL), mc, parallelism=3, only=[
         "RandomForest", "ExtraTrees", "GradientBoosting", "XGBoost", "LightGBM"])
     rows = res.collect()
     assert len(rows) == 5 and all(r["R2"] > 0.4 for r in rows), rows
-    assert fitted["XGBoost"].getNumTrees <= mc.xgb_rounds
+    assert fitted["XGBoost"].getNumTrees == mc.xgb_rounds + 1  # all rounds, and the mean
     assert [r["RMSE"] for r in rows] == sorted(r["RMSE"] for r in rows)
 
 
@@ -55,13 +55,6 @@ def test_importance_finds_seniority_first(spark):
     assert by["job_country"] > by["health_flag"]
 
 
-def test_search_draws_whole_ranges(spark):
-    from paysight.operators import tuning as T
-    drawn = T.sample_params(T.LGBM_SPACE, 50)
-    assert all(300 <= p["maxIter"] <= 900 and 4 <= p["maxDepth"] <= 12 for p in drawn)
-    assert len({p["maxIter"] for p in drawn}) > 30
-
-
 def test_split_frame_train_has_oof_encodings(spark):
     from paysight.plans import model_queries as MQ
     d = MQ._data(spark, SF_SMALL)
@@ -162,42 +155,34 @@ def test_native_frame_keeps_every_category_and_term(spark):
     assert len(out.first().features) > len(NUMERIC_FEATURES) + 2 + terms
 
 
-def test_boosting_runs_all_rounds_and_m10_keeps_the_best(spark):
-    from paysight.config import ModelConfig
-    from paysight.operators import models as M
-    assert M.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 3) == 5 and M.best_round([3.0, 2.0, 2.5, 2.4, 1.0], 2) == 2
-    assert M.best_round([3.0, 2.0, 1.0], 60) == 3 and ModelConfig().patience == 60
-    from pyspark.ml.linalg import Vectors
-    # noise: the loss on other rows rises soon
-    rows = [("t" if i % 4 else "v", float(i * 7919 % 101), Vectors.dense(float(i % 13), float(i * 31 % 17))) for i in range(400)]
-    df = spark.createDataFrame(rows, ["split", M.LABEL, "features"]).repartition(1).cache()
-    train, val = df.where("split = 't'"), df.where("split = 'v'")
-    mc = ModelConfig()
-    model = M.boosted(mc, 12, stepSize=0.05, maxDepth=2, subsamplingRate=0.8).fit(train)
-    assert model.getNumTrees == 12
-    losses = model.evaluateEachIteration(val, "squared")
-    cut = M.first_rounds(model, 5)
-    assert cut.getNumTrees == 5 and abs(cut.evaluateEachIteration(val, "squared")[-1] - losses[4]) < 1e-12
-    assert cut.transform(val).count() == val.count()
-    from types import SimpleNamespace as N
-    found = M.fit_with_early_stopping(N(train=train, val=val), mc, 12)
-    full = M.boosted(mc, 12, stepSize=0.06, maxDepth=6).fit(train).evaluateEachIteration(val, "squared")
-    assert found.getNumTrees == full.index(min(full)) + 1
+def test_stack_and_deployment_use_the_recorded_searches(spark, monkeypatch):
+    """One record: the searches run once, their parameters feed the stack and the deployed model."""
+    from dataclasses import replace
 
-
-def test_registered_searches_stack_and_cv_have_the_reference_sizes(spark, monkeypatch):
-    from types import SimpleNamespace as N
-
-    from paysight.operators import evaluate
+    from paysight.operators import tuning as T
     from paysight.plans import model_queries as MQ
-    drawn, learners = [], {}
-    monkeypatch.setattr(MQ, "_data", lambda *a: N(train=N(count=lambda: 10)))
-    monkeypatch.setattr(MQ, "_split_raw", lambda *a: spark.range(1))
-    monkeypatch.setattr(MQ.TU, "random_search", lambda *a, n_trials, **k: (drawn.append(n_trials), None))
-    monkeypatch.setattr(MQ.M, "cross_validate", lambda frame, est, *a, **k: learners.update(est))
-    monkeypatch.setattr(MQ.M, "model_zoo", lambda *a: {"LightGBM": None, "XGBoost": None})
-    monkeypatch.setattr(evaluate, "cv_summary", lambda x: x)
-    MQ.q_m12_tune_lightgbm(spark, SF_SMALL), MQ.q_m13_tune_xgboost(spark, SF_SMALL), MQ.q_v4_cv_models(spark, SF_SMALL)
-    assert drawn == [20, 25] and MQ._bases(N(train=None))["extratrees"].getNumTrees() == 400
-    assert {"LightGBM", "XGBoost", "ExtraTrees"} <= set(learners)
-    assert (learners["XGBoost"].getMaxIter(), learners["ExtraTrees"].getNumTrees()) == (600, 400)
+    mc = replace(MQ.CONFIG, lgbm_trials=3, xgb_trials=3, round_share=0.01, lgbm_rounds=10, stack_trees=5, forest_depth=5)
+    monkeypatch.setattr(MQ, "CONFIG", mc)
+    monkeypatch.setitem(MQ._CACHE, ("registry", spark.sparkContext.applicationId, SF_SMALL), MQ.Registry(spark, MQ.scratch_path(spark, "registry-test")))
+    raced, race = [], T.race
+    monkeypatch.setattr(MQ.TU, "race", lambda *a, **k: raced.append(a[2]) or race(*a, **k))
+    stack = MQ.q_m14_stacking(spark, SF_SMALL).collect()
+    deployed = MQ.q_m16_deploy(spark, SF_SMALL).collect()
+    trials = MQ.q_m12_tune_lightgbm(spark, SF_SMALL).collect()
+    record = MQ.q_m15_run_record(spark, SF_SMALL).collect()
+    assert raced == [3, 3] and sorted(r.split for r in stack) == ["test", "val"]
+    assert [(r.trial in (0, 1, 2), r.rung) for r in trials] == [(True, 1)] + [(True, 0)] * 3
+    assert {r.step for r in record} == {"train", "tune-lightgbm", "tune-xgboost", "stack", "deploy"} and len(record) == 10
+    val = {r.step: r.RMSE for r in record if r.split == "val"}
+    assert {r.step for r in record if r.champion} == {min(val, key=val.get)}
+    assert sorted((r.role, r.split) for r in deployed) == [(x, y) for x in ("deployed", "reference") for y in ("test", "val")]
+    assert {r.RMSE for r in deployed if r.role == "reference"} == {r.RMSE for r in stack}
+    best = MQ.params_of(MQ._tune_step(spark, SF_SMALL, "lightgbm"))["best"]
+    assert MQ._tuned(spark, SF_SMALL, "lightgbm").rate == best["rate"] and trials[0].RMSE == min(r.RMSE for r in trials if r.rung == 1)
+
+
+def test_library_defaults_are_the_original_sizes():
+    from paysight.config import ModelConfig
+    mc = ModelConfig()
+    assert (mc.xgb_rounds, mc.lgbm_rounds, mc.cat_rounds, mc.small_gbt_rounds, mc.forest_trees, mc.stack_trees) == (600, 800, 600, 150, 200, 400)
+    assert (mc.lgbm_trials, mc.xgb_trials, mc.patience, mc.round_share) == (40, 25, 60, 1.0)
