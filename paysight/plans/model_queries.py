@@ -28,11 +28,11 @@ from paysight.sources.requests import requests
 
 #: The library's sizes, but for trees and rounds: so many that the validation loss of the driver's tables
 #: has passed its least value (boosting), or hardly falls any more (forests).
-CONFIG = ModelConfig(forest_trees=40, stack_trees=40, small_gbt_rounds=60, xgb_rounds=60, lgbm_rounds=60, round_share=0.05, forest_depth=10, patience=20)
+CONFIG = ModelConfig(forest_trees=40, stack_trees=40, small_gbt_rounds=60, xgb_rounds=60, lgbm_rounds=60, round_share=0.03, forest_depth=10, patience=20)
 #: The date that stands for "now" in the registered queries, so that reruns agree.
 POSTED_AT = "2024-01-15 00:00:00"
 #: Candidates of a search that are fitted at once.
-PARALLEL = 4
+PARALLEL = 8
 _CACHE: dict = {}
 
 
@@ -129,7 +129,7 @@ def _tune_step(spark, sf, which: str):
         table.write.mode("overwrite").parquet(f"{folder}/trials")
         model.write().overwrite().save(f"{folder}/model")
         return which, _scores(lambda df: M.score_usd(model, df), data), {"best": best}
-    return _registry(spark, sf).step(f"tune-{which}", {"trials": getattr(CONFIG, trials), "seed": seed, "share": CONFIG.round_share}, run, _train_step(spark, sf).key)
+    return _registry(spark, sf).step(f"tune-{which}", {"trials": getattr(CONFIG, trials), "seed": seed, "share": CONFIG.round_share}, run)
 
 
 def _tuned(spark, sf, which: str):
@@ -199,7 +199,7 @@ def q_m16_deploy(spark, sf):
 
 def q_m15_run_record(spark, sf):
     """The record itself: each step's metrics, and whether it is the champion."""
-    _stack_step(spark, sf)
+    _train_step(spark, sf), _stack_step(spark, sf)
     reg = _registry(spark, sf)
     best = reg.champion()
     return reg.metrics().withColumn("champion", (F.col("step") == best.step) & (F.col("model") == best.model))
