@@ -98,17 +98,58 @@ def train_val_test(df: DataFrame, id_col: str, seed: int = SEED,
         return df.withColumn("split", F.when(u < test_size, "test")
                              .when(u < test_size + vfrac, "val").otherwise("train"))
     from paysight.session import materialize
-    # every later step reads the split many times: the positioned rows are written
-    # once to the shared checkpoint folder (lineage cut; a lost executor re-reads
-    # them instead of recomputing the features)
-    p = materialize(hash_position(df.withColumn("_h", h), "_h", id_col, "_pos"),
-                    "split-positions")
-    n = p.agg(F.count("*").cast("double")).scalar()
-    n_test = F.ceil(F.lit(float(test_size)) * n)
-    n_val = F.ceil(F.lit(val_size / (1 - test_size)) * (n - n_test))
-    return p.withColumn("split", F.when(F.col("_pos") < n_test, "test")
-                        .when(F.col("_pos") < n_test + n_val, "val")
-                        .otherwise("train")).drop("_h", "_pos")
+    # every later step reads the split many times: the rows are written once to the shared
+    # checkpoint folder (lineage cut; a lost executor re-reads them instead of recomputing the
+    # features) and never sorted: two cut points tell the splits apart
+    p = materialize(df.withColumn("_h", h).where(F.col("_h").isNotNull()), "split-rows")
+    n_test, n_val = split_sizes(p.count(), test_size, val_size)
+    cuts = hash_cuts(p, "_h", id_col, [n_test, n_test + n_val])
+    if any(more for *_, more in cuts):  # rows of one id on both sides: which of them is fixed by writing it
+        tied = F.col(id_col).isin([c[1] for c in cuts if c[3]])
+        order = F.row_number().over(Window.partitionBy(id_col).orderBy("_h"))
+        p = materialize(p.where(~tied).withColumn("_k", F.lit(0)).unionByName(p.where(tied).withColumn("_k", order)), "split-ties")
+    else:
+        p = p.withColumn("_k", F.lit(0))
+
+    def first(cut: tuple) -> Column:
+        ch, cid, taken, _ = cut
+        if ch is None:
+            return F.lit(False)
+        same = (F.col("_h") == ch) & (F.col(id_col) == F.lit(cid))
+        return (F.col("_h") < ch) | ((F.col("_h") == ch) & (F.col(id_col) < F.lit(cid))) | (same & (F.col("_k") <= taken))
+    return p.withColumn("split", F.when(first(cuts[0]), "test").when(first(cuts[1]), "val")
+                        .otherwise("train")).drop("_h", "_k")
+
+
+def hash_cuts(df: DataFrame, h_col: str, id_col: str, sizes: list[int], bits: int = 12) -> list[tuple]:
+    """For each size n: (hash, id) of the n-th row in (hash, id) order, how many of the rows of that
+    id are among the first n, and whether there are more of them (hash and id None for n = 0).
+
+    One aggregate counts the rows by the top ``bits`` of the 60-bit hash; only the few buckets
+    that hold a wanted row are ordered, and of those only (hash, id)."""
+    bucket = F.shiftright(F.col(h_col), 60 - bits)
+    counts = dict(df.groupBy(bucket.alias("b")).count().collect())  # at most 2 ** bits rows
+    wanted, before = {}, 0
+    for b in sorted(counts):
+        wanted.update({n: (b, before) for n in sizes if before < n <= before + counts[b]})
+        before += counts[b]
+    if not wanted:
+        return [(None, None, 0, False) for _ in sizes]
+    keys = (df.select(bucket.alias("b"), h_col, id_col).where(F.col("b").isin(sorted({b for b, _ in wanted.values()})))
+            .groupBy("b", h_col, id_col).agg(F.count("*").alias("m")))
+    upto = F.sum("m").over(Window.partitionBy("b").orderBy(h_col, id_col))
+    keys = keys.withColumn("_upto", upto)
+    hit = F.lit(False)
+    for n, (b, start) in wanted.items():
+        hit = hit | ((F.col("b") == b) & (F.col("_upto") >= n - start) & (F.col("_upto") - F.col("m") < n - start))
+    rows = keys.where(hit).collect()  # one row a size at most
+    out = []
+    for n in sizes:
+        b, start = wanted.get(n, (None, 0))
+        row = next((r for r in rows if r["b"] == b and r["_upto"] - r["m"] < n - start <= r["_upto"]), None)
+        taken = 0 if row is None else n - start - (row["_upto"] - row["m"])
+        out.append((None, None, 0, False) if row is None else (row[h_col], row[id_col], taken, taken < row["m"]))
+    return out
 
 
 def hash_folds(df: DataFrame, id_col: str, k: int = N_FOLDS, seed: int = SEED,

@@ -11,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from paysight.config import COLS
-from paysight.operators.features import prepared
+from paysight.operators.features import feature_projection, prepared
 from paysight.operators.split import train_val_test
-from paysight.session import materialize
 from paysight.sources.postings import postings
 
 CACHE: dict = {}
@@ -22,6 +21,6 @@ CACHE: dict = {}
 def split_frame(spark: SparkSession, sf: str) -> DataFrame:
     key = ("split", spark.sparkContext.applicationId, sf)
     if key not in CACHE:
-        df = train_val_test(prepared(postings(spark, sf)), COLS.id)
-        CACHE[key] = materialize(df, "split-frame")
+        # the columns that queries read (C6), written by the split itself
+        CACHE[key] = train_val_test(feature_projection(prepared(postings(spark, sf))), COLS.id)
     return CACHE[key]
