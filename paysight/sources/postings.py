@@ -111,8 +111,11 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                             type_text.alias("job_type_skills"))
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Build the postings frame (column layout of the raw job-postings CSV)."""
+def postings(spark: SparkSession, sf_dir: str, with_items: bool = True) -> DataFrame:
+    """Build the postings frame (column layout of the raw job-postings CSV).
+
+    ``with_items=False``: for readers of no skill column, which are null then; the same rows
+    without a look at the order lines."""
     o = load_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
         "o_orderpriority")
@@ -120,14 +123,16 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     # nation is a fixed 25-row dimension: broadcasting it is size-bounded.
     n = F.broadcast(load_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
-    items = order_items(spark, sf_dir)
-
     k = F.col("o_orderkey")
     pay = salary()
     level = _lookup(F.col("o_orderpriority"), PRIORITY_LEVEL, F.lit(""))
     df = (o.join(c, o.o_custkey == c.c_custkey, "left")
-          .join(n, F.col("c_nationkey") == n.n_nationkey, "left")
-          .join(items, k == items.k, "left"))
+          .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
+    if with_items:
+        items = order_items(spark, sf_dir)  # one row an order
+        df = df.join(items, k == items.k, "left")
+    else:
+        df = df.withColumns({c: F.lit(None).cast("string") for c in ("job_skills", "job_type_skills")})
     return df.select(
         k.alias("posting_id"),
         F.when(k % 97 == 0, F.lit(None).cast("string"))
