@@ -163,23 +163,64 @@ def tokens(df: DataFrame, id_col: str, text: str, pattern: str, lower: bool = Tr
     return out
 
 
+#: Buckets of a hash by which terms are counted before each term is.
+TERM_BUCKETS = 2 ** 17
+
+
+def most_frequent_terms(rows: DataFrame, wanted: int, least_count: int = 1) -> DataFrame:
+    """(term, cf) of the ``wanted`` terms that occur most (ties by term) among ``rows``, of those
+    that occur ``least_count`` times.
+
+    Exact, but terms that cannot be among them are not counted one by one: no term occurs more
+    often than its bucket, and buckets are few whatever the number of terms. Terms of the large
+    buckets are counted; where the last one wanted is rarer than a bucket left out, that one's too."""
+    from paysight.session import materialize
+    bucket = F.pmod(F.xxhash64("term"), F.lit(TERM_BUCKETS)).cast("int")
+    sizes = materialize(rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")), "term-buckets")
+    top = sizes.orderBy(F.desc("n")).limit(wanted).agg(F.count("*"), F.min("n")).first()
+    least = top[1] // 2 if top[0] == wanted else 0
+    while True:
+        asked = sizes.filter(F.col("n") >= least).select("bucket")  # TERM_BUCKETS rows at most
+        counted = rows.withColumn("bucket", bucket).join(F.broadcast(asked), "bucket", "left_semi")
+        found = materialize(counted.groupBy("term").agg(F.count("*").alias("cf")).filter(F.col("cf") >= least_count)
+                            .orderBy(F.desc("cf"), "term").limit(wanted), "frequent-terms")
+        n, last = found.agg(F.count("*"), F.min("cf")).first()
+        if least <= least_count or (n == wanted and last >= least):
+            return found
+        least = last if n == wanted else 0
+
+
 def tfidf_long(terms: DataFrame, id_col: str, fit_ids: DataFrame, vocab_size: int,
-               min_df: int = 1) -> DataFrame:
+               min_df: int = 1, all_fit: bool = False) -> DataFrame:
     """TF-IDF in long form (id, term, weight), smooth idf ln((1+n)/(1+df)) + 1,
     raw counts, L2-normalised per document. Vocabulary: terms of the fitting
     documents with df >= min_df, the ``vocab_size`` most frequent by corpus count
-    (ties by term)."""
+    (ties by term). ``all_fit``: ``fit_ids`` are the ids of all documents of ``terms``.
+
+    Counts by document, and with them df, are taken of the terms most frequent in the corpus
+    only: of more and more of them, until enough have ``min_df`` or none is left."""
     from pyspark.sql.window import Window
     from paysight.session import materialize
-    # term counts are read by the vocabulary fit and by the weighting: written once
-    tf = materialize(terms.groupBy(id_col, "term").agg(F.count("*").alias("tf")), "term-counts")
-    fit_tf = tf.join(fit_ids, id_col, "left_semi")
+    ids = None if all_fit else materialize(fit_ids.distinct(), "fit-ids")  # joined by its own size, not by its source's
+
+    def fitting(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(id_col).isNotNull()) if all_fit else rows.join(ids, id_col, "left_semi")
     n_docs = fit_ids.agg(F.count("*")).scalar()
-    stats = fit_tf.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-    vocab = (stats.filter(F.col("df") >= min_df).orderBy(F.desc("cf"), "term").limit(vocab_size)
-             .select("term", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf")))
+    wanted = vocab_size + vocab_size // 4 + 1
+    while True:
+        # a term is in no more documents than it occurs
+        first = most_frequent_terms(fitting(terms).select("term"), wanted, min_df)
+        # read by the vocabulary and by the weighting: written once; ``wanted`` rows are broadcast
+        tf = materialize(terms.join(F.broadcast(first.select("term")), "term").groupBy(id_col, "term")
+                         .agg(F.count("*").alias("tf")), "term-counts")
+        stats = fitting(tf).groupBy("term").agg(F.count("*").alias("df")).filter(F.col("df") >= min_df)
+        vocab = materialize(stats.join(F.broadcast(first), "term").orderBy(F.desc("cf"), "term").limit(vocab_size), "vocabulary")
+        if vocab.count() == vocab_size or first.count() < wanted:
+            break
+        wanted *= 4
+    idf = vocab.select("term", (F.log((1 + n_docs) / (1 + F.col("df"))) + 1).alias("idf"))
     # the vocabulary is capped at ``vocab_size`` rows: a bounded broadcast
-    w = tf.join(F.broadcast(vocab), "term").withColumn("w", F.col("tf") * F.col("idf"))
+    w = tf.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 

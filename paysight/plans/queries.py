@@ -415,7 +415,7 @@ def q_t5_document_tfidf(spark, sf):
     from paysight.sources.tables import load_table
     docs = load_table(spark, sf, "documents").select("doc_id", "text")
     terms = T.word_terms(docs, "doc_id", "text", ENGLISH_STOP_WORDS)
-    t = T.tfidf_long(terms, "doc_id", docs.select("doc_id"), vocab_size=1500, min_df=5)
+    t = T.tfidf_long(terms, "doc_id", docs.select("doc_id"), vocab_size=1500, min_df=5, all_fit=True)
     return t.select("doc_id", "term", _r("weight", 9).alias("weight"))
 
 
