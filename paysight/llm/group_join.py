@@ -12,14 +12,16 @@ similarity reaches a threshold. Two sets that similar share a token among the fi
    to one group. Only a group's prefix is indexed, one posting for each token.
 3. Groups that share a prefix token are candidates. Pairs of groups are filtered by size, by
    their number of common prefix tokens (with what can follow the last of them) and, where each
-   has one member, by parity bitmaps: bit i of a set's bitmap is the parity of its tokens that
+   stands for one member (groups of few members are searched member by member), by parity bitmaps: bit i of a set's bitmap is the parity of its tokens that
    fall on i, so two bitmaps differ in no more bits than the sets in tokens. The pairs left
    are expanded to their members, these are filtered by their bitmaps, and each pair of members
    that is left is verified on its whole texts, shingle by shingle.
 
 Near copies share their prefixes with thousands of others, so links are contracted first:
 every member is verified against its group's first one, and each group against the ends, the
-most copied group and a few neighbours of its first posting lists. The components found go into
+most copied group and a few neighbours of its first posting lists. Where long lists have several
+components left, each of their members is then verified against two others that have a 64-bit
+word of the bitmaps in common with it (near copies often do). The components found go into
 step 3, which then has to look at pairs of members of different components only; it looks at
 all of them, so no link between different components is lost.
 
@@ -61,6 +63,10 @@ COUNTED_BELOW, HOT_DF, HOT_TOKENS = 2 ** 60, 32, 262_144
 LIST_ROWS, BROADCAST_LISTS = 2048, 100_000
 #: Positions of the prefix whose lists serve the contraction, and the neighbours looked at there.
 STAR_POSITIONS, NEIGHBOURS = 4, (1, 2, 4, 8, 16)
+#: Least length of the lists that a further round of the contraction looks at, and least bits of a telling word of a bitmap.
+CROWD, TELLING = 16, 6
+#: Members of a group and component up to which each is searched for itself, by its bitmaps.
+UNIT_MEMBERS = 1024
 #: Shingles that a task remembers while verifying.
 REMEMBERED = 200_000
 #: Bits of a set's parity bitmaps, and their number (each by other bits of the tokens), as 64-bit columns.
@@ -218,10 +224,10 @@ def _compatible(x: Column, y: Column, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _in_parts(lists: DataFrame, rows: DataFrame) -> DataFrame:
-    """Rows (token, gid, ...) with the columns of their list (token, m, ...), ``parts`` and ``part``."""
+def _in_parts(lists: DataFrame, rows: DataFrame, by: str = "gid") -> DataFrame:
+    """Rows (token, ``by``, ...) with the columns of their list (token, m, ...), ``parts`` and ``part``."""
     parts = F.ceil(F.col("m") / LIST_ROWS).cast("int")
-    return rows.join(lists, "token").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("gid"), F.col("parts")).cast("int"))
+    return rows.join(lists, "token").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64(by), F.col("parts")).cast("int"))
 
 
 def _stars(shared: DataFrame, percent: int) -> DataFrame:
@@ -237,26 +243,49 @@ def _stars(shared: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("gid", "o.gid").alias("a"), F.greatest("gid", "o.gid").alias("b")).distinct()
 
 
-def _group_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """(ga, ca, gb, cb): groups and components whose members may still link, from postings
-    (token, pos, n, gid, c, single, bitmap): ``single`` where one member stands for all."""
-    lists = (postings.groupBy("token").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-             .where("lo < hi").select("token", "m"))
-    met = materialize(_in_parts(lists, postings), "mixed-postings")
+def _mixed(postings: DataFrame, least: int = 2) -> DataFrame:
+    """(token, m) of the lists with several components, of postings (token, c, ...)."""
+    return (postings.groupBy("token").agg(F.count("*").alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+            .where((F.col("lo") < F.col("hi")) & (F.col("m") >= least)).select("token", "m"))
+
+
+def _alike_pairs(rows: DataFrame, words: list[str]) -> DataFrame:
+    """Pairs (a, b) of members of different components, of rows (sid, c, words): each with the
+    members of least and greatest component that share one of the words."""
+    flat = rows.select("sid", "c", F.posexplode(F.array(*words)).alias("i", "word")).where(F.bit_count("word") >= TELLING)
+    ends = flat.groupBy("i", "word").agg(F.min(F.struct("c", "sid")).alias("lo"), F.max(F.struct("c", "sid")).alias("hi")).where("lo.c < hi.c")
+    met = flat.join(ends, ["i", "word"]).select("sid", "c", F.explode(F.array("lo", "hi")).alias("o")).where("o.c <> c")
+    return met.select(F.least("sid", "o.sid").alias("a"), F.greatest("sid", "o.sid").alias("b")).distinct()
+
+
+def _units(joined: DataFrame) -> DataFrame:
+    """The members with the unit that is searched for them: themselves, or where a group and component
+    have over ``UNIT_MEMBERS`` members, the least one (not ``single``)."""
+    many = joined.groupBy("gid", "c").agg(F.count("*").alias("members"), F.min("sid").alias("least"))
+    single = F.col("members") <= UNIT_MEMBERS
+    return joined.join(many, ["gid", "c"]).withColumns({"single": single, "unit": F.when(single, F.col("sid")).otherwise(F.col("least"))}).drop("members", "least")
+
+
+def _unit_pairs(shared: DataFrame, units: DataFrame, member: DataFrame, percent: int) -> DataFrame:
+    """(ua, ub): units of different groups and components whose members may still link."""
+    heads = units.where("sid = unit")
+    postings = shared.select("token", "pos", "n", "gid").join(heads.select("gid", "c", "unit", "single"), "gid")
+    # the bitmaps, which are wider than all else, go along only where a list has several components
+    met = materialize(_in_parts(_mixed(postings), postings, "unit").join(member.select(F.col("sid").alias("unit"), *WORDS), "unit"), "mixed-postings")
     x = met.alias("x")
     y = met.where("parts = 1").unionByName(met.where("parts > 1").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))).alias("y")
     # of the smaller set a shorter prefix is enough, as both have at least its share of common tokens
     short = {s: F.col(f"{s}.pos") <= F.col(f"{s}.n") - F.ceil(F.col(f"{s}.n") * (2 * percent) / (100 + percent) - 1e-6) for s in "xy"}
-    indexed = F.when(F.struct("x.n", "x.gid") < F.struct("y.n", "y.gid"), short["x"]).otherwise(short["y"])
+    indexed = F.when(F.struct("x.n", "x.unit") < F.struct("y.n", "y.unit"), short["x"]).otherwise(short["y"])
     # common tokens: at most those before this one in either prefix, and what is left from it on in the shorter rest
     reach = F.least("x.pos", "y.pos") + F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
-    both = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") < F.col("y.c"))
+    both = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.gid") != F.col("y.gid"))
                   & _compatible(F.col("x.n"), F.col("y.n"), percent)
                   & indexed & (reach >= _needed(F.col("x.n"), F.col("y.n"), percent)) & (~(F.col("x.single") & F.col("y.single")) | _bitmaps_allow("x", "y", percent)))
-    common = (both.groupBy(F.col("x.gid").alias("ga"), F.col("x.c").alias("ca"), F.col("y.gid").alias("gb"), F.col("y.c").alias("cb"))
+    common = (both.groupBy(F.col("x.unit").alias("ua"), F.col("y.unit").alias("ub"))
               .agg(F.count("*").alias("same"), F.max("x.pos").alias("pa"), F.max("y.pos").alias("pb"), F.first("x.n").alias("na"), F.first("y.n").alias("nb")))
     most = F.col("same") + F.least(F.col("na") - 1 - F.col("pa"), F.col("nb") - 1 - F.col("pb"))
-    return common.where(most >= _needed(F.col("na"), F.col("nb"), percent)).select("ga", "ca", "gb", "cb")
+    return common.where(most >= _needed(F.col("na"), F.col("nb"), percent)).select("ua", "ub")
 
 
 def set_components(rows: DataFrame, docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
@@ -272,19 +301,33 @@ def set_components(rows: DataFrame, docs: DataFrame, text: Column, k: int, perce
     def links_of(pairs: DataFrame, name: str) -> DataFrame:
         left = materialize(bitmap_filter(pairs, member, percent), name)
         return verified(left, texts_of(left, sets, docs, text), k, percent)
+    def merged(now: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """The members with their components (c) after these links between them."""
+        of = now.select("sid", "c")
+        linked = of.join(links.withColumnRenamed("a", "sid"), "sid").select(F.col("c").alias("ca"), F.col("b").alias("sid"))
+        found = components(linked.join(of, "sid").select(F.col("ca").alias("a"), F.col("c").alias("b"))).withColumnsRenamed({"node": "c", "root": "top"})
+        return materialize(now.join(found, "c", "left").withColumn("c", F.coalesce("top", "c")).drop("top"), name)
     inside = member.where("sid <> gid").select(F.col("gid").alias("a"), F.col("sid").alias("b"))
-    first = components(links_of(_stars(shared, percent).unionByName(inside), "star-pairs"))
-    joined = materialize(member.join(first, F.col("sid") == F.col("node"), "left").withColumn("c", F.coalesce("root", "sid")).drop("node", "root"), "first-components")
-    units = joined.groupBy("gid", "c").agg((F.count("*") == 1).alias("single"), *[F.min(w).alias(w) for w in WORDS])
-    near = _group_pairs(shared.select("token", "pos", "n", "gid").join(units, "gid"), percent)
-    x, y = (joined.select(F.col("sid").alias(s), F.col("gid").alias(f"g{s}"), F.col("c").alias(f"c{s}")) for s in "ab")
-    mixed = units.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gid")
-    own = joined.join(mixed, "gid").alias("x").join(joined.alias("y"), "gid").where("x.c < y.c").select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-    links = links_of(near.join(x, ["ga", "ca"]).join(y, ["gb", "cb"]).select("a", "b").unionByName(own), "member-pairs")
-    linked = joined.select("sid", "c").join(links.withColumnRenamed("a", "sid"), "sid").select(F.col("c").alias("ca"), F.col("b").alias("sid"))
-    linked = linked.join(joined.select("sid", "c"), "sid").select(F.col("ca").alias("a"), F.col("c").alias("b"))
-    second = components(linked).withColumnsRenamed({"node": "c", "root": "top"})
-    comp = joined.join(second, "c", "left").select("sid", F.coalesce("top", "c").alias("comp"))
+    joined = merged(member.select("sid", "gid", F.col("sid").alias("c")), links_of(_stars(shared, percent).unionByName(inside), "star-pairs"), "first-components")
+    per = BITS // 64
+    for i in range(0, len(WORDS), per):
+        heads = joined.where("sid = gid").select("gid", "c")
+        postings = shared.select("token", "gid").join(heads, "gid")
+        crowded = postings.join(_mixed(postings, CROWD).select("token"), "token", "left_semi").select("gid").distinct()
+        rows = joined.join(crowded, "gid").join(member.select("sid", *WORDS[i:i + per]), "sid")
+        new = materialize(links_of(_alike_pairs(rows, WORDS[i:i + per]), "alike-pairs"), "alike-links")
+        if new.isEmpty():
+            break
+        joined = merged(joined, new, "more-components")
+    units = materialize(_units(joined), "units")
+    x, y = (units.select(F.col("sid").alias(s), F.col("unit").alias(f"u{s}")) for s in "ab")
+    between = _unit_pairs(shared, units, member, percent).join(x, "ua").join(y, "ub").select("a", "b")
+    split = joined.groupBy("gid").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("gid")
+    parts = joined.join(split, "gid").join(member.select("sid", "n", *WORDS), "sid")
+    own = (parts.alias("x").join(parts.alias("y"), (F.col("x.gid") == F.col("y.gid")) & (F.col("x.c") < F.col("y.c")) & _bitmaps_allow("x", "y", percent))
+           .select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")))
+    links = links_of(between.unionByName(own), "member-pairs")
+    comp = merged(joined.select("sid", "c"), links, "last-components").select("sid", F.col("c").alias("comp"))
     placed = materialize(sets.select("sid", "n", "sig", "least_doc").join(comp, "sid", "left").withColumn("comp", F.coalesce("comp", "sid")), "set-components")
     least = placed.groupBy("comp").agg(F.min("least_doc").alias("component_id"))
     return placed.join(least, "comp").select("n", "sig", "component_id")
