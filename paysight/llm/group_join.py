@@ -53,7 +53,7 @@ from pyspark.sql import functions as F
 
 from paysight.llm.common import bound_batches, table, text_or_empty
 from paysight.llm.simhash import components
-from paysight.session import materialize
+from paysight.session import drop_folder, materialize, scratch_path
 
 #: Words of a shingle and least similarity in percent.
 SHINGLE, PERCENT = 3, 90
@@ -95,9 +95,10 @@ def prefix_size(n: int, percent: int) -> int:
     return n + percent * n // -100 + 1 if n else 0
 
 
-def prefix_of(toks: np.ndarray, hot: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
-    """The first tokens: by hash, hot ones (sorted in ``hot``) last and in the order of ``place``."""
-    p = prefix_size(len(toks), percent)
+def prefix_of(toks: np.ndarray, hot: np.ndarray, place: np.ndarray, percent: int, n: int | None = None) -> np.ndarray:
+    """The first tokens: by hash, hot ones (sorted in ``hot``) last and in the order of ``place``.
+    Of a set of ``n`` tokens ``toks`` may be the part that ``leading`` keeps."""
+    p = prefix_size(len(toks) if n is None else n, percent)
     if not len(hot):
         return toks[:p]
     at = np.minimum(np.searchsorted(hot, toks), len(hot) - 1)
@@ -109,6 +110,13 @@ def prefix_of(toks: np.ndarray, hot: np.ndarray, place: np.ndarray, percent: int
     return np.concatenate([cold, late[np.argsort(place[at[is_hot]], kind="stable")][:p - len(cold)]])
 
 
+def leading(toks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """What a prefix can be made of, whichever tokens turn out to be hot: all tokens below
+    ``COUNTED_BELOW``, and as many of the others, which are never hot, as a prefix has."""
+    c = np.searchsorted(toks, COUNTED_BELOW)
+    return toks[:c], toks[c:c + prefix_size(len(toks), percent)]
+
+
 def parity(toks: np.ndarray) -> np.ndarray:
     """The parity bitmaps of a set, one after another, as 64-bit integers."""
     width = BITS.bit_length() - 1
@@ -116,14 +124,9 @@ def parity(toks: np.ndarray) -> np.ndarray:
     return np.packbits(np.concatenate(odd), bitorder="little").view("<i8")
 
 
-def hot_tokens(docs: DataFrame, text: Column, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent tokens below ``COUNTED_BELOW`` (sorted), and each one's place by frequency."""
-    @F.pandas_udf("array<bigint>")
-    def low(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            rows = (tokens(shingles(bytes(b), k)) for b in s)
-            yield pd.Series([t[:np.searchsorted(t, COUNTED_BELOW)] for t in rows], dtype=object)
-    counts = docs.select(F.explode(low(text.cast("binary"))).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+def hot_tokens(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens in ``low`` (sorted), and each one's place by frequency."""
+    counts = sets.select(F.explode("low").alias("token")).groupBy("token").agg(F.count("*").alias("df"))
     often = materialize(counts.where(F.col("df") > HOT_DF), "frequent-tokens")
     least, kept = 0, 0
     for r in often.groupBy(F.floor(F.log2("df")).alias("b")).agg(F.count("*").alias("n")).orderBy(F.desc("b")).collect():  # one row a power of two
@@ -138,21 +141,39 @@ def hot_tokens(docs: DataFrame, text: Column, k: int) -> tuple[np.ndarray, np.nd
     return found["token"].to_numpy(np.int64)[order], place[order]
 
 
-def document_sets(docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
-    """doc_id, key (of the text), n, sig (of the set), prefix, its digest and the bitmap of every row."""
-    hot = docs.sparkSession.sparkContext.broadcast(hot_tokens(docs, text, k))
-
-    @F.pandas_udf("struct<n: bigint, sig: binary, prefix: array<bigint>, head: binary, bits: array<bigint>>")
+def described_sets(docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
+    """doc_id, key (of the text), n, sig (of the set), leading tokens (low, more) and the bitmap of every row.
+    The only step that cuts all texts into shingles."""
+    @F.pandas_udf("struct<n: bigint, sig: binary, low: array<bigint>, more: array<bigint>, bits: array<bigint>>")
     def described(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        often, place = hot.value
         for s in batches:
             rows = [tokens(shingles(bytes(b), k)) for b in s]
-            first = [prefix_of(t, often, place, percent) for t in rows]
+            low, more = zip(*(leading(t, percent) for t in rows)) if rows else ((), ())
             yield pd.DataFrame({"n": pd.Series(map(len, rows), dtype="int64"), "sig": pd.Series([xxhash.xxh3_128_digest(t.tobytes()) for t in rows], dtype=object),
-                                "prefix": pd.Series(first, dtype=object), "head": pd.Series([xxhash.xxh3_128_digest(t.tobytes()) for t in first], dtype=object),
+                                "low": pd.Series(low, dtype=object), "more": pd.Series(more, dtype=object),
                                 "bits": pd.Series([parity(t) for t in rows], dtype=object)})
     rows = docs.select("doc_id", _key(text).alias("key"), described(text.cast("binary")).alias("s"))
-    return materialize(rows.select("doc_id", "key", "s.n", "s.sig", "s.prefix", "s.head", *[F.col("s.bits")[i].alias(w) for i, w in enumerate(WORDS)]), "document-sets")
+    return rows.select("doc_id", "key", "s.n", "s.sig", "s.low", "s.more", *[F.col("s.bits")[i].alias(w) for i, w in enumerate(WORDS)])
+
+
+def document_sets(docs: DataFrame, text: Column, k: int, percent: int) -> DataFrame:
+    """doc_id, key (of the text), n, sig (of the set), prefix, its digest and the bitmap of every row."""
+    spark = docs.sparkSession
+    path = scratch_path(spark, "described-sets")
+    described_sets(docs, text, k, percent).write.parquet(path)
+    sets = spark.read.parquet(path)
+    hot = spark.sparkContext.broadcast(hot_tokens(sets))
+
+    @F.pandas_udf("struct<prefix: array<bigint>, head: binary>")
+    def headed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        often, place = hot.value
+        for sizes, low, more in batches:
+            first = [prefix_of(np.concatenate([a, b]).astype(np.int64, copy=False), often, place, percent, n) for n, a, b in zip(sizes, low, more)]
+            yield pd.DataFrame({"prefix": pd.Series(first, dtype=object), "head": pd.Series([xxhash.xxh3_128_digest(t.tobytes()) for t in first], dtype=object)})
+    rows = sets.select("doc_id", "key", "n", "sig", headed("n", "low", "more").alias("h"), *WORDS)
+    out = materialize(rows.select("doc_id", "key", "n", "sig", "h.prefix", "h.head", *WORDS), "document-sets")
+    drop_folder(spark, path)
+    return out
 
 
 def _key(text: Column) -> Column:

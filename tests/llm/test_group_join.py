@@ -114,3 +114,40 @@ def test_query(spark):
 def test_empty(spark, no_docs):
     assert gj.jaccard_components(no_docs).count() == 0
     assert got(gj.jaccard_components(spark.createDataFrame([(3, None), (4, " ")], "doc_id long, text string"))) == [(3, 0, 3), (4, 0, 4)]
+
+
+def test_prefixes_come_from_what_the_one_pass_over_the_texts_keeps():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 9, 40, 400):
+        for low in (0, n // 8, n // 2, n):
+            parts = rng.choice(gj.COUNTED_BELOW, low, replace=False), gj.COUNTED_BELOW + rng.choice(2 ** 62, n - low, replace=False)
+            toks = np.sort(np.concatenate(parts).astype(np.int64))
+            for share in (0, 0.3, 1):
+                hot = np.sort(toks[:low][rng.random(low) < share])
+                place = rng.permutation(len(hot))
+                kept = np.concatenate(gj.leading(toks, 90))
+                assert gj.prefix_of(kept, hot, place, 90, n).tolist() == gj.prefix_of(toks, hot, place, 90).tolist()
+                assert len(kept) <= low + gj.prefix_size(n, 90)
+
+
+def test_texts_are_cut_into_shingles_once_before_verifying(spark, monkeypatch):
+    """The tokens to count and the sets were two passes over all texts."""
+    plans = {}
+    count, write = gj.hot_tokens, gj.materialize
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    def counted(sets):
+        plans["counted"] = plan(sets)
+        return count(sets)
+
+    def noted(df, name):
+        plans[name] = plan(df)
+        return write(df, name)
+    monkeypatch.setattr(gj, "hot_tokens", counted)
+    monkeypatch.setattr(gj, "materialize", noted)
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i % 3}") for i in range(60)], "doc_id long, text string")
+    sets = gj.document_sets(docs, gj.text_or_empty(), 3, 90)
+    assert "ArrowEvalPython" not in plans["counted"] and all("text#" not in p for p in plans.values())
+    assert sets.count() == 60 and sets.where(gj.F.size("prefix") != gj.prefix_size(7, 90)).count() == 0
